@@ -21,7 +21,7 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     if kind not in ("string", "bigint") or not others:
         return facts.join(lookup, key, "left")
     slice_ = F.pmod(F.xxhash64(*others), F.lit(NULL_SLICES))
-    no_key = F.concat(F.lit("\u0000"), slice_.cast("string")) if kind == "string" else -1 - slice_
+    no_key = F.concat(F.lit("\uffff"), slice_.cast("string")) if kind == "string" else -1 - slice_
     left = facts.withColumn("_key", F.coalesce(F.col(key), no_key))
     right = lookup.withColumnRenamed(key, "_key")
     return left.join(right, "_key", "left").drop("_key")

@@ -101,7 +101,8 @@ def build_fact(
     dates = dim_date.select("date_id", F.col("archive_date").alias("archive_date_parsed"))
     hospitals = dim_hospital.select("hospital_id", "hospital_name")
     specialties = dim_specialty.select("specialty_id", "specialty_name")
-    rows = lookup_join(unified, dates, "archive_date_parsed")
+    # One row per snapshot date: calendar days bound it, whatever the number of facts.
+    rows = unified.join(F.broadcast(dates), "archive_date_parsed", "left")
     rows = lookup_join(rows, hospitals, "hospital_name")
     rows = lookup_join(rows, specialties, "specialty_name")
     return rows.select(

@@ -16,19 +16,29 @@ from ..sources.warehouse_store import read_dimension, read_star, write_dimension
 from .harmonise import unify_store
 
 
+DIMENSIONS = {
+    "dim_date": build_dim_date,
+    "dim_hospital": build_dim_hospital,
+    "dim_specialty": build_dim_specialty,
+}
+
+
+def build_dimensions(unified: DataFrame, warehouse: str) -> list[DataFrame]:
+    """Write the dimensions and read them back; each reads only its own columns of the raw tables."""
+    spark = unified.sparkSession
+    for name, build in DIMENSIONS.items():
+        write_dimension(build(unified), warehouse, name)
+    return [read_dimension(spark, warehouse, name) for name in DIMENSIONS]
+
+
 def build_warehouse(unified: DataFrame, warehouse: str) -> Star:
     """Write the dimensions, then the fact, and read them back.
 
-    Each dimension reads only its own columns of the raw tables. The fact then joins the written
-    dimensions, whose file sizes tell Spark whether to broadcast them.
+    The fact joins the written dimensions, whose file sizes tell Spark whether to broadcast them.
     """
-    spark = unified.sparkSession
-    write_dimension(build_dim_date(unified), warehouse, "dim_date")
-    write_dimension(build_dim_hospital(unified), warehouse, "dim_hospital")
-    write_dimension(build_dim_specialty(unified), warehouse, "dim_specialty")
-    dims = [read_dimension(spark, warehouse, d) for d in ("dim_date", "dim_hospital", "dim_specialty")]
+    dims = build_dimensions(unified, warehouse)
     write_fact(build_fact(unified, *dims), warehouse)
-    return read_star(spark, warehouse)
+    return read_star(unified.sparkSession, warehouse)
 
 
 def rebuild(spark: SparkSession, raw: str, warehouse: str, aliases=HOSPITAL_ALIASES) -> Star:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stocktide.operators import joins, quality, reshape, star
+from stocktide.plans.warehouse import build_dimensions
+from stocktide.shared_dir import new_folder
 
 from . import stores, tables
 from .registry import query
@@ -121,7 +123,7 @@ def _fact_sums(fact):
 def fact_rows(spark, sf_dir):
     """Names and dates replaced by ids; rows of buckets keep the id of a real hospital."""
     rows = tables.unified(spark, sf_dir)
-    dims = star.build_dim_date(rows), star.build_dim_hospital(rows), star.build_dim_specialty(rows)
+    dims = build_dimensions(rows, new_folder(spark, "dimensions"))
     return _fact_sums(star.build_fact(rows, *dims))
 
 
