@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LINES, PER_SLUG = "lines", "per_slug"
+FOLDER_COLUMN = "document"
 
 
 def write_documents(documents: DataFrame, folder: str, layout: str = LINES) -> None:
@@ -18,7 +19,7 @@ def write_documents(documents: DataFrame, folder: str, layout: str = LINES) -> N
     if layout == LINES:
         rows, parts = documents.repartitionByRange("slug").sortWithinPartitions("slug"), []
     elif layout == PER_SLUG:
-        rows, parts = documents.withColumn("document", F.col("slug")), ["document"]
+        rows, parts = documents.withColumn(FOLDER_COLUMN, F.col("slug")), [FOLDER_COLUMN]
     else:
         raise ValueError(f"unknown layout {layout}")
     rows.write.mode("overwrite").option("ignoreNullFields", False).partitionBy(*parts).json(folder)
@@ -37,4 +38,5 @@ def json_text(documents: DataFrame) -> DataFrame:
 
 def read_documents(spark: SparkSession, folder: str, schema, multi_line: bool = False) -> DataFrame:
     """Published documents; `multi_line` for files that hold one indented document each."""
-    return spark.read.schema(schema).option("multiLine", multi_line).json(folder)
+    rows = spark.read.schema(schema).option("multiLine", multi_line).json(folder)
+    return rows.drop(FOLDER_COLUMN)
