@@ -13,13 +13,17 @@ def band_digits(label: Column) -> Column:
     return F.regexp_extract(label, r"(?U)^\s*([0-9]+)", 1)
 
 
-def classify_band(label: Column) -> Column:
-    """Bucket of a band by its first month. A label that starts with no number is 'Unknown'."""
-    digits = band_digits(label)
+def bucket_of_digits(digits: Column) -> Column:
+    """Bucket by first month, of digits as `band_digits` gives them."""
     start = digits.try_cast("bigint")
     return (
-        F.when(label.isNull() | (digits == ""), UNKNOWN_BUCKET)
+        F.when(digits.isNull() | (digits == ""), UNKNOWN_BUCKET)
         .when(start < 6, UNDER_6)
         .when(start < 12, SIX_TO_12)
         .otherwise(TWELVE_PLUS)  # also a run of digits too long for a bigint
     )
+
+
+def classify_band(label: Column) -> Column:
+    """Bucket of a band by its first month. A label that starts with no number is 'Unknown'."""
+    return bucket_of_digits(band_digits(label))

@@ -49,11 +49,14 @@ def first_per_key(
 ) -> DataFrame:
     """One row per non-null key with the values of its first row.
 
-    Kept by a minimum over an ordering struct, which partial aggregation shrinks before the shuffle;
-    no group is ever sorted or collected. With `skip_nulls` each value is the first non-null one.
+    Rows are made distinct first, which hashes them away before the shuffle: what is left per key is
+    at most one row per snapshot and set of values. The first of those is a minimum over an ordering
+    struct. With `skip_nulls` each value is the first non-null one.
     """
     sequence = F.struct(*order, *values)
     known = df.where(F.col(key).isNotNull())
+    columns = list(dict.fromkeys([key, *order, *values]))
+    known = known.select(*columns).distinct()
     if skip_nulls:
         firsts = [
             F.min_by(F.col(v), F.when(F.col(v).isNotNull(), sequence)).alias(v) for v in values

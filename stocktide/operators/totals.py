@@ -18,7 +18,7 @@ from ..fixed_values import (
     POPULATIONS,
     UNKNOWN_BUCKET,
 )
-from ..functions.bands import classify_band
+from ..functions.bands import band_digits, bucket_of_digits, classify_band
 
 
 @dataclass(frozen=True)
@@ -48,7 +48,10 @@ def known_domain() -> Column:
 
 
 def with_bucket(facts: DataFrame) -> DataFrame:
-    return facts.withColumn("bucket", classify_band(F.col("time_band")))
+    """Facts with their band's bucket. The digits get a projection of their own, so that the pattern
+    is matched once per row and not once per branch."""
+    digits = facts.withColumn("_digits", band_digits(F.col("time_band")))
+    return digits.withColumn("bucket", bucket_of_digits(F.col("_digits"))).drop("_digits")
 
 
 def bucket_sums() -> list[Column]:

@@ -6,19 +6,21 @@ the same year lands in a folder with a later `published` value, and the latest o
 
 from __future__ import annotations
 
-import csv
 from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..fixed_values import HEADER_NAMES
+from ..fixed_values import LONG, LONG_EARLY, WIDE, WIDE_SPECIALTY
 from ..functions.cells import present
-from ..functions.headers import clean_headers
+from ..functions.headers import clean_headers, family_of_header
 from ..schemas import text_schema
 from .catalogue import family_of, source_url_of
 
+# Early and later long files differ in names only, which are merged when they are harmonised.
+SHAPE_OF_FAMILY = {WIDE: "wide", WIDE_SPECIALTY: "specialty", LONG: "long", LONG_EARLY: "long"}
+
 FOLDER_KEYS = ("dataset", "year_key", "published")
 _KEY_FIELDS = [StructField(name, StringType()) for name in FOLDER_KEYS]
 FOLDER = "regexp_extract(path, '^(.*)/[^/]+$', 1)"
@@ -71,12 +73,9 @@ def dispatch(publications: DataFrame, **families) -> tuple[DataFrame, DataFrame]
     return placed.where("family is not null"), placed.where("family is null").drop("family")
 
 
-def read_headers(spark: SparkSession, landing: str, folders: list[str]) -> DataFrame:
-    """Distinct header lines per publication, found by their first column's published names."""
-    schema = StructType([StructField("value", StringType()), *_KEY_FIELDS])
-    lines = spark.read.schema(schema).option("basePath", landing).text(folders)
-    starts = "|".join(HEADER_NAMES["archive_date"])
-    return lines.where(F.col("value").rlike(f'^\\uFEFF?\\s*"?\\s*({starts})\\s*"?\\s*,')).distinct()
+def read_header(spark: SparkSession, folder: str) -> list[str]:
+    """Column names of a publication's first file. Spark reads the first line of one file for this."""
+    return spark.read.option("header", True).option("escape", '"').csv(folder).columns
 
 
 def read_csv(
@@ -84,8 +83,8 @@ def read_csv(
 ) -> DataFrame:
     """One scan over all folders whose files share a header. Every cell is text.
 
-    The header is checked against each file, so that a file with another column order fails rather
-    than being read into the wrong columns.
+    Spark checks the header of each file it opens, so that one with other columns, or another order,
+    fails the load rather than being read into the wrong columns.
     """
     schema = StructType([*text_schema(header).fields, *_KEY_FIELDS])
     cells = (
@@ -116,30 +115,22 @@ def with_lineage(rows: DataFrame) -> DataFrame:
 
 
 def read_publications(spark: SparkSession, landing: str, publications: DataFrame) -> list:
-    """[(family, rows)], one entry per family and distinct header.
+    """[(family, rows)], one scan per family and distinct header.
 
     `publications` has one row per dataset and year, so what reaches the driver here are folder names
     and headers, as many as the catalogue has entries.
     """
-    family_of_folder = {
-        (row.dataset, row.year_key): (row.family, row.folder) for row in publications.collect()
-    }
-    if not family_of_folder:
-        return []
-    folders = [folder for _, folder in family_of_folder.values()]
     folders_of_layout = defaultdict(list)
-    headers_seen = defaultdict(set)
-    for row in read_headers(spark, landing, folders).collect():
-        family, folder = family_of_folder[row.dataset, row.year_key]
-        header = tuple(next(csv.reader([row.value.lstrip("﻿").rstrip("\r")])))
-        headers_seen[folder].add(header)
-        if folder not in folders_of_layout[family, header]:
-            folders_of_layout[family, header].append(folder)
-    mixed = sorted(folder for folder, headers in headers_seen.items() if len(headers) > 1)
-    bare = sorted(set(folders) - set(headers_seen))
-    if mixed or bare:
-        raise ValueError(f"publications with several headers: {mixed}; with no known one: {bare}")
+    misfits = []
+    for row in publications.orderBy("dataset", "year_key").collect():
+        header = read_header(spark, row.folder)
+        if SHAPE_OF_FAMILY.get(family_of_header(clean_headers(header))) == SHAPE_OF_FAMILY[row.family]:
+            folders_of_layout[row.family, tuple(header)].append(row.folder)
+        else:
+            misfits.append((row.folder, header))
+    if misfits:
+        raise ValueError(f"publications whose header does not fit their year: {misfits}")
     return [
         (family, read_csv(spark, landing, folders, list(header)))
-        for (family, header), folders in sorted(folders_of_layout.items())
+        for (family, header), folders in folders_of_layout.items()
     ]

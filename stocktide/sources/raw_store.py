@@ -5,11 +5,14 @@ Cells stay as published. Loading a dataset's year again replaces that year and n
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..fixed_values import LONG, LONG_EARLY, WIDE, WIDE_SPECIALTY
+from ..operators.reshape import union_all
 from ..schemas import LINEAGE_COLUMNS, PARTITIONS, RAW
 from . import landing as landed
 
@@ -82,8 +85,11 @@ def ingest(
     if wanted is not None:
         publications = publications.join(wanted, ["dataset", "year_key"], "left_semi")
     known, unknown = landed.dispatch(publications, **families)
+    scans = defaultdict(list)
     for family, rows in landed.read_publications(spark, landing, known):
-        write_raw(landed.with_lineage(rows), raw, family)
+        scans[family].append(rows)
+    for family, parts in scans.items():
+        write_raw(landed.with_lineage(union_all(parts)), raw, family)
     return unknown
 
 

@@ -26,6 +26,7 @@ from stocktide.fixed_values import (
 from stocktide.functions.cells import grouped_digits
 from stocktide.operators.clean import canonical_names, flag_suppressed
 from stocktide.operators.star import observations as as_observations
+from stocktide.shared_dir import new_folder
 
 YEARS = {WIDE: ("2000", "2001"), LONG: ("1997", "1998", "1999"), LONG_EARLY: ("1995", "1996")}
 FIRST_PUBLICATION = "2002-01-15"
@@ -196,16 +197,16 @@ def _total():
     return grouped_digits(total + F.when(total % 7 == 0, 1).otherwise(0)).alias("Total")
 
 
-def published_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _tags(base(spark, sf_dir).where("year >= 2000"), "hospital")
+def published_wide(lines: DataFrame) -> DataFrame:
+    rows = _tags(lines.where("year >= 2000"), "hospital")
     keys = ["dataset", "year_key", "ArchiveDate", "adult_child", "hospital_name"]
     wide = rows.groupBy(*keys).agg(*_bands(), _total())
     return wide.withColumnsRenamed({"adult_child": "Adult_Child", "hospital_name": "HospitalName"})
 
 
-def published_wide_specialty(spark: SparkSession, sf_dir: str) -> DataFrame:
+def published_wide_specialty(lines: DataFrame) -> DataFrame:
     """Outpatient files print two unlabelled rows per key."""
-    rows = _tags(base(spark, sf_dir).where("year >= 2000"), "specialty")
+    rows = _tags(lines.where("year >= 2000"), "specialty")
     part = F.when(F.col("list_type") == "op", F.col("part_no")).alias("_part")
     keys = ["dataset", "year_key", "ArchiveDate", "adult_child", "specialty_name"]
     wide = rows.groupBy(*keys, part).agg(*_bands(), _total()).drop("_part")
@@ -216,8 +217,8 @@ _LONG_KEYS = ["hospital_group", "hospital_hipe", "hospital_name", "specialty_hip
               "case_type", "adult_child", "time_band"]
 
 
-def _long(spark: SparkSession, sf_dir: str, years: str) -> DataFrame:
-    rows = _tags(base(spark, sf_dir).where(years), "hospital")
+def _long(lines: DataFrame, years: str) -> DataFrame:
+    rows = _tags(lines.where(years), "hospital")
     ages = F.when(F.col("adult_child") == "Adult", "16-64").otherwise("0-15")
     return (
         rows.groupBy("dataset", "year_key", "ArchiveDate", *_LONG_KEYS)
@@ -226,9 +227,9 @@ def _long(spark: SparkSession, sf_dir: str, years: str) -> DataFrame:
     )
 
 
-def published_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+def published_long(lines: DataFrame) -> DataFrame:
     """Years 1997 to 1999; outpatient files of 1999 spell one column differently."""
-    rows = _long(spark, sf_dir, "year between 1997 and 1999")
+    rows = _long(lines, "year between 1997 and 1999")
     odd = (F.col("dataset") == "op_hospital") & (F.col("year_key") == "1999")
     return rows.select(
         "dataset",
@@ -248,9 +249,9 @@ def published_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def published_long_early(spark: SparkSession, sf_dir: str) -> DataFrame:
+def published_long_early(lines: DataFrame) -> DataFrame:
     """Years before 1997; 1996 spells two columns differently."""
-    rows = _long(spark, sf_dir, "year < 1997")
+    rows = _long(lines, "year < 1997")
     odd = F.col("year_key") == "1996"
     return rows.select(
         "dataset",
@@ -270,12 +271,13 @@ def published_long_early(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def published(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def published(lines: DataFrame) -> dict[str, DataFrame]:
+    """{family: rows as published} of the rows of `base`."""
     return {
-        WIDE: published_wide(spark, sf_dir),
-        LONG: published_long(spark, sf_dir),
-        LONG_EARLY: published_long_early(spark, sf_dir),
-        WIDE_SPECIALTY: published_wide_specialty(spark, sf_dir),
+        WIDE: published_wide(lines),
+        LONG: published_long(lines),
+        LONG_EARLY: published_long_early(lines),
+        WIDE_SPECIALTY: published_wide_specialty(lines),
     }
 
 
@@ -295,8 +297,13 @@ def write_publication(rows: DataFrame, landing: str, stamp: str = FIRST_PUBLICAT
 
 
 def write_all_publications(spark: SparkSession, sf_dir: str, landing: str) -> None:
-    """Every family, each file with the header its dataset and year really have."""
-    frames = published(spark, sf_dir)
+    """Every family, each file with the header its dataset and year really have.
+
+    The joined lines are written once and read back for each kind of file.
+    """
+    joined = new_folder(spark, "lines")
+    base(spark, sf_dir).write.parquet(joined)
+    frames = published(spark.read.parquet(joined))
     write_publication(frames[WIDE], landing)
     write_publication(frames[WIDE_SPECIALTY], landing)
     is_op, odd_long = F.col("dataset") == "op_hospital", F.col("year_key") == "1999"
