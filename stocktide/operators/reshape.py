@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
+    DATASET_LIST_TYPE,
     HEADER_NAMES,
     HOSPITAL,
     HOSPITAL_SPECIALTY,
@@ -64,16 +65,23 @@ def sum_duplicates(df: DataFrame, keys, no_null=None) -> DataFrame:
 
 
 def wide_specialty_to_long(df: DataFrame, summed_list_types=("op",)) -> DataFrame:
-    """National specialty files. Where a list type publishes unlabelled parts of one key, add them."""
+    """National specialty files. Where a list type publishes unlabelled parts of one key, add them.
+
+    Both parts of the union filter on the dataset, by which the raw table is partitioned, so each
+    file is read once.
+    """
     names = ("archive_date", "adult_child", "specialty_name")
-    long = _tagged(
-        unpivot_bands(_wide_ids(df, names), [*names, "dataset", "year_key"]), NATIONAL_SPECIALTY
-    )
-    doubled = F.col("list_type").isin(*summed_list_types)
-    keys = [c for c in long.columns if c != "count"]
-    summed = sum_duplicates(long.where(doubled), keys, no_null=[*names, "time_band"])
-    single = long.where(~F.coalesce(doubled, F.lit(False)))
-    return conform(single.unionByName(summed.select(*long.columns)))
+
+    def long(part: DataFrame) -> DataFrame:
+        bands = unpivot_bands(_wide_ids(part, names), [*names, "dataset", "year_key"])
+        return _tagged(bands, NATIONAL_SPECIALTY)
+
+    in_parts = [d for d, list_type in DATASET_LIST_TYPE.items() if list_type in summed_list_types]
+    doubled = F.coalesce(F.col("dataset").isin(*in_parts), F.lit(False))
+    single, parts = long(df.where(~doubled)), long(df.where(doubled))
+    keys = [c for c in parts.columns if c != "count"]
+    summed = sum_duplicates(parts, keys, no_null=[*names, "time_band"])
+    return conform(single.unionByName(summed))
 
 
 def long_rows(df: DataFrame) -> DataFrame:

@@ -28,8 +28,10 @@ from ..fixed_values import (
 )
 from ..functions.dates import iso_label, month_label
 from ..functions.names import slug
-from ..operators.totals import bucket_sums, row_total, with_bucket
-from .queries import COMBINATION, latest_dates, ranked, specialty_breakdown
+from ..operators.joins import lookup_join
+from ..operators.star import Star, named
+from ..operators.totals import IDS, NAMES, Keys, bucket_sums, row_total, with_bucket
+from .queries import COMBINATION, latest_dates, published_hospitals, star_top_specialties, top_specialties
 
 POINT = ("total", *BUCKET_COLUMNS)
 
@@ -55,7 +57,7 @@ def _collected(points: DataFrame, by) -> DataFrame:
     return points.groupBy(*by).agg(*arrays)
 
 
-def _points(rows: DataFrame, by) -> DataFrame:
+def _points(rows: DataFrame, by, date: str = NAMES.date) -> DataFrame:
     """Bucket sums per key; `_has_point` tells the keys that make a point in a series.
 
     Keys without a date, or with unknown bands only, stay: their hospital is published all the same.
@@ -63,13 +65,31 @@ def _points(rows: DataFrame, by) -> DataFrame:
     known = F.count_if(F.col("bucket") != UNKNOWN_BUCKET) > 0
     return (
         with_bucket(rows)
-        .groupBy(*by)
+        .groupBy(*by, date)
         .agg(*bucket_sums(), known.alias("_known"))
         .withColumn("total", row_total())
-        .withColumn("_has_point", F.col("_known") & F.col("archive_date").isNotNull())
+        .withColumn("_has_point", F.col("_known") & F.col(date).isNotNull())
     )
 
 
+def _published(facts: DataFrame, keys: Keys = NAMES) -> DataFrame:
+    return facts.where(~F.col("is_suppressed_bucket") & F.col(keys.hospital).isNotNull())
+
+
+def hospital_points(facts: DataFrame, keys: Keys = NAMES) -> DataFrame:
+    rows = _published(facts, keys)
+    return _points(rows, [keys.hospital, *COMBINATION], keys.date)
+
+
+def national_points(facts: DataFrame, keys: Keys = NAMES) -> DataFrame:
+    return _points(_published(facts, keys), COMBINATION, keys.date)
+
+
+def _dated(points: DataFrame, star: Star) -> DataFrame:
+    """Points by date id -> by date, those without one kept."""
+    return lookup_join(points, star.dim_date.select("date_id", "archive_date"), "date_id")
+
+
 def _population(series: Column) -> Column:
     last = F.when(F.size(series) > 0, F.element_at(series, -1)["date"])
     return F.struct(last.alias("last_updated"), series.alias("series"))
@@ -89,15 +109,7 @@ def _list_types(notes: dict[str, str], limitations: str) -> Column:
     return F.struct(*[one(lt) for lt in LIST_TYPES])
 
 
-def hospital_documents(
-    facts: DataFrame,
-    notes=METHODOLOGY_NOTES,
-    limitations: str = SERIES_LIMITATIONS,
-    source: str = SOURCE,
-) -> DataFrame:
-    """One document per hospital with any unsuppressed row."""
-    rows = facts.where("not is_suppressed_bucket and hospital_name is not null")
-    points = _points(rows, ["hospital_name", *COMBINATION, "archive_date"])
+def _hospital_documents(points: DataFrame, notes, limitations: str, source: str) -> DataFrame:
     name = F.col("hospital_name")
     return _collected(points, ["hospital_name"]).select(
         name,
@@ -107,15 +119,29 @@ def hospital_documents(
     )
 
 
-def national_document(
+def hospital_documents(
     facts: DataFrame,
     notes=METHODOLOGY_NOTES,
     limitations: str = SERIES_LIMITATIONS,
     source: str = SOURCE,
 ) -> DataFrame:
-    """One row: the document of all hospitals together."""
-    rows = facts.where("not is_suppressed_bucket and hospital_name is not null")
-    points = _points(rows, [*COMBINATION, "archive_date"])
+    """One document per hospital with any unsuppressed row."""
+    return _hospital_documents(hospital_points(facts), notes, limitations, source)
+
+
+def star_hospital_documents(
+    star: Star,
+    notes=METHODOLOGY_NOTES,
+    limitations: str = SERIES_LIMITATIONS,
+    source: str = SOURCE,
+) -> DataFrame:
+    """The same from a star schema: sums by id, then dates and names on the sums."""
+    points = _dated(hospital_points(star.fact, IDS), star)
+    names = star.dim_hospital.select("hospital_id", "hospital_name")
+    return _hospital_documents(points.join(names, "hospital_id"), notes, limitations, source)
+
+
+def _national_document(points: DataFrame, notes, limitations: str, source: str) -> DataFrame:
     noted = {lt: note + NATIONAL_NOTE for lt, note in notes.items()}
     return _collected(points, []).select(
         F.lit(NATIONAL_NAME).alias("hospital_name"),
@@ -125,17 +151,50 @@ def national_document(
     )
 
 
+def national_document(
+    facts: DataFrame,
+    notes=METHODOLOGY_NOTES,
+    limitations: str = SERIES_LIMITATIONS,
+    source: str = SOURCE,
+) -> DataFrame:
+    """One row: the document of all hospitals together, a point per combination and date."""
+    return _national_document(national_points(facts), notes, limitations, source)
+
+
+def star_national_document(
+    star: Star,
+    notes=METHODOLOGY_NOTES,
+    limitations: str = SERIES_LIMITATIONS,
+    source: str = SOURCE,
+) -> DataFrame:
+    points = _dated(national_points(star.fact, IDS), star)
+    return _national_document(points, notes, limitations, source)
+
+
 def specialty_document(
     facts: DataFrame, notes=SPECIALTY_NOTES, k: int = TOP_SPECIALTIES, source: str = SOURCE
 ) -> DataFrame:
     """One row: the k largest specialties of each list type and population."""
+    return _specialty_document(latest_dates(facts), top_specialties(facts, k), notes, source)
+
+
+def star_specialty_document(
+    star: Star, notes=SPECIALTY_NOTES, k: int = TOP_SPECIALTIES, source: str = SOURCE
+) -> DataFrame:
+    latest = latest_dates(star.fact, IDS).withColumnRenamed("last_updated", "date_id")
+    dated = named(latest, star).withColumnRenamed("archive_date", "last_updated")
+    return _specialty_document(dated, star_top_specialties(star, k), notes, source)
+
+
+def _specialty_document(latest: DataFrame, top: DataFrame, notes, source: str) -> DataFrame:
+    """From at most one latest date and k items per list type and population."""
     item = F.struct("rank", F.struct("specialty_name", *POINT).alias("item"))
-    items = ranked(specialty_breakdown(facts), k).groupBy(*COMBINATION).agg(
+    items = top.groupBy(*COMBINATION).agg(
         F.transform(F.array_sort(F.collect_list(item)), lambda e: e["item"]).alias("items"),
         F.max("n_tracked").alias("n_tracked"),
     )
     # A combination may have a latest date and yet no specialty left after suppression.
-    rows = latest_dates(facts).join(F.broadcast(items), list(COMBINATION), "left")
+    rows = latest.join(F.broadcast(items), list(COMBINATION), "left")
     n_items = F.coalesce(F.size("items"), F.lit(0))
     entry = F.struct(
         iso_label(F.col("last_updated")).alias("last_updated"),
@@ -170,12 +229,16 @@ def specialty_document(
 
 def index(facts: DataFrame) -> DataFrame:
     """Slug and name of every published hospital, sorted by name."""
-    rows = facts.where("not is_suppressed_bucket and hospital_name is not null")
     name = F.col("hospital_name")
-    names = rows.select(name).distinct()
+    names = _published(facts).select(name).distinct()
     return names.select(slug(name).alias("slug"), name).orderBy("hospital_name")
 
 
+def star_index(star: Star) -> DataFrame:
+    names = published_hospitals(star).select("hospital_name")
+    return names.select(slug(F.col("hospital_name")).alias("slug"), "hospital_name")
+
+
 def dense_grid(entities: DataFrame, series: DataFrame, key: str) -> DataFrame:
     """Every entity x list type x population with its points; missing ones get an empty array."""
     cells = F.array(

@@ -7,6 +7,7 @@ the same year lands in a folder with a later `published` value, and the latest o
 from __future__ import annotations
 
 from collections import defaultdict
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,8 +123,10 @@ def read_publications(spark: SparkSession, landing: str, publications: DataFrame
     """
     folders_of_layout = defaultdict(list)
     misfits = []
-    for row in publications.orderBy("dataset", "year_key").collect():
-        header = read_header(spark, row.folder)
+    found = publications.orderBy("dataset", "year_key").collect()
+    with ThreadPool(8) as pool:  # each is a job of one short task
+        headers = pool.map(lambda row: read_header(spark, row.folder), found)
+    for row, header in zip(found, headers):
         if SHAPE_OF_FAMILY.get(family_of_header(clean_headers(header))) == SHAPE_OF_FAMILY[row.family]:
             folders_of_layout[row.family, tuple(header)].append(row.folder)
         else:

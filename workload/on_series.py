@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from stocktide.fixed_values import BUCKETS
 from stocktide.functions.dates import long_month_label, month_label
-from stocktide.operators import analysis, star, totals
-from stocktide.plans import publish, queries
+from stocktide.operators import analysis, totals
+from stocktide.plans import export, publish, queries
 from stocktide.shared_dir import new_folder
 from stocktide.sources import documents, warehouse_store
 
@@ -357,16 +357,48 @@ def hospital_index(spark, sf_dir):
     return documents.read_documents(spark, folder, "slug string, hospital_name string")
 
 
-@query(
-    with_unified(f"SELECT hospital_name, {_SLUG} AS slug, {_POINTS} FROM ({HOSPITAL_SERIES})")
-)
+_EXPORTED = f"""SELECT 'hospitals' AS part, {COMBINATION}, hospital_name AS name, {iso('archive_date')} AS date,
+    total FROM ({HOSPITAL_SERIES})
+  UNION ALL SELECT 'national', {COMBINATION}, 'National', {iso('archive_date')}, total FROM ({NATIONAL_SERIES})
+  UNION ALL SELECT 'national_by_specialty', {COMBINATION}, specialty_name, {iso('last_updated')}, total
+    FROM ranked WHERE rank <= 15
+  UNION ALL SELECT DISTINCT 'index', NULL, NULL, hospital_name, {_SLUG}, NULL FROM unified WHERE {IN_HOSPITAL}"""
+
+
+@query(with_breakdown(_EXPORTED))
 def document_readback(spark, sf_dir):
-    """Documents of the loaded warehouse's facts, written as JSON and read again."""
-    facts = star.star_observations(stores.star(spark, sf_dir))
-    made = publish.hospital_documents(facts)
-    folder = new_folder(spark, "documents")
-    documents.write_documents(made, folder)
-    return publish.flatten_documents(documents.read_documents(spark, folder, made.schema))
+    """Everything exported from the written warehouse as JSON, read again."""
+    warehouse = stores.star(spark, sf_dir)
+    folder = new_folder(spark, "site")
+    export.export(warehouse, folder)
+    hospital_schema = publish.star_hospital_documents(warehouse).schema
+
+    def read(part, schema):
+        return documents.read_documents(spark, f"{folder}/{part}", schema)
+
+    def points(part):
+        flat = publish.flatten_documents(read(part, hospital_schema))
+        return flat.select(
+            F.lit(part).alias("part"), "list_type", "adult_child",
+            F.col("hospital_name").alias("name"), "date", "total",
+        )
+
+    ranking = read(export.BY_SPECIALTY, publish.star_specialty_document(warehouse).schema)
+    items = publish.flatten_ranking(ranking).select(
+        "list_type", "adult_child", "last_updated", F.inline("items")
+    )
+    ranked = items.select(
+        F.lit(export.BY_SPECIALTY).alias("part"), "list_type", "adult_child",
+        F.col("specialty_name").alias("name"), F.col("last_updated").alias("date"), "total",
+    )
+    none = F.lit(None).cast("string")
+    names = read(export.INDEX, "slug string, hospital_name string").select(
+        F.lit(export.INDEX).alias("part"), none.alias("list_type"), none.alias("adult_child"),
+        F.col("hospital_name").alias("name"), F.col("slug").alias("date"),
+        F.lit(None).cast("bigint").alias("total"),
+    )
+    found = points(export.HOSPITALS).unionByName(points(export.NATIONAL))
+    return found.unionByName(ranked).unionByName(names)
 
 
 @query(
