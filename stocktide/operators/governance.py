@@ -73,20 +73,22 @@ def check_metadata(
 def metadata_record(profile: DataFrame, constants: dict[str, str], suppressed: Column) -> DataFrame:
     """Assemble a record: given texts, the columns of a `column_profile`, dates of today.
 
-    `profile` has a `position` column; the names of a table's columns are a bounded list.
+    `profile` has one row per column of the table and its `position`. `suppressed` is a literal, or an
+    aggregate over columns of the profile, such as whether a marker scan found anything.
     """
     names = F.transform(
         F.array_sort(F.collect_list(F.struct("position", "column_name"))),
         lambda e: e["column_name"],
     )
-    rows = profile.agg(names.alias("variables"))
+    flag = suppressed.alias("small_cell_suppression_applied")
+    rows = profile.agg(names.alias("variables"), flag)
     texts = [F.lit(value).alias(name) for name, value in constants.items()]
     return rows.select(
         *texts,
         "variables",
         F.current_date().cast("string").alias("download_date"),
         F.current_date().cast("string").alias("processing_date"),
-        suppressed.alias("small_cell_suppression_applied"),
+        "small_cell_suppression_applied",
     )
 
 
@@ -125,14 +127,22 @@ def ready_indicators(
 ) -> DataFrame:
     """Per indicator: how many of the datasets it depends on may be published, and whether all may.
 
-    `indicators` has `indicator_id` and an array `depends_on`. One that depends on nothing is ready.
+    `indicators` has a unique `indicator_id` and an array `depends_on`. One that depends on nothing is
+    ready. The semi-join needs no distinct datasets, so one that most indicators depend on can be
+    split over tasks.
     """
-    needs = indicators.select("indicator_id", F.explode_outer("depends_on").alias(key)).distinct()
-    available = datasets.select(key).distinct().withColumn("_available", F.lit(True))
-    found = needs.join(available, key, "left")
-    needed, there = F.col(key).isNotNull(), F.col("_available").isNotNull()
-    return found.groupBy("indicator_id").agg(
-        F.count_if(needed).alias("n_needed"),
-        F.count_if(needed & there).alias("n_available"),
-        F.every(~needed | there).alias("is_ready"),
+    needs = F.array_distinct(F.coalesce("depends_on", F.array().cast("array<string>")))
+    listed = indicators.select("indicator_id", F.array_compact(needs).alias("_needs"))
+    found = (
+        listed.select("indicator_id", F.explode("_needs").alias(key))
+        .join(datasets.select(key), key, "left_semi")
+        .groupBy("indicator_id")
+        .agg(F.count("*").alias("_found"))
     )
+    n_available = F.coalesce("_found", F.lit(0))
+    counted = listed.join(found, "indicator_id", "left").select(
+        "indicator_id",
+        F.size("_needs").cast("bigint").alias("n_needed"),
+        n_available.cast("bigint").alias("n_available"),
+    )
+    return counted.withColumn("is_ready", F.col("n_available") == F.col("n_needed"))

@@ -13,8 +13,10 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
 
     No broadcast is forced: Spark broadcasts the lookup when its measured size is under
     `spark.sql.autoBroadcastJoinThreshold` and otherwise shuffles both sides, where adaptive
-    execution splits a key that holds too many rows. Rows without a key match nothing; they are
-    spread over the shuffle partitions rather than all hashed to the one of the null key.
+    execution splits a key that holds too many rows. It can do so only when each side of the join is
+    a plain shuffle, so the lookup should be a table or a fixed frame, not an aggregate by the same
+    key. Rows without a key match nothing; they are spread over the shuffle partitions rather than
+    all hashed to the one of the null key.
     """
     kind = dict(facts.dtypes)[key]
     others = [F.col(f"`{c}`") for c in facts.columns if c != key]
@@ -28,7 +30,7 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
 
 
 def known_only(facts: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is in the lookup."""
+    """Rows whose key is in the lookup, which may repeat keys (see `lookup_join` on hot keys)."""
     return facts.join(lookup.select(key), key, "left_semi")
 
 

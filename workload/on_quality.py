@@ -250,14 +250,8 @@ def metadata_record(spark, sf_dir):
     rows = tables.table(spark, sf_dir, "customer")
     position = F.array_position(F.array(*[F.lit(c) for c in rows.columns]), F.col("column_name"))
     profile = quality.column_profile(rows).withColumn("position", position)
-    found = quality.marker_scan(rows, ("furniture",)).groupBy("column_name").agg(
-        F.bool_or("found").alias("found")
-    )
-    record = governance.metadata_record(
-        profile.join(found, "column_name"), {"dataset_id": "customer"}, F.lit(None).cast("boolean")
-    )
-    flag = found.agg(F.bool_or("found").alias("small_cell_suppression_applied"))
-    made = record.drop("small_cell_suppression_applied").join(flag)
+    scanned = profile.join(quality.marker_scan(rows, ("furniture",)), "column_name")
+    made = governance.metadata_record(scanned, {"dataset_id": "customer"}, F.bool_or("found"))
     return made.select(
         "dataset_id",
         F.concat_ws(",", "variables").alias("variables"),
@@ -319,11 +313,12 @@ def publish_gate(spark, sf_dir):
 def indicator_ready(spark, sf_dir):
     """Each order as an indicator that needs two customers' datasets; one in four needs none."""
     key = F.col("o_orderkey")
-    depends = F.when(key % 4 != 0, F.array(F.col("o_custkey"), key % 1500))
+    two = F.array(F.col("o_custkey").cast("string"), (key % 1500).cast("string"))
+    depends = F.when(key % 4 != 0, two)
     indicators = tables.table(spark, sf_dir, "orders").select(
         key.alias("indicator_id"), depends.alias("depends_on")
     )
     available = tables.table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0")
     return governance.ready_indicators(
-        indicators, available.select(F.col("c_custkey").alias("dataset_id"))
+        indicators, available.select(F.col("c_custkey").cast("string").alias("dataset_id"))
     )

@@ -150,10 +150,9 @@ def fact_ids_unique(spark, sf_dir):
     )
 )
 def known_hospital_rows(spark, sf_dir):
-    """Rows of hospitals in the dimension, their suppressed rows among them."""
-    rows = tables.unified(spark, sf_dir)
-    hospitals = rows.where("not is_suppressed_bucket and hospital_name is not null")
-    found = joins.known_only(rows, hospitals, "hospital_name")
+    """Rows of hospitals in the written dimension, their suppressed rows among them."""
+    hospitals = stores.star(spark, sf_dir).dim_hospital
+    found = joins.known_only(tables.unified(spark, sf_dir), hospitals, "hospital_name")
     return found.groupBy("granularity", "list_type").agg(F.count("*").alias("n_rows"))
 
 
