@@ -31,6 +31,7 @@ from ..functions.names import slug
 from ..operators.joins import lookup_join
 from ..operators.star import Star, named
 from ..operators.totals import IDS, NAMES, Keys, bucket_sums, row_total, with_bucket
+from ..shared_dir import fixed
 from .queries import COMBINATION, latest_dates, published_hospitals, star_top_specialties, top_specialties
 
 POINT = ("total", *BUCKET_COLUMNS)
@@ -175,15 +176,20 @@ def specialty_document(
     facts: DataFrame, notes=SPECIALTY_NOTES, k: int = TOP_SPECIALTIES, source: str = SOURCE
 ) -> DataFrame:
     """One row: the k largest specialties of each list type and population."""
-    return _specialty_document(latest_dates(facts), top_specialties(facts, k), notes, source)
+    latest = fixed(latest_dates(facts))
+    top = top_specialties(facts, k, latest.collect())
+    return _specialty_document(latest, top, notes, source)
 
 
 def star_specialty_document(
     star: Star, notes=SPECIALTY_NOTES, k: int = TOP_SPECIALTIES, source: str = SOURCE
 ) -> DataFrame:
-    latest = latest_dates(star.fact, IDS).withColumnRenamed("last_updated", "date_id")
-    dated = named(latest, star).withColumnRenamed("archive_date", "last_updated")
-    return _specialty_document(dated, star_top_specialties(star, k), notes, source)
+    latest = fixed(latest_dates(star.fact, IDS))
+    top = star_top_specialties(star, k, latest.collect())
+    dated = named(latest.withColumnRenamed("last_updated", "date_id"), star)
+    return _specialty_document(
+        dated.withColumnRenamed("archive_date", "last_updated"), top, notes, source
+    )
 
 
 def _specialty_document(latest: DataFrame, top: DataFrame, notes, source: str) -> DataFrame:

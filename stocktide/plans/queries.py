@@ -16,6 +16,7 @@ from ..fixed_values import (
     TOP_SPECIALTIES,
 )
 from ..operators.star import Star, named
+from ..shared_dir import fixed
 from ..operators.totals import (
     IDS,
     NAMES,
@@ -177,30 +178,49 @@ def latest_dates(facts: DataFrame, keys: Keys = NAMES) -> DataFrame:
     return rows.groupBy(*COMBINATION).agg(F.max(keys.date).alias("last_updated"))
 
 
-def specialty_breakdown(facts: DataFrame) -> DataFrame:
-    """Buckets of every specialty at the latest date of its list type and population."""
-    # At most one row per list type and population, both from fixed lists: safe to broadcast.
-    latest = F.broadcast(latest_dates(facts).withColumnRenamed("last_updated", "archive_date"))
-    rows = eligible(facts, "specialty_name").join(latest, [*COMBINATION, "archive_date"])
-    return bucket_totals(rows, [*COMBINATION, "archive_date", "specialty_name"]).withColumnRenamed(
-        "archive_date", "last_updated"
-    )
+def at_dates(facts: DataFrame, dates, keys: Keys = NAMES) -> DataFrame:
+    """Rows at the given date of their list type and population.
+
+    `dates` are rows of `latest_dates`, at most one per list type and population, both from fixed
+    lists. As plain conditions they reach the scan, which then skips all other snapshots.
+    """
+    here = F.lit(False)
+    for row in dates:
+        here = here | (
+            (F.col("list_type") == row.list_type)
+            & (F.col("adult_child") == row.adult_child)
+            & (F.col(keys.date) == F.lit(row.last_updated))
+        )
+    return facts.where(here)
+
+
+def specialty_breakdown(facts: DataFrame, keys: Keys = NAMES, dates=None) -> DataFrame:
+    """Buckets of every specialty at the latest date of its list type and population.
+
+    The latest dates are looked up first, unless given.
+    """
+    dates = latest_dates(facts, keys).collect() if dates is None else dates
+    rows = at_dates(eligible(facts, keys.specialty, keys), dates, keys)
+    totals = bucket_totals(rows, [*COMBINATION, keys.date, keys.specialty])
+    return totals.withColumnRenamed(NAMES.date, "last_updated")
 
 
 def ranked(breakdown: DataFrame, k: int = TOP_SPECIALTIES) -> DataFrame:
     """The k largest specialties per list type and population, ties by name, and how many there are.
 
     Spark limits each task to its own k rows per group before the shuffle, so a group is never
-    gathered whole; the number of specialties is a count of its own for the same reason.
+    gathered whole; the number of specialties is a count of its own for the same reason. The
+    breakdown, a row per specialty, is fixed so that both read it and not the facts.
     """
+    breakdown = fixed(breakdown)
     by_size = Window.partitionBy(*COMBINATION).orderBy(F.desc("total"), F.asc("specialty_name"))
     top = breakdown.withColumn("rank", F.row_number().over(by_size)).where(F.col("rank") <= k)
     tracked = breakdown.groupBy(*COMBINATION).agg(F.count("*").alias("n_tracked"))
     return top.join(F.broadcast(tracked), list(COMBINATION))
 
 
-def top_specialties(facts: DataFrame, k: int = TOP_SPECIALTIES) -> DataFrame:
-    return ranked(specialty_breakdown(facts), k)
+def top_specialties(facts: DataFrame, k: int = TOP_SPECIALTIES, dates=None) -> DataFrame:
+    return ranked(specialty_breakdown(facts, dates=dates), k)
 
 
 # ---- the same on a star schema: sums by id first, names on the sums ------------------------------
@@ -226,14 +246,10 @@ def star_specialty_trend(star: Star) -> DataFrame:
     return named(specialty_trend(star.fact, IDS), star)
 
 
-def star_top_specialties(star: Star, k: int = TOP_SPECIALTIES) -> DataFrame:
+def star_top_specialties(star: Star, k: int = TOP_SPECIALTIES, dates=None) -> DataFrame:
     """`top_specialties` on a star schema.
 
     Date ids follow the calendar, so the latest date is the largest id, and only ids meet the facts.
     """
-    latest = F.broadcast(latest_dates(star.fact, IDS).withColumnRenamed("last_updated", "date_id"))
-    rows = eligible(star.fact, "specialty_id", IDS).join(latest, [*COMBINATION, "date_id"])
-    totals = bucket_totals(rows, [*COMBINATION, "date_id", "specialty_id"])
-    breakdown = named(totals, star).withColumnRenamed("archive_date", "last_updated")
-    return ranked(breakdown, k)
-
+    breakdown = named(specialty_breakdown(star.fact, IDS, dates), star)
+    return ranked(breakdown.withColumnRenamed("archive_date", "last_updated"), k)

@@ -79,6 +79,13 @@ def test_ranking_limits_each_task_before_the_shuffle(skewed):
     assert shown.count("WindowGroupLimit") == 2
 
 
+def test_the_latest_snapshot_is_picked_in_the_scan(skewed, tmp_path):
+    built = build_warehouse(skewed, str(tmp_path / "w"))
+    shown = plan(queries.specialty_breakdown(built.fact, queries.IDS), "formatted")
+    (pushed,) = [line for line in shown.splitlines() if line.startswith("PushedFilters")]
+    assert "EqualTo(date_id,3)" in pushed and "Join" not in shown
+
+
 def test_star_queries_read_only_their_columns_and_partitions(skewed, tmp_path):
     built = build_warehouse(skewed, str(tmp_path / "w"))
     facts = built.fact.where("list_type = 'ipdc'")
