@@ -57,9 +57,14 @@ def numeric_report(df: DataFrame, threshold: float = 0.9) -> DataFrame:
     if not names:
         raise ValueError("no text columns")
 
-    def cell_counts(name: str) -> Column:
-        cell = F.col(f"`{name}`")
-        number = parse_number(cell)
+    # Numbers get a projection of their own, so that each cell is parsed once.
+    numbers = df.select(
+        *[F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(names)],
+        *[parse_number(F.col(f"`{name}`")).alias(f"n{i}") for i, name in enumerate(names)],
+    )
+
+    def cell_counts(i: int, name: str) -> Column:
+        cell, number = F.col(f"c{i}"), F.col(f"n{i}")
         plain = number.isNotNull() & ~cell.contains(",")
         return F.struct(
             F.lit(name).alias("column_name"),
@@ -72,8 +77,8 @@ def numeric_report(df: DataFrame, threshold: float = 0.9) -> DataFrame:
             ),
         )
 
-    counted = df.agg(F.array(*[cell_counts(name) for name in names]).alias("columns"))
-    rows = counted.select(F.inline("columns"))
+    structs = [cell_counts(i, name) for i, name in enumerate(names)]
+    rows = numbers.agg(F.array(*structs).alias("columns")).select(F.inline("columns"))
     by_share = F.col("n_numbers") / F.col("n_rows") > threshold
     all_plain = (F.col("n_present") > 0) & (F.col("n_plain") == F.col("n_present"))
     numeric = F.coalesce(by_share | all_plain, F.lit(False))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from ..operators.star import Star
 from ..sources.documents import LINES, write_documents, write_lines
 from .publish import (
@@ -20,7 +22,11 @@ def export(star: Star, folder: str, layout: str = LINES) -> None:
     Each hospital, list type and population comes from one aggregation over the facts, not a query
     each.
     """
-    write_lines(star_national_document(star), f"{folder}/{NATIONAL}")
-    write_lines(star_specialty_document(star), f"{folder}/{BY_SPECIALTY}")
-    write_documents(star_hospital_documents(star), f"{folder}/{HOSPITALS}", layout)
-    write_lines(star_index(star), f"{folder}/{INDEX}")
+    writes = (
+        lambda: write_lines(star_national_document(star), f"{folder}/{NATIONAL}"),
+        lambda: write_lines(star_specialty_document(star), f"{folder}/{BY_SPECIALTY}"),
+        lambda: write_documents(star_hospital_documents(star), f"{folder}/{HOSPITALS}", layout),
+        lambda: write_lines(star_index(star), f"{folder}/{INDEX}"),
+    )
+    with ThreadPool(len(writes)) as pool:  # their jobs do not depend on each other
+        pool.map(lambda write: write(), writes)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..fixed_values import HOSPITAL_ALIASES
@@ -24,10 +26,18 @@ DIMENSIONS = {
 
 
 def build_dimensions(unified: DataFrame, warehouse: str) -> list[DataFrame]:
-    """Write the dimensions and read them back; each reads only its own columns of the raw tables."""
+    """Write the dimensions and read them back; each reads only its own columns of the raw tables.
+
+    They do not depend on each other, so their jobs run side by side.
+    """
     spark = unified.sparkSession
-    for name, build in DIMENSIONS.items():
+
+    def write(item):
+        name, build = item
         write_dimension(build(unified), warehouse, name)
+
+    with ThreadPool(len(DIMENSIONS)) as pool:
+        pool.map(write, DIMENSIONS.items())
     return [read_dimension(spark, warehouse, name) for name in DIMENSIONS]
 
 

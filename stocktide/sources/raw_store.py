@@ -6,6 +6,7 @@ Cells stay as published. Loading a dataset's year again replaces that year and n
 from __future__ import annotations
 
 from collections import defaultdict
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,8 +89,14 @@ def ingest(
     scans = defaultdict(list)
     for family, rows in landed.read_publications(spark, landing, known):
         scans[family].append(rows)
-    for family, parts in scans.items():
+
+    def write(item):
+        family, parts = item
         write_raw(landed.with_lineage(union_all(parts)), raw, family)
+
+    if scans:
+        with ThreadPool(len(scans)) as pool:  # each family is a table of its own
+            pool.map(write, scans.items())
     return unknown
 
 

@@ -13,7 +13,7 @@ from stocktide.operators import clean, quality, reshape
 from stocktide.plans import queries
 from stocktide.plans.harmonise import NORMALISERS, unify
 
-from . import tables
+from . import stores, tables
 from .on_sources import _DATE_TEXT, _WIDE_SUMS
 from .registry import query
 from .sql import BUCKET, iso, with_base, with_unified
@@ -30,7 +30,7 @@ from .sql import BUCKET, iso, with_base, with_unified
 )
 def wide_table(spark, sf_dir):
     """A wide publication on its own: headers in snake case, counts and date parsed."""
-    return clean.wide_table(tables.published_wide(tables.base(spark, sf_dir)))
+    return clean.wide_table(tables.published_wide(stores.lines(spark, sf_dir)))
 
 
 @query(
@@ -44,7 +44,7 @@ def wide_table(spark, sf_dir):
 )
 def header_variants(spark, sf_dir):
     """Two spellings of a header in one table feed one column."""
-    frames = [tables.published_long(tables.base(spark, sf_dir)), tables.published_long_early(tables.base(spark, sf_dir))]
+    frames = [tables.published_long(stores.lines(spark, sf_dir)), tables.published_long_early(stores.lines(spark, sf_dir))]
     merged = [clean.merge_headers(f, keep=["dataset", "year_key"]) for f in frames]
     rows = reshape.union_all(merged)
     return rows.groupBy("dataset", "year_key", "specialty_hipe", "specialty_name").agg(
@@ -315,7 +315,7 @@ _LONG_KEYS = "archive_date, adult_child, time_band, granularity, list_type, sour
     )
 )
 def wide_to_long(spark, sf_dir):
-    long = reshape.wide_to_long(tables.published_wide(tables.base(spark, sf_dir)))
+    long = reshape.wide_to_long(tables.published_wide(stores.lines(spark, sf_dir)))
     return long.select("hospital_name", "count", *_LONG_KEYS.split(", "))
 
 
@@ -333,7 +333,7 @@ def wide_to_long(spark, sf_dir):
 )
 def wide_specialty_to_long(spark, sf_dir):
     """Outpatient rows come in two unlabelled parts, which are added up."""
-    long = reshape.wide_specialty_to_long(tables.published_wide_specialty(tables.base(spark, sf_dir)))
+    long = reshape.wide_specialty_to_long(tables.published_wide_specialty(stores.lines(spark, sf_dir)))
     return long.select("specialty_name", "count", *_LONG_KEYS.split(", "))
 
 
@@ -347,7 +347,7 @@ def wide_specialty_to_long(spark, sf_dir):
 )
 def long_rows(spark, sf_dir):
     """Files of both long families, their headers merged."""
-    frames = [tables.published_long(tables.base(spark, sf_dir)), tables.published_long_early(tables.base(spark, sf_dir))]
+    frames = [tables.published_long(stores.lines(spark, sf_dir)), tables.published_long_early(stores.lines(spark, sf_dir))]
     return reshape.union_all([reshape.long_rows(frame) for frame in frames])
 
 
@@ -369,7 +369,7 @@ def union_families(spark, sf_dir):
     """Rows and sums of each family are those of its part of the union."""
     frames = {
         family: NORMALISERS[family](rows).withColumn("family", F.lit(family))
-        for family, rows in tables.published(tables.base(spark, sf_dir)).items()
+        for family, rows in tables.published(stores.lines(spark, sf_dir)).items()
     }
     rows = reshape.union_all([frames[f] for f in (WIDE, LONG, LONG_EARLY, WIDE_SPECIALTY)])
     return rows.groupBy("family").agg(F.count("*").alias("n_rows"), F.sum("count").alias("total"))
@@ -383,7 +383,7 @@ def union_families(spark, sf_dir):
 )
 def unified_rows(spark, sf_dir):
     """Published frames of all families, harmonised, against the lines they were printed from."""
-    rows = unify(tables.published(tables.base(spark, sf_dir)), tables.aliases(spark, sf_dir))
+    rows = unify(tables.published(stores.lines(spark, sf_dir)), tables.aliases(spark, sf_dir))
     bucketed = rows.withColumns(
         {"bucket": classify_band(F.col("time_band")), "archive_date": F.col("archive_date_parsed")}
     )

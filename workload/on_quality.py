@@ -14,7 +14,7 @@ from stocktide.fixed_values import (
 from stocktide.operators import clean, governance, joins, quality
 from stocktide.operators.totals import eligible
 
-from . import tables
+from . import stores, tables
 from .on_sources import _WIDE_SUMS
 from .registry import query
 from .sql import IN_HOSPITAL, iso, with_base, with_unified
@@ -104,7 +104,7 @@ def reconcile_granularity(spark, sf_dir):
     )
 )
 def band_vs_total(spark, sf_dir):
-    wide = clean.parse_counts(tables.published_wide(tables.base(spark, sf_dir)), [*WIDE_BANDS, "Total"])
+    wide = clean.parse_counts(tables.published_wide(stores.lines(spark, sf_dir)), [*WIDE_BANDS, "Total"])
     return quality.band_sum_gaps(wide, WIDE_BANDS, "Total")
 
 
@@ -163,7 +163,7 @@ def alias_candidates(spark, sf_dir):
 )
 def small_cell_suppression(spark, sf_dir):
     """Cells below 30 are left empty."""
-    wide = clean.wide_table(tables.published_wide(tables.base(spark, sf_dir)))
+    wide = clean.wide_table(tables.published_wide(stores.lines(spark, sf_dir)))
     hidden = quality.suppress_small(wide, WIDE_TABLE_COUNTS[:4], minimum=30)
     list_type = F.regexp_extract("dataset", "^([a-z]+)_", 1).alias("list_type")
     return hidden.select(

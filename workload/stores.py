@@ -1,4 +1,4 @@
-"""Landing folder, raw store and warehouse made from the benchmark tables, once per session."""
+"""Joined lines, landing folder, raw store and warehouse made from the benchmark tables, once per session."""
 
 from __future__ import annotations
 
@@ -32,9 +32,18 @@ def _once(folder: str, make) -> str:
     return folder
 
 
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined order lines that publications are printed from."""
+
+    def make(folder):
+        tables.base(spark, sf_dir).write.parquet(folder)
+
+    return spark.read.parquet(_once(f"{_root(spark, sf_dir)}/lines", make))
+
+
 def landing(spark: SparkSession, sf_dir: str) -> str:
     def make(folder):
-        tables.write_all_publications(spark, sf_dir, folder)
+        tables.write_all_publications(lines(spark, sf_dir), folder)
 
     return _once(f"{_root(spark, sf_dir)}/landing", make)
 

@@ -26,7 +26,6 @@ from stocktide.fixed_values import (
 from stocktide.functions.cells import grouped_digits
 from stocktide.operators.clean import canonical_names, flag_suppressed
 from stocktide.operators.star import observations as as_observations
-from stocktide.shared_dir import new_folder
 
 YEARS = {WIDE: ("2000", "2001"), LONG: ("1997", "1998", "1999"), LONG_EARLY: ("1995", "1996")}
 FIRST_PUBLICATION = "2002-01-15"
@@ -296,14 +295,9 @@ def write_publication(rows: DataFrame, landing: str, stamp: str = FIRST_PUBLICAT
     )
 
 
-def write_all_publications(spark: SparkSession, sf_dir: str, landing: str) -> None:
-    """Every family, each file with the header its dataset and year really have.
-
-    The joined lines are written once and read back for each kind of file.
-    """
-    joined = new_folder(spark, "lines")
-    base(spark, sf_dir).write.parquet(joined)
-    frames = published(spark.read.parquet(joined))
+def write_all_publications(lines: DataFrame, landing: str) -> None:
+    """Every family, each file with the header its dataset and year really have."""
+    frames = published(lines)
     write_publication(frames[WIDE], landing)
     write_publication(frames[WIDE_SPECIALTY], landing)
     is_op, odd_long = F.col("dataset") == "op_hospital", F.col("year_key") == "1999"
