@@ -131,6 +131,19 @@ def test_star_gives_the_same_answers(names, built):
     same(queries.hospital_series(names), queries.hospital_series(star.star_observations(built)))
 
 
+def test_one_hospital_of_a_star(names, built):
+    one = queries.restrict_star(built, hospital="A", adult_child="Adult", list_type="ipdc")
+    found = as_set(queries.star_hospital_total_trend(one), "archive_date", "total_waiting")
+    assert found == {(date(2026, 1, 29), 115), (date(2026, 6, 25), 22)}
+    condition = one.fact._sc._jvm.PythonSQLUtils.explainString(
+        one.fact._jdf.queryExecution(), "formatted"
+    )
+    assert "EqualTo(hospital_id,1)" in condition
+    at = queries.restrict_star(built, specialty="S", archive_date=date(2026, 7, 30))
+    assert as_set(queries.star_specialty_trend(at), "specialty_name", "total") == {("S", 40)}
+    assert queries.restrict_star(built, hospital="nobody").fact.count() == 0
+
+
 def test_star_tables(built):
     assert as_set(table_counts(built)) == {
         ("dim_date", 3), ("dim_hospital", 5), ("dim_specialty", 3), ("fact_waiting_list", len(ROWS)),

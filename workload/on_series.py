@@ -240,6 +240,34 @@ def star_specialty_trend(spark, sf_dir):
     return queries.star_specialty_trend(stores.star(spark, sf_dir))
 
 
+_ONE = f"hospital_name = '{ONE_HOSPITAL}' AND adult_child = 'Adult' AND list_type = 'ipdc'"
+
+
+@query(
+    with_unified(
+        f"SELECT {DAY}, {SUM_ALL} FROM unified WHERE {IN_HOSPITAL} AND {_ONE} GROUP BY archive_date"
+    )
+)
+def star_one_hospital_trend(spark, sf_dir):
+    """Total trend of one hospital, its id looked up before the facts are read."""
+    one = queries.restrict_star(
+        stores.star(spark, sf_dir), hospital=ONE_HOSPITAL, adult_child="Adult", list_type="ipdc"
+    )
+    trend = queries.star_hospital_total_trend(one).orderBy("archive_date")
+    return trend.select("archive_date", "total_waiting")
+
+
+@query(
+    with_unified(f"SELECT {DAY}, under_6, six_to_12, twelve_plus FROM ({HOSPITAL_SERIES}) WHERE {_ONE}")
+)
+def star_band_breakdown(spark, sf_dir):
+    one = queries.restrict_star(
+        stores.star(spark, sf_dir), hospital=ONE_HOSPITAL, adult_child="Adult", list_type="ipdc"
+    )
+    series = queries.star_hospital_series(one).orderBy("archive_date")
+    return series.select("archive_date", "under_6", "six_to_12", "twelve_plus")
+
+
 @query(_RANKING)
 def star_specialty_top15(spark, sf_dir):
     return queries.star_top_specialties(stores.star(spark, sf_dir))

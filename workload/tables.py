@@ -8,6 +8,8 @@ Some suppliers are known under an earlier name, some are a small-volume bucket;
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -281,11 +283,15 @@ def published(lines: DataFrame) -> dict[str, DataFrame]:
 
 
 def write_publication(rows: DataFrame, landing: str, stamp: str = FIRST_PUBLICATION) -> None:
-    """Land rows as CSV files. Spaces at the ends of cells are part of the data."""
+    """Land rows as CSV files. Spaces at the ends of cells are part of the data.
+
+    Dynamic overwriting stages each write in a folder of its own, so several may run at once.
+    """
     (
         rows.withColumn("published", F.lit(stamp))
         .hint("rebalance", "dataset", "year_key")
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
@@ -298,13 +304,17 @@ def write_publication(rows: DataFrame, landing: str, stamp: str = FIRST_PUBLICAT
 def write_all_publications(lines: DataFrame, landing: str) -> None:
     """Every family, each file with the header its dataset and year really have."""
     frames = published(lines)
-    write_publication(frames[WIDE], landing)
-    write_publication(frames[WIDE_SPECIALTY], landing)
+    long, early = frames[LONG], frames[LONG_EARLY]
     is_op, odd_long = F.col("dataset") == "op_hospital", F.col("year_key") == "1999"
-    long = frames[LONG]
-    write_publication(long.where(~is_op).drop("Specialty_HIPE1"), landing)
-    write_publication(long.where(is_op & ~odd_long).drop("Specialty_HIPE1", "Case_Type"), landing)
-    write_publication(long.where(is_op & odd_long).drop("Specialty_HIPE", "Case_Type"), landing)
-    early, odd_early = frames[LONG_EARLY], F.col("year_key") == "1996"
-    write_publication(early.where(~odd_early).drop("Speciality", "Total"), landing)
-    write_publication(early.where(odd_early).drop("Specialty", "Count"), landing)
+    odd_early = F.col("year_key") == "1996"
+    parts = (
+        frames[WIDE],
+        frames[WIDE_SPECIALTY],
+        long.where(~is_op).drop("Specialty_HIPE1"),
+        long.where(is_op & ~odd_long).drop("Specialty_HIPE1", "Case_Type"),
+        long.where(is_op & odd_long).drop("Specialty_HIPE", "Case_Type"),
+        early.where(~odd_early).drop("Speciality", "Total"),
+        early.where(odd_early).drop("Specialty", "Count"),
+    )
+    with ThreadPool(len(parts)) as pool:
+        pool.map(lambda part: write_publication(part, landing), parts)
