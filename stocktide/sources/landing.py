@@ -40,7 +40,7 @@ def list_files(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, landing: str) -> DataFrame:
-    """Landed files with the SHA-256 of their bytes."""
+    """Landed files with the SHA-256 of their bytes. Spark holds one file per row, below 2 GB each."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(landing)
     return files.select(
         "path",
