@@ -23,12 +23,12 @@ FAMILIES = (WIDE, LONG, LONG_EARLY, WIDE_SPECIALTY)
 def write_raw(rows: DataFrame, raw: str, family: str) -> None:
     """Replace the dataset-years present in `rows`.
 
-    The rebalance hint sizes the written files at run time: small years are joined up, and a year
-    that holds most of the rows is split over several tasks.
+    Nothing is shuffled: the files a task reads belong to one year or a few, and it writes those.
+    A year with most of the rows has most of the tasks. `spark.sql.files.maxPartitionBytes` sets how
+    much one task reads, and with it the size of the files written.
     """
     (
         rows.drop("published")
-        .hint("rebalance", "dataset", "year_key")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dataset", "year_key")
