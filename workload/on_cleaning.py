@@ -192,7 +192,7 @@ def conform_columns(spark, sf_dir):
 
 
 @query(
-    """SELECT s_suppkey, CASE WHEN s_suppkey % 10 = 7
+    """SELECT s_suppkey, CASE WHEN s_nationkey BETWEEN 5 AND 7 AND s_suppkey > 0
     THEN 'Supplier#' || lpad(CAST(s_suppkey - 1 AS VARCHAR), 9, '0') ELSE s_name END AS hospital_name
   FROM supplier"""
 )
@@ -282,7 +282,7 @@ def slugs(spark, sf_dir):
 @query(
     with_unified(
         f"""SELECT {iso('archive_date')} AS archive_date, time_band, CAST(sum(count) AS BIGINT) AS count FROM unified
-  WHERE hospital_name = 'Supplier#000000006' AND specialty_name = 'Brand#7' AND adult_child = 'Child'
+  WHERE hospital_name = 'Supplier#000000004' AND specialty_name = 'Brand#7' AND adult_child = 'Child'
     AND list_type = 'op' AND granularity IN ('hospital', 'hospital_specialty') AND NOT is_suppressed_bucket
   GROUP BY ALL"""
     )
@@ -290,7 +290,7 @@ def slugs(spark, sf_dir):
 def restricted_facts(spark, sf_dir):
     facts = queries.restrict(
         tables.observations(spark, sf_dir),
-        hospital="Supplier#000000006",
+        hospital="Supplier#000000004",
         specialty="Brand#7",
         adult_child="Child",
         list_type="op",

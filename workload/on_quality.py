@@ -261,19 +261,19 @@ def metadata_record(spark, sf_dir):
 
 
 @query(
-    """SELECT c_name AS dataset_id, CASE WHEN c_custkey % 3 = 0 THEN 'old' ELSE 'new' END AS added FROM customer
-  WHERE c_custkey % 3 = 0 OR c_custkey % 2 = 0"""
+    """SELECT c_name AS dataset_id, CASE WHEN c_mktsegment = 'FURNITURE' THEN 'old' ELSE 'new' END AS added
+  FROM customer WHERE c_mktsegment = 'FURNITURE' OR c_acctbal > 0"""
 )
 def register_append(spark, sf_dir):
     """Entries are added to the register unless their dataset is in it already."""
     rows = tables.table(spark, sf_dir, "customer")
     name = F.col("c_name").alias("dataset_id")
-    register = rows.where("c_custkey % 3 = 0").select(name, F.lit("old").alias("added"))
-    entries = rows.where("c_custkey % 2 = 0").select(name, F.lit("new").alias("added"))
+    register = rows.where("c_mktsegment = 'FURNITURE'").select(name, F.lit("old").alias("added"))
+    entries = rows.where("c_acctbal > 0").select(name, F.lit("new").alias("added"))
     return joins.append_missing(register, entries.unionByName(entries))
 
 
-_REGISTERED = "c_custkey % 3 <> 0"
+_REGISTERED = "c_mktsegment <> 'FURNITURE'"
 _COMPLETE = "(c_custkey % 5 <> 0 AND c_custkey % 7 <> 0)"
 
 
@@ -283,9 +283,10 @@ _COMPLETE = "(c_custkey % 5 <> 0 AND c_custkey % 7 <> 0)"
 )
 def publish_gate(spark, sf_dir):
     """Datasets with a complete record and a register row; the others with what they lack."""
-    datasets = tables.table(spark, sf_dir, "customer").select("c_custkey")
+    customers = tables.table(spark, sf_dir, "customer")
+    datasets = customers.select("c_custkey")
     checked = governance.check_metadata(_records(spark, sf_dir))
-    register = datasets.where("c_custkey % 3 <> 0")
+    register = customers.where(_REGISTERED).select("c_custkey")
     allowed, held = governance.publishable(datasets, checked, register, key="c_custkey")
     yes, no = F.lit(True), F.lit(False)
     return allowed.select(
@@ -302,23 +303,23 @@ def publish_gate(spark, sf_dir):
 
 @query(
     """WITH needs AS (
-    SELECT DISTINCT o_orderkey, d FROM orders CROSS JOIN LATERAL (VALUES (o_custkey), (o_orderkey % 1500)) AS v(d)
-    WHERE o_orderkey % 4 <> 0
+    SELECT DISTINCT o_orderkey, d FROM orders CROSS JOIN LATERAL (VALUES (o_custkey), (o_custkey + 1)) AS v(d)
+    WHERE o_orderstatus <> 'P'
   )
   SELECT o_orderkey AS indicator_id, count(d) AS n_needed,
-    count(d) FILTER (d IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0)) AS n_available,
-    coalesce(bool_and(d IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0)), true) AS is_ready
+    count(d) FILTER (d IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'FURNITURE')) AS n_available,
+    coalesce(bool_and(d IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'FURNITURE')), true) AS is_ready
   FROM orders LEFT JOIN needs USING (o_orderkey) GROUP BY o_orderkey"""
 )
 def indicator_ready(spark, sf_dir):
-    """Each order as an indicator that needs two customers' datasets; one in four needs none."""
-    key = F.col("o_orderkey")
-    two = F.array(F.col("o_custkey").cast("string"), (key % 1500).cast("string"))
-    depends = F.when(key % 4 != 0, two)
+    """Each order as an indicator that needs two customers' datasets; pending ones need none."""
+    customer = F.col("o_custkey")
+    two = F.array(customer.cast("string"), (customer + 1).cast("string"))
     indicators = tables.table(spark, sf_dir, "orders").select(
-        key.alias("indicator_id"), depends.alias("depends_on")
+        F.col("o_orderkey").alias("indicator_id"),
+        F.when(F.col("o_orderstatus") != "P", two).alias("depends_on"),
     )
-    available = tables.table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0")
+    available = tables.table(spark, sf_dir, "customer").where(_REGISTERED)
     return governance.ready_indicators(
         indicators, available.select(F.col("c_custkey").cast("string").alias("dataset_id"))
     )

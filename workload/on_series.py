@@ -28,7 +28,7 @@ from .tables import observations
 
 DAY = iso("archive_date") + " AS archive_date"
 BUCKETS_AND_TOTAL = "under_6, six_to_12, twelve_plus, total"
-ONE_HOSPITAL = "Supplier#000000006"
+ONE_HOSPITAL = "Supplier#000000004"
 ONE_SPECIALTY = "Brand#7"
 SUM_ALL = "CAST(sum(count) AS BIGINT) AS total_waiting"
 
@@ -100,12 +100,11 @@ def band_breakdown(spark, sf_dir):
 @query(
     with_unified(
         f"SELECT time_band, count(*) AS n_rows FROM unified WHERE {IN_HOSPITAL}"
-        f" AND hospital_name = '{ONE_HOSPITAL}' AND adult_child = 'Adult' AND list_type = 'ipdc'"
         " AND bucket = 'Unknown' GROUP BY time_band"
     )
 )
 def unknown_bands(spark, sf_dir):
-    return queries.band_breakdown(observations(spark, sf_dir), ONE_HOSPITAL)[1]
+    return totals.unknown_bands(totals.eligible(observations(spark, sf_dir), "hospital_name"))
 
 
 _SPECIALTY_TREND = series(

@@ -7,9 +7,9 @@ base AS (
     year(o_orderdate) AS yr,
     'Group ' || s_nationkey AS hospital_group,
     lpad(CAST(s_suppkey AS VARCHAR), 4, '0') AS hospital_hipe,
-    CASE WHEN s_suppkey % 10 = 9 THEN 'Small Volume Hospitals' ELSE s_name END AS published_name,
-    CASE WHEN s_suppkey % 10 = 9 THEN 'Small Volume Hospitals'
-         WHEN s_suppkey % 10 = 7 THEN 'Supplier#' || lpad(CAST(s_suppkey - 1 AS VARCHAR), 9, '0')
+    CASE WHEN s_nationkey IN (9, 10) THEN 'Small Volume Hospitals' ELSE s_name END AS published_name,
+    CASE WHEN s_nationkey IN (9, 10) THEN 'Small Volume Hospitals'
+         WHEN s_nationkey BETWEEN 5 AND 7 AND s_suppkey > 0 THEN 'Supplier#' || lpad(CAST(s_suppkey - 1 AS VARCHAR), 9, '0')
          ELSE s_name END AS current_name,
     replace(p_brand, 'Brand#', '') AS specialty_hipe,
     CASE WHEN p_type = 'PROMO' AND p_size <= 10 THEN 'Small Volume Specialities'

@@ -38,8 +38,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers whose number ends in 7 are an earlier name of the one before them."""
-    supplier = table(spark, sf_dir, "supplier").where("s_suppkey % 10 = 7")
+    """Suppliers of three nations are an earlier name of the supplier numbered before them."""
+    supplier = table(spark, sf_dir, "supplier").where("s_nationkey between 5 and 7 and s_suppkey > 0")
     current = F.concat(
         F.lit("Supplier#"), F.lpad((F.col("s_suppkey") - 1).cast("string"), 9, "0")
     )
@@ -48,7 +48,8 @@ def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def published_hospitals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers under the name they are published with."""
-    name = F.when(F.col("s_suppkey") % 10 == 9, SUPPRESSED_HOSPITAL_LABEL).otherwise(F.col("s_name"))
+    small = F.col("s_nationkey").isin(9, 10)
+    name = F.when(small, SUPPRESSED_HOSPITAL_LABEL).otherwise(F.col("s_name"))
     return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"),
         name.alias("hospital_name"),
