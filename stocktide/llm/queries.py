@@ -4,17 +4,57 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from stocktide.llm import quality
+from stocktide.llm.decontaminate import find_passages
 from stocktide.llm.near_dedup import near_duplicates
+from stocktide.llm.packing import pack
 from stocktide.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_near_dedup,)}
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_items").cast("bigint").alias("n_near_items"),
+    )
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.QualityModel:
+    """Learnt from the labels outside the fold that is held out."""
+    labels = table(spark, sf_dir, "labels").withColumnRenamed("quality", "label")
+    return quality.learn(docs, labels.where(~quality.held_out(F.col("doc_id"), 5, 0)))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.scores(docs, quality_model(spark, docs, sf_dir))
+    return scored.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id"), 5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.REJECTED_BELOW).cast("int").alias("predicted"),
+    )
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f for f in (op2_near_dedup, op4_packing, op6_decontamination, op9_quality)
+}
 SQL: dict[str, str] = {}
