@@ -7,12 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stocktide.llm import quality
+from stocktide.llm.decontaminate import find_passages
 from stocktide.llm.near_dedup import near_duplicates
+from stocktide.llm.packing import pack
+from stocktide.llm.pii import sanitise
+from stocktide.llm.queries import TOKENIZER, quality_model
 from stocktide.llm.tables import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text the classifier, learnt from `labels`, does not reject."""
+    scored = quality.with_scores(docs, quality_model(spark, docs, sf_dir))
+    return scored.where(F.col("score") >= quality.REJECTED_BELOW).select(docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that with the smallest doc_id.
 
@@ -27,7 +38,30 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return once.union(rows.where("not _worded or doc_id is null")).select(docs.columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("near_dedup", near_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of `benchmark`. A row goes if any row under its id holds one."""
+    found = find_passages(docs, table(spark, sf_dir, "benchmark"))
+    held = found.where("n_hit > 0").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(held, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data in their texts replaced by its kind."""
+    return sanitise(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their token ids, placed in sequences."""
+    return pack(docs, TOKENIZER, with_ids=True)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_filter),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("pii", personal_data),
+    ("packing", packing),
+]
 ORACLE_SQL = None
 
 

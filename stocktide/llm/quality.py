@@ -149,6 +149,26 @@ def learn(docs: DataFrame, labels: DataFrame) -> QualityModel:
     return QualityModel(good, bad, *_fit(x, y, weight))
 
 
+def _scoring(model: QualityModel, text_at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = _differences(batch.column(text_at).to_pylist(), model.good, model.bad)
+            odds = np.clip(model.intercept + model.slope * found, -700, 700)
+            score = pa.array(1 / (1 + np.exp(-odds)))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, score], names=[*batch.schema.names, "score"]
+            )
+
+    return run
+
+
+def with_scores(docs: DataFrame, model: QualityModel) -> DataFrame:
+    """All columns of `docs`, of which `text` is one, and `score`. A column of that name is replaced."""
+    rows = docs.drop("score")
+    schema = rows.schema.add("score", "double")
+    return rows.mapInArrow(_scoring(model, rows.columns.index("text")), schema)
+
+
 def scores(docs: DataFrame, model: QualityModel) -> DataFrame:
     """(doc_id, score) of every row of `docs` (doc_id, text): the probability of a good label.
 
@@ -156,11 +176,7 @@ def scores(docs: DataFrame, model: QualityModel) -> DataFrame:
     Equal texts get equal scores, rows that repeat an id stay separate, other columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))
-    compared = texts.mapInArrow(
-        _comparing(model.good, model.bad, ["doc_id", "difference"]), "doc_id bigint, difference double"
-    )
-    odds = F.lit(model.intercept) + F.lit(model.slope) * F.col("difference")
-    return compared.select("doc_id", (1 / (1 + F.exp(-odds))).alias("score"))
+    return with_scores(texts, model).select("doc_id", "score")
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:

@@ -12,6 +12,7 @@ from stocktide.llm import quality
 from stocktide.llm.decontaminate import find_passages
 from stocktide.llm.near_dedup import near_duplicates
 from stocktide.llm.packing import pack
+from stocktide.llm.pii import KINDS, find_personal_data
 from stocktide.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +38,20 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    listed = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+    counts = [
+        F.expr(f"cast(size(filter(base, s -> s.kind = '{k.name}')) as bigint)").alias(f"n_{k.name}")
+        for k in KINDS
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans")
+    )
+
+
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.QualityModel:
     """Learnt from the labels outside the fold that is held out."""
     labels = table(spark, sf_dir, "labels").withColumnRenamed("quality", "label")
@@ -55,6 +70,6 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_near_dedup, op4_packing, op6_decontamination, op9_quality)
+    f.__name__: f for f in (op2_near_dedup, op4_packing, op6_decontamination, op8_pii, op9_quality)
 }
 SQL: dict[str, str] = {}
