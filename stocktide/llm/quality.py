@@ -16,6 +16,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 PIECE_BYTES = 1024
 DICTIONARY_BYTES = 112_640
@@ -165,7 +166,7 @@ def _scoring(model: QualityModel, text_at: int):
 def with_scores(docs: DataFrame, model: QualityModel) -> DataFrame:
     """All columns of `docs`, of which `text` is one, and `score`. A column of that name is replaced."""
     rows = docs.drop("score")
-    schema = rows.schema.add("score", "double")
+    schema = StructType([*rows.schema.fields, StructField("score", DoubleType())])
     return rows.mapInArrow(_scoring(model, rows.columns.index("text")), schema)
 
 
