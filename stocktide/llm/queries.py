@@ -5,20 +5,46 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stocktide.llm import quality
+from stocktide.llm.chat_format import MESSAGE, loss_text, messages, parsed, rendered
 from stocktide.llm.decontaminate import find_passages
 from stocktide.llm.near_dedup import near_duplicates
 from stocktide.llm.packing import pack
 from stocktide.llm.pii import KINDS, find_personal_data
 from stocktide.llm.tables import table
+from stocktide.llm.warc import archive_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row of the table is a message, numbered by turn; what is returned is read from the rendering."""
+    more = spark.createDataFrame(
+        [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    log = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    events = log.select(
+        "conv_id", place.alias("message"), F.col("turn").alias("seq"), F.lit(MESSAGE).alias("kind"), "role", "text"
+    )
+    chats = rendered(messages(events))
+    turns, said = parsed(F.col("formatted")), loss_text(F.col("formatted"), F.col("loss_spans"))
+    every = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return chats.select(
+        "conv_id", F.size(turns).cast("bigint").alias("n_turns"), F.sha2(every, 256).alias("turns_sha256"),
+        F.length(said).cast("bigint").alias("loss_chars"), F.sha2(said, 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
 
@@ -69,7 +95,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(spark, table(spark, sf_dir, "pages"), revisit_from=0)
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_near_dedup, op4_packing, op6_decontamination, op8_pii, op9_quality)
+    f.__name__: f for f in (op1_chat_format, op2_near_dedup, op4_packing, op6_decontamination, op8_pii, op9_quality, op10_warc)
 }
 SQL: dict[str, str] = {}
