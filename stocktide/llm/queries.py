@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stocktide.llm import quality
+from stocktide.llm.ann import nearest
 from stocktide.llm.chat_format import MESSAGE, loss_text, messages, parsed, rendered
 from stocktide.llm.decontaminate import find_passages
 from stocktide.llm.near_dedup import near_duplicates
@@ -53,6 +54,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return nearest(rows, rows.where("vec_id % 50 = 0"), k=5)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -100,6 +106,6 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_chat_format, op2_near_dedup, op4_packing, op6_decontamination, op8_pii, op9_quality, op10_warc)
+    f.__name__: f for f in (op1_chat_format, op2_near_dedup, op4_packing, op5_nearest, op6_decontamination, op8_pii, op9_quality, op10_warc)
 }
 SQL: dict[str, str] = {}
