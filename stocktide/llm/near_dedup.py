@@ -10,12 +10,14 @@ How lists stay bounded without losing a link:
 * Equal sets are one node, so copies never meet.
 * A list holds the nodes that share one of their `KEYS` smallest values. Two sets of similarity s >= 0.8
   share none with probability 0.2^12. Short lists give their pairs directly.
-* In a long list every node meets one pivot, the node that is in the most long lists; a few rounds of
-  this join a group of near copies with a number of rows that grows with the list, not with its square.
-* Nodes of long lists that still hold several components are matched on their whole sketches, by the
-  rarest of their values: a pair that shares half of its sketch shares one of the rarest s - s/2 + 1 of
-  each. Values of a passage that very many documents share are the last in that order, so that they
-  count only where they are half of a document.
+* In a long list every node meets two pivots, one after the other, which joins a group of near copies
+  with a number of rows that grows with the list, not with its square.
+* Nodes of long lists that still hold several components are looked at by the rarest values of their
+  whole sketches: a pair that shares half of its sketch shares one of the rarest s - s/2 + 1 of each.
+  Values of a passage that very many documents share are the last in that order, so that they count
+  only where they are half of a document. The nodes left are matched on their full sets, again in the
+  order of rarity: where the first common value of a pair stands says how much it can have in common, and
+  a pair that cannot reach the similarity is not made.
 
 A pair of similarity 0.8 has less than half of the union's sketch in common with probability below 1e-6.
 """
@@ -36,7 +38,7 @@ from stocktide.llm.text import mix, not_space, shingle_hashes, slices, word_hash
 SKETCH = 64
 KEYS = 12
 SHORT_LIST = 16
-PIVOT_ROUNDS = 2
+SIGNATURE_WORDS = 32
 SLICE_BYTES = 4 << 20
 
 
@@ -77,6 +79,14 @@ def _sketching(size: int):
     return run
 
 
+def _signature(values: np.ndarray) -> np.ndarray:
+    """A bit for each element of a set, in SIGNATURE_WORDS numbers of 64 bits. Two sets differ in at least
+    as many elements as their signatures differ in bits."""
+    bits = np.zeros(64 * SIGNATURE_WORDS, dtype=np.uint8)
+    bits[(values % np.uint64(len(bits))).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def _full_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,8 +99,9 @@ def _full_sets(size: int):
                     [
                         pa.array([n for n, _ in kept], pa.int64()),
                         pa.array([_signed(s) for _, s in kept], pa.list_(pa.int64())),
+                        pa.array([_signature(s) for _, s in kept], pa.list_(pa.int64())),
                     ],
-                    names=["node", "elements"],
+                    names=["node", "elements", "signature"],
                 )
 
     return run
@@ -122,8 +133,16 @@ class _Search:
         rows = self.rows.join(nodes, "node", "left_semi").select("node", "n_shingles", "sketch")
         return rows.dropDuplicates(["node"]).withColumnRenamed("n_shingles", "n")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose full sets are similar enough."""
+    def sets_of(self, nodes: DataFrame) -> DataFrame:
+        """(node, elements, signature): the full sets, from the texts."""
+        firsts = self.nodes.select("node", "first_id").join(nodes, "node", "left_semi")
+        chosen = self.docs.join(firsts, F.expr("doc_id <=> first_id")).select("node", "text")
+        schema = "node bigint, elements array<bigint>, signature array<bigint>"
+        sets = chosen.mapInArrow(_full_sets(self.size), schema)
+        return written(sets, "sets")
+
+    def confirmed(self, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+        """The pairs (a, b) whose full sets are similar enough. `sets` are theirs, if at hand."""
         both = lambda frame: frame.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         sketches = written(self.sketches_of(both(pairs)), "compared")
         one = sketches.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
@@ -137,11 +156,8 @@ class _Search:
             .select("a", "b", "na", "nb"),
             "likely",
         )
-        firsts = self.nodes.select("node", "first_id").join(both(likely), "node", "left_semi")
-        chosen = self.docs.join(firsts, F.expr("doc_id <=> first_id")).select("node", "text")
-        sets = written(
-            chosen.mapInArrow(_full_sets(self.size), "node bigint, elements array<bigint>"), "sets"
-        )
+        if sets is None:
+            sets = self.sets_of(both(likely))
         first = sets.select(F.col("node").alias("a"), F.col("elements").alias("ea"))
         second = sets.select(F.col("node").alias("b"), F.col("elements").alias("eb"))
         common = F.size(F.array_intersect("ea", "eb"))
@@ -177,31 +193,43 @@ def _to_pivots(lists: DataFrame, weight: Column) -> DataFrame:
     return pairs.select(*_pairs("node", "pivot")).distinct()
 
 
-def _by_rarest(search: _Search, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components among `nodes` that share one of their rarest sketch values."""
-    sketches = search.sketches_of(nodes)
-    entries = written(
-        _labelled(
-            sketches.select("node", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("value")),
-            labels,
-        ),
-        "whole_sketches",
-    )
+def _ranked(entries: DataFrame) -> DataFrame:
+    """`entries` (node, n, value) that some other node has as well, with their rank among the `n` values of
+    the node: by how many nodes have a value, then by value. Values of one node only come before."""
     often = entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    common = entries.join(often, "value")
-    ordered = common.groupBy("node", "n", "s", "root").agg(
-        F.array_sort(F.collect_list(F.struct("df", "value"))).alias("values")
-    )
-    # Values that only this node has come first; they match nothing.
-    room = F.col("s") - F.ceil(F.col("s") / 2) + 1 - (F.col("s") - F.size("values"))
-    rarest = ordered.where(room > 0).select(
-        "node", "n", "root", F.explode(F.slice("values", F.lit(1), room.cast("int"))).alias("entry")
+    ordered = entries.join(often, "value").groupBy("node", "n").agg(
+        F.array_sort(F.collect_list(F.struct("df", "value"))).alias("shared")
     )
-    lists = written(rarest.select("node", "n", "root", F.col("entry.value").alias("value")), "rarest")
-    left = lists.withColumnsRenamed({"node": "a", "n": "na", "root": "ra"})
-    right = lists.withColumnsRenamed({"node": "b", "n": "nb", "root": "rb"})
-    met = left.join(right, "value").where("a < b and ra <> rb")
-    return met.where(_long_enough(search.percent, "na", "nb")).select("a", "b").distinct()
+    ranked = ordered.select("node", "n", (F.col("n") - F.size("shared")).alias("own"), F.posexplode("shared"))
+    return ranked.select("node", "n", F.col("col.value").alias("value"), (F.col("own") + F.col("pos")).alias("rank"))
+
+
+def _still_open(sketched: DataFrame, labels: DataFrame) -> DataFrame:
+    """The nodes that may yet have half of a sketch in common with one of another component: those that
+    share one of the rarest values of their sketch with it. `sketched` has (node, n, value)."""
+    ranked = _ranked(sketched)
+    lists = ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") / 2)).select("value", "node")
+    return _open_lists(written(lists, "rarest"), labels).select("node").distinct()
+
+
+def _by_rarest(search: _Search, sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of different components among the nodes of `sets` whose sizes and first common value, in the
+    order of rarity, leave room for the overlap that the similarity asks for, and whose signatures are no
+    further apart than it allows."""
+    entries = sets.select("node", F.size("elements").alias("n"), F.explode("elements").alias("value"))
+    ranked = _ranked(entries)
+    p = search.percent
+    most = F.col("n") - F.ceil(F.col("n") * p / 100)
+    columns = ("node", "n", "root", "rank", "signature")
+    lists = _labelled(ranked.where(F.col("rank") <= most), labels)
+    lists = written(lists.join(sets.select("node", "signature"), "node"), "prefixes")
+    left = lists.select("value", *(F.col(c).alias(n) for c, n in zip(columns, ("a", "na", "ra", "ka", "sa"))))
+    right = lists.select("value", *(F.col(c).alias(n) for c, n in zip(columns, ("b", "nb", "rb", "kb", "sb"))))
+    room = F.expr(f"(100 + {p}) * least(na - ka, nb - kb) >= {p} * (na + nb)")
+    apart = " + ".join(f"bit_count(sa[{i}] ^ sb[{i}])" for i in range(SIGNATURE_WORDS))
+    alike = F.expr(f"(100 + {p}) * ({apart}) <= (100 - {p}) * (na + nb)")
+    met = left.join(right, "value").where("a < b and ra <> rb").where(room & alike)
+    return met.where(_long_enough(p, "na", "nb")).select("a", "b").distinct()
 
 
 def _links(search: _Search) -> DataFrame:
@@ -221,24 +249,23 @@ def _links(search: _Search) -> DataFrame:
     tested = written(near.union(_to_pivots(long, F.col("degree"))).distinct(), "pairs")
     links = search.confirmed(tested)
     labels = components(links)
-    open_lists = _open_lists(long, labels)
-    for _ in range(PIVOT_ROUNDS - 1):
-        # The next pivot stands for the largest component that the last one was not in.
-        open_lists = written(open_lists, "open")
-        by_root = open_lists.groupBy("value", "root").agg(
-            F.count("*").alias("held"), F.max(F.struct("degree", "node")).alias("best")
-        )
-        chosen = by_root.groupBy("value").agg(F.max(F.struct("held", "best", "root")).alias("top"))
-        pivots = chosen.select("value", F.col("top.best.node").alias("pivot"), F.col("top.root").alias("of"))
-        pairs = open_lists.join(pivots, "value").where("root <> of").select(*_pairs("node", "pivot"))
-        pairs = written(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.union(pairs)
-        links = links.union(search.confirmed(pairs))
-        labels = components(links)
-        open_lists = _open_lists(long, labels)
-    unsettled = written(open_lists.select("node").distinct(), "unsettled")
-    rest = _by_rarest(search, unsettled, labels).join(tested, ["a", "b"], "left_anti")
-    return links.union(search.confirmed(written(rest, "pairs")))
+    # Second pivots, among nodes that share their whole sketch with the most others: in a group of near copies
+    # those with the fewest edits, which most of the others are near to.
+    open_lists = written(_open_lists(long.select("value", "node"), labels), "open")
+    sketches = search.sketches_of(open_lists.select("node").distinct())
+    sketched = written(
+        sketches.select("node", F.size("sketch").alias("n"), F.explode("sketch").alias("value")), "whole_sketches"
+    )
+    often = sketched.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    weight = sketched.join(often, "value").groupBy("node").agg(F.sum("df").alias("weight"))
+    pairs = _to_pivots(open_lists.join(weight, "node"), F.col("weight"))
+    pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+    tested = tested.union(pairs)
+    links = links.union(search.confirmed(pairs))
+    labels = components(links)
+    sets = search.sets_of(_still_open(sketched, labels))
+    rest = _by_rarest(search, sets, labels).join(tested, ["a", "b"], "left_anti")
+    return links.union(search.confirmed(written(rest, "pairs"), sets))
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
