@@ -220,16 +220,22 @@ def _by_rarest(search: _Search, sets: DataFrame, labels: DataFrame) -> DataFrame
     ranked = _ranked(entries)
     p = search.percent
     most = F.col("n") - F.ceil(F.col("n") * p / 100)
-    columns = ("node", "n", "root", "rank", "signature")
-    lists = _labelled(ranked.where(F.col("rank") <= most), labels)
+    prefixes = _labelled(ranked.where(F.col("rank") <= most), labels).select("value", "node", "n", "root", "rank")
+    held = prefixes.groupBy("value", "root").agg(F.count("*").alias("held"))
+    largest = held.groupBy("value").agg(F.max(F.struct("held", "root")).alias("of"), F.count("*").alias("roots"))
+    several = largest.where("roots > 1").select("value", F.col("of.root").alias("main"))
+    lists = prefixes.join(several, "value").withColumn("inside", F.expr("root = main")).drop("main")
     lists = written(lists.join(sets.select("node", "signature"), "node"), "prefixes")
-    left = lists.select("value", *(F.col(c).alias(n) for c, n in zip(columns, ("a", "na", "ra", "ka", "sa"))))
-    right = lists.select("value", *(F.col(c).alias(n) for c, n in zip(columns, ("b", "nb", "rb", "kb", "sb"))))
+    # The largest component of a list never meets itself.
+    columns = ("node", "n", "root", "rank", "signature", "inside")
+    side = lambda x: [F.col(c).alias(f"{n}{x}") for c, n in zip(columns, ("", "n", "r", "k", "s", "in"))]
+    left, right = lists.where("not inside").select("value", *side("a")), lists.select("value", *side("b"))
     room = F.expr(f"(100 + {p}) * least(na - ka, nb - kb) >= {p} * (na + nb)")
-    apart = " + ".join(f"bit_count(sa[{i}] ^ sb[{i}])" for i in range(SIGNATURE_WORDS))
+    # Written as a fold: spelled out, the join's generated code is too long to be compiled.
+    apart = "aggregate(zip_with(sa, sb, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)"
     alike = F.expr(f"(100 + {p}) * ({apart}) <= (100 - {p}) * (na + nb)")
-    met = left.join(right, "value").where("a < b and ra <> rb").where(room & alike)
-    return met.where(_long_enough(p, "na", "nb")).select("a", "b").distinct()
+    met = left.join(right, "value").where("ra <> rb and (inb or a < b)").where(room & alike)
+    return met.where(_long_enough(p, "na", "nb")).select(*_pairs("a", "b")).distinct()
 
 
 def _links(search: _Search) -> DataFrame:
