@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stocktide.llm import quality
+from stocktide.llm import language_id, quality
 from stocktide.llm.ann import nearest
 from stocktide.llm.chat_format import MESSAGE, loss_text, messages, parsed, rendered
 from stocktide.llm.decontaminate import find_passages
+from stocktide.llm.license_scan import scan_licences, sentences
 from stocktide.llm.near_dedup import near_duplicates
 from stocktide.llm.packing import pack
 from stocktide.llm.pii import KINDS, find_personal_data
@@ -50,6 +51,18 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree source/lang/block/doc_id.txt, a thousand ids to a block. One that opens
+    with a notice is the licence file source/lang/LICENSE-doc_id of all blocks there."""
+    docs = table(spark, sf_dir, "documents")
+    first = F.get(sentences(F.coalesce("text", F.lit(""))), F.lit(0))
+    folder = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")))
+    opens = first.rlike("(?i)^[^.]*(licensed|released) under ")
+    plain = F.concat_ws("/", folder, F.floor(F.col("doc_id") / 1000), F.concat(F.col("doc_id"), F.lit(".txt")))
+    path = F.when(opens, F.concat(folder, F.lit("/LICENSE-"), F.col("doc_id"))).otherwise(plain)
+    return scan_licences(docs.select(path.alias("path"), "text"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -70,6 +83,13 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = quality.held_out(F.col("doc_id"), 3, 1)
+    found = language_id.predict(docs, language_id.learn(docs.where(~fold)))
+    return found.select("doc_id", fold.alias("held_out"), "lang_pred", "score")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(table(spark, sf_dir, "documents"))
     listed = lambda spans: F.array_join(
@@ -106,6 +126,6 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_chat_format, op2_near_dedup, op4_packing, op5_nearest, op6_decontamination, op8_pii, op9_quality, op10_warc)
+    f.__name__: f for f in (op1_chat_format, op2_near_dedup, op3_license_scan, op4_packing, op5_nearest, op6_decontamination, op7_language_id, op8_pii, op9_quality, op10_warc)
 }
 SQL: dict[str, str] = {}
