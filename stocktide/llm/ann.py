@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 #: Vectors the trees are grown from, those whose ids hash lowest.
 SAMPLE = 20_000
-TREES = 12
+TREES = 10
 LEAF = 100
 #: A search ends when the leaves it reached hold this share of all vectors, counted in every tree, or this many.
-SEARCH_SHARE = 0.5
+SEARCH_SHARE = 0.8
 SEARCH_LEAST = 2_000
 MEMBER_BLOCK = 4_096
 QUERY_BLOCK = 512
