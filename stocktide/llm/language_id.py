@@ -183,7 +183,7 @@ def learn(docs: DataFrame) -> LanguageModel:
         found[r.at] = r.found
         (fitted if r.fits else kept).append((number[r.lang], *_weighted(found, idf)))
     weights, bias = _follow_the_leader(fitted, max(1, len(languages)))
-    logits = np.array([value @ weights[at] + bias for _, at, value in kept]).reshape(len(kept), -1)
+    logits = np.array([value @ weights[at] + bias for _, at, value in kept]).reshape(len(kept), len(bias))
     temperature = _temperature(logits, np.array([label for label, _, _ in kept], dtype=int))
     return LanguageModel(languages, idf, weights, bias, temperature)
 
