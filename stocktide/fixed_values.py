@@ -9,7 +9,6 @@ from __future__ import annotations
 # ---- fixed values: enumerations -------------------------------------------------------------
 LIST_TYPES = ("ipdc", "op")
 POPULATIONS = ("Adult", "Child")
-LIST_TYPE_LABELS = {"ipdc": "Inpatient/Day Case", "op": "Outpatient"}
 
 HOSPITAL = "hospital"
 HOSPITAL_SPECIALTY = "hospital_specialty"

@@ -10,6 +10,10 @@ from ..fixed_values import NULL_TOKENS
 # Spark's own cast would also take '1d' and 'nan', so the accepted shapes are spelled out.
 _INTEGER = r"^[+-]?[0-9]+\z"
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+# White space as Unicode has it, and the four separators among the control characters.
+_ENDS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
+# A fraction with digits beyond those that decimal(38,18) holds.
+_DEEP_FRACTION = r"\.[0-9]{18}[0-9]*[1-9]"
 
 
 def present(cell: Column, tokens=NULL_TOKENS) -> Column:
@@ -18,7 +22,8 @@ def present(cell: Column, tokens=NULL_TOKENS) -> Column:
 
 
 def _plain(cell: Column) -> Column:
-    return F.trim(F.replace(cell, F.lit(","), F.lit("")))
+    """The cell without thousands commas and without white space of any kind at its ends."""
+    return F.regexp_replace(F.replace(cell, F.lit(","), F.lit("")), _ENDS, "")
 
 
 def parse_number(cell: Column) -> Column:
@@ -28,12 +33,15 @@ def parse_number(cell: Column) -> Column:
 
 
 def parse_count(cell: Column) -> Column:
-    """Text with optional thousands commas -> bigint; text that is no whole number is null."""
+    """Text with optional thousands commas -> bigint; text that is no whole number is null.
+
+    Decimal forms such as `12.0` and `1e16` are read exactly, as far as bigint reaches.
+    """
     plain = _plain(cell)
-    number = plain.try_cast("double")
-    whole = (number == F.floor(number)) & (F.abs(number) < F.lit(2.0**53))
+    exact, near = plain.try_cast("decimal(38,18)"), plain.try_cast("double")
+    whole = (exact == F.floor(exact)) & (near == F.floor(near)) & ~plain.rlike(_DEEP_FRACTION)
     return F.when(plain.rlike(_INTEGER), plain.try_cast("bigint")).when(
-        plain.rlike(_NUMBER) & whole, number.try_cast("bigint")
+        plain.rlike(_NUMBER) & whole, exact.cast("decimal(38,0)").try_cast("bigint")
     )
 
 

@@ -123,11 +123,18 @@ def canonical_names(df: DataFrame, aliases=HOSPITAL_ALIASES, name="hospital_name
     """Replace earlier names by current ones: one exact lookup, not trimmed, not transitive.
 
     `aliases` is a small dict, looked up inside the projection, or a DataFrame (alias, canonical),
-    joined.
+    joined. An alias listed with two names is an error, since it would double the rows it matches; one
+    listed twice with the same name counts once.
     """
     if isinstance(aliases, dict):
         return df.withColumn(name, current_name(F.col(name), aliases))
-    renamed = aliases.select(F.col("alias").alias(name), F.col("canonical").alias("_canonical"))
+    two_names = F.concat(F.lit("alias with more than one name: "), F.col("alias"))
+    canonical = F.when(F.min("canonical").eqNullSafe(F.max("canonical")), F.min("canonical")).otherwise(
+        F.raise_error(two_names)
+    )
+    # The hint lets the join shuffle this side on its own, so that a hot name can still be split.
+    unique = aliases.groupBy("alias").agg(canonical.alias("_canonical")).hint("rebalance")
+    renamed = unique.select(F.col("alias").alias(name), "_canonical")
     joined = lookup_join(df, renamed, name)
     return joined.withColumn(name, F.coalesce("_canonical", name)).select(*df.columns)
 

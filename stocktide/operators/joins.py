@@ -34,7 +34,36 @@ def known_only(facts: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     return facts.join(lookup.select(key), key, "left_semi")
 
 
-def append_missing(register: DataFrame, entries: DataFrame, key: str = "dataset_id") -> DataFrame:
-    """The register with those entries whose key it does not hold yet."""
-    new = entries.dropDuplicates([key]).join(register, key, "left_anti")
+def _first_entries(entries: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
+    """One entry per key: the first by the columns of `order`, then by all others. Partial minimums meet
+    in the shuffle, so a key that is listed very often is one row per task."""
+    first = [c for c in order if c in entries.columns]
+    rest = [c for c in entries.columns if c not in (key, *first)]
+    names = [*first, *rest]
+    if not names:
+        return entries.distinct()
+    least = F.min(F.struct(*[F.col(f"`{c}`") for c in names])).alias("_entry")
+    chosen = entries.groupBy(key).agg(least)
+    return chosen.select(key, *[F.col(f"_entry.`{c}`").alias(c) for c in names])
+
+
+def append_missing(
+    register: DataFrame,
+    entries: DataFrame,
+    key: str = "dataset_id",
+    order: tuple[str, ...] = ("added",),
+) -> DataFrame:
+    """The register with those entries whose key it does not hold yet.
+
+    Of several entries with one key the first by `order` counts, then the first by all other columns, so
+    that the order of rows plays no part. `conflicting_entries` tells which keys that concerns.
+    """
+    new = _first_entries(entries, key, order).join(register, key, "left_anti")
     return register.unionByName(new.select(*register.columns))
+
+
+def conflicting_entries(entries: DataFrame, key: str = "dataset_id") -> DataFrame:
+    """(key, n_entries): keys that are listed with different entries."""
+    return (
+        entries.distinct().groupBy(key).agg(F.count("*").alias("n_entries")).where("n_entries > 1")
+    )

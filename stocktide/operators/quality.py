@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..fixed_values import GENERIC_NAME_WORDS, MINIMUM_CELL, SUPPRESSION_MARKERS
+from ..fixed_values import GENERIC_NAME_WORDS, LIST_TYPES, MINIMUM_CELL, POPULATIONS, SUPPRESSION_MARKERS
 from ..functions.names import name_fingerprint
 from ..shared_dir import fixed
 
@@ -104,14 +104,13 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
 def alias_candidates(
     dimension: DataFrame, name: str = "hospital_name", generic=GENERIC_NAME_WORDS
 ) -> DataFrame:
-    """Names that look like spellings of one entity.
+    """Names that look like spellings of one entity: (fingerprint, name, first_name, n_names, distance).
 
     Names with the same fingerprint form a group, compared to the group's first name only: the
     output grows with the names, never with pairs of them. The groups are fixed before names are
     joined to them, so that a fingerprint with very many names can be split over tasks.
     """
-    names = dimension.where(F.col(name).isNotNull()).select(F.col(name).alias("name")).distinct()
-    keyed = names.withColumn("fingerprint", name_fingerprint(F.col("name"), generic))
+    keyed = _keyed_names(dimension, name, generic)
     groups = fixed(
         keyed.where("fingerprint <> ''")
         .groupBy("fingerprint")
@@ -125,6 +124,51 @@ def alias_candidates(
     )
 
 
+def _keyed_names(dimension: DataFrame, name: str, generic) -> DataFrame:
+    names = dimension.where(F.col(name).isNotNull()).select(F.col(name).alias("name")).distinct()
+    return names.withColumn("fingerprint", name_fingerprint(F.col("name"), generic))
+
+
+def alias_candidates_by_word(
+    dimension: DataFrame, name: str = "hospital_name", generic=GENERIC_NAME_WORDS, least_share: float = 0.3
+) -> DataFrame:
+    """Names that share a telling word with an earlier name: (word, name, first_name, n_names, shared).
+
+    Each telling word is a group of the names that have it, and each name is compared with the first
+    name of each of its words' groups only. `shared` is the part of both names' telling words that they
+    have in common; pairs below `least_share` are left out. Output grows with words, never with pairs.
+    """
+    keyed = _keyed_names(dimension, name, generic).withColumn("words", F.split("fingerprint", " "))
+    by_word = keyed.select("name", "words", F.explode(F.array_distinct("words")).alias("word")).where("word <> ''")
+    groups = fixed(
+        by_word.groupBy("word")
+        .agg(F.count("*").alias("n_names"), F.min(F.struct("name", "words")).alias("first"))
+        .where("n_names > 1")
+    )
+    met = by_word.join(groups, "word").where("name <> first.name")
+    shared = F.size(F.array_intersect("words", "first.words")) / F.size(F.array_union("words", "first.words"))
+    return (
+        met.select("word", "name", F.col("first.name").alias("first_name"), "n_names", shared.alias("shared"))
+        .where(F.col("shared") >= least_share)
+    )
+
+
+def lost_rows(rows: DataFrame, by, list_types=LIST_TYPES, populations=POPULATIONS) -> DataFrame:
+    """Per `by`: unified rows, and those that some answer leaves out, in one pass.
+
+    Dated answers leave out rows whose date could not be read, sums those whose count could not, and rankings
+    and documents those of a list type or population outside the fixed lists.
+    """
+    outside = lambda column, known: F.count_if(~F.coalesce(F.col(column).isin(*known), F.lit(False)))
+    return rows.groupBy(*by).agg(
+        F.count("*").alias("n_rows"),
+        outside("list_type", list_types).alias("n_unknown_list_type"),
+        outside("adult_child", populations).alias("n_unknown_population"),
+        F.count_if(F.col("archive_date_parsed").isNull()).alias("n_undated"),
+        F.count_if(F.col("count").isNull()).alias("n_uncounted"),
+    )
+
+
 def list_type_contamination(facts: DataFrame, by) -> DataFrame:
     """Each list type's sum next to the sum of all, which a query that forgets the filter returns."""
     return facts.groupBy(*by).agg(

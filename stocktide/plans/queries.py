@@ -120,23 +120,21 @@ def latest_by_list_type(facts: DataFrame, adult_child: str = "Adult") -> DataFra
 
 
 def latest_totals(star: Star, adult_child: str = "Adult") -> DataFrame:
-    """`latest_by_list_type` on a star schema, the date as a scalar subquery on its dimension."""
-    spark = star.fact.sparkSession
-    return spark.sql(
-        """
-        SELECT f.list_type, d.archive_date, sum(f.count) AS total_waiting
-        FROM {fact} f
-        JOIN {dim_date} d ON f.date_id = d.date_id
-        JOIN {dim_hospital} h ON f.hospital_id = h.hospital_id
-        WHERE NOT f.is_suppressed_bucket AND f.adult_child = :adult_child
-          AND d.archive_date = (SELECT max(archive_date) FROM {dim_date})
-        GROUP BY f.list_type, d.archive_date
-        """,
-        args={"adult_child": adult_child},
-        fact=star.fact,
-        dim_date=star.dim_date,
-        dim_hospital=star.dim_hospital,
+    """`latest_by_list_type` on a star schema.
+
+    The newest date has one row in its dimension; its id becomes a plain condition on the facts, which the
+    scan uses, and the date is put on the sums. A fact with a hospital id has a hospital, so none is joined.
+    """
+    newest = star.dim_date.where("archive_date is not null").orderBy(F.desc("archive_date")).first()
+    counted = star.fact.where(
+        F.col("hospital_id").isNotNull()
+        & ~F.col("is_suppressed_bucket")
+        & (F.col("adult_child") == adult_child)
+        & (F.col("date_id") == (newest.date_id if newest else None))
     )
+    sums_ = counted.groupBy("list_type").agg(F.sum("count").alias("total_waiting"))
+    date = F.lit(newest.archive_date if newest else None).cast("date")
+    return sums_.select("list_type", date.alias("archive_date"), "total_waiting")
 
 
 # ---- totals by bucket -------------------------------------------------------------------------
@@ -238,7 +236,7 @@ def ranked(breakdown: DataFrame, k: int = TOP_SPECIALTIES) -> DataFrame:
     by_size = Window.partitionBy(*COMBINATION).orderBy(F.desc("total"), F.asc("specialty_name"))
     top = breakdown.withColumn("rank", F.row_number().over(by_size)).where(F.col("rank") <= k)
     tracked = breakdown.groupBy(*COMBINATION).agg(F.count("*").alias("n_tracked"))
-    return top.join(F.broadcast(tracked), list(COMBINATION))
+    return top.join(tracked, list(COMBINATION))
 
 
 def top_specialties(facts: DataFrame, k: int = TOP_SPECIALTIES, dates=None) -> DataFrame:

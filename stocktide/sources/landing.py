@@ -9,7 +9,9 @@ from __future__ import annotations
 from collections import defaultdict
 from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -24,6 +26,12 @@ SHAPE_OF_FAMILY = {WIDE: "wide", WIDE_SPECIALTY: "specialty", LONG: "long", LONG
 
 FOLDER_KEYS = ("dataset", "year_key", "published")
 _KEY_FIELDS = [StructField(name, StringType()) for name in FOLDER_KEYS]
+BAD_ROW = "_bad_row"
+
+# Why a publication was left out.
+UNKNOWN, MISFIT, EMPTY, BAD_ROWS = "unknown dataset or year", "header does not fit", "no rows", "bad rows"
+REJECTS = "dataset string, year_key string, published string, folder string, reason string, detail string"
+
 FOLDER = "regexp_extract(path, '^(.*)/[^/]+$', 1)"
 
 
@@ -39,22 +47,29 @@ def list_files(spark: SparkSession, landing: str) -> DataFrame:
     )
 
 
+def hashed(rows: DataFrame, content: str) -> DataFrame:
+    """`rows` with the SHA-256 of a text or binary column in its place."""
+    kept = [F.col(f"`{name}`") for name in rows.columns if name != content]
+    return rows.select(*kept, F.sha2(F.col(f"`{content}`").cast("binary"), 256).alias("sha256"))
+
+
 def manifest(spark: SparkSession, landing: str) -> DataFrame:
     """Landed files with the SHA-256 of their bytes. Spark holds one file per row, below 2 GB each."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(landing)
-    return files.select(
+    entries = files.select(
         "path",
         "length",
         "modificationTime",
-        F.sha2("content", 256).alias("sha256"),
+        "content",
         *[F.col(name).cast("string").alias(name) for name in FOLDER_KEYS],
     )
+    return hashed(entries, "content")
 
 
 def duplicate_files(entries: DataFrame) -> DataFrame:
     """Byte-identical files of a manifest: how often each content was landed."""
     return (
-        entries.groupBy("sha256")
+        entries.where("sha256 is not null").groupBy("sha256")
         .agg(F.count("*").alias("copies"), F.min("path").alias("first_path"))
         .where("copies > 1")
     )
@@ -79,31 +94,61 @@ def read_header(spark: SparkSession, folder: str) -> list[str]:
     return spark.read.option("header", True).option("escape", '"').csv(folder).columns
 
 
-def read_csv(
-    spark: SparkSession, landing: str, folders: list[str], header: list[str]
+def _text_rows(
+    spark: SparkSession, landing: str, folders: list[str], header: list[str], multi_line: bool
 ) -> DataFrame:
-    """One scan over all folders whose files share a header. Every cell is text.
+    """One scan over all folders whose files share a header, with BAD_ROW set on rows that do not fit it.
 
     Spark checks the header of each file it opens, so that one with other columns, or another order,
-    fails the load rather than being read into the wrong columns.
+    fails the load rather than being read into the wrong columns. Columns are not pruned in the parser,
+    which would otherwise not see how many cells a row has.
     """
-    schema = StructType([*text_schema(header).fields, *_KEY_FIELDS])
-    cells = (
+    schema = StructType([*text_schema([*header, BAD_ROW]).fields, *_KEY_FIELDS])
+    return (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
+        .option("columnPruning", False)
+        .option("columnNameOfCorruptRecord", BAD_ROW)
+        .option("multiLine", multi_line)
         .option("basePath", landing)
         .csv(folders)
     )
+
+
+def read_csv(
+    spark: SparkSession, landing: str, folders: list[str], header: list[str], multi_line: bool = False
+) -> DataFrame:
+    """The fitting rows of all folders whose files share a header. Every cell is text.
+
+    A row with more or fewer cells than the header is not read; `row_counts` says how many there are.
+    Line breaks inside quotes need `multi_line`, with which a file is read by one task.
+    """
+    cells = _text_rows(spark, landing, folders, header, multi_line)
     names = clean_headers(header)
-    return cells.select(
+    return cells.where(F.col(BAD_ROW).isNull()).select(
         *[present(cells[raw]).alias(name) for raw, name in zip(header, names)],
         *FOLDER_KEYS,
         F.col("_metadata.file_path").alias("_source_file"),
     )
 
 
+def row_counts(
+    spark: SparkSession, landing: str, folders: list[str], header: list[str], multi_line: bool = False
+) -> DataFrame:
+    """(dataset, year_key, n_rows, n_bad, n_unkeyed) of each publication; one without rows is absent.
+
+    `n_unkeyed` counts rows without a first cell. Spark asks for a column beside the one of bad rows.
+    """
+    cells = _text_rows(spark, landing, folders, header, multi_line)
+    return cells.groupBy("dataset", "year_key").agg(
+        F.count("*").alias("n_rows"),
+        F.count(BAD_ROW).alias("n_bad"),
+        F.count_if(cells[header[0]].isNull()).alias("n_unkeyed"),
+    )
+
+
 def with_lineage(rows: DataFrame) -> DataFrame:
     """Where each row comes from and when it was loaded."""
     return rows.withColumns(
@@ -115,25 +160,81 @@ def with_lineage(rows: DataFrame) -> DataFrame:
     )
 
 
-def read_publications(spark: SparkSession, landing: str, publications: DataFrame) -> list:
-    """[(family, rows)], one scan per family and distinct header.
-
-    `publications` has one row per dataset and year, so what reaches the driver here are folder names
-    and headers, as many as the catalogue has entries.
-    """
-    folders_of_layout = defaultdict(list)
-    misfits = []
-    found = publications.orderBy("dataset", "year_key").collect()
+def _layouts(
+    spark: SparkSession, found: list[Row]
+) -> tuple[dict[tuple[str, tuple[str, ...]], list[Row]], list[Row]]:
+    """({(family, header): publications}, rejects whose header does not fit their year)."""
     with ThreadPool(8) as pool:  # each is a job of one short task
         headers = pool.map(lambda row: read_header(spark, row.folder), found)
+    layouts, misfits = defaultdict(list), []
     for row, header in zip(found, headers):
         if SHAPE_OF_FAMILY.get(family_of_header(clean_headers(header))) == SHAPE_OF_FAMILY[row.family]:
-            folders_of_layout[row.family, tuple(header)].append(row.folder)
+            layouts[row.family, tuple(header)].append(row)
+        else:
+            misfits.append(_reject(row, MISFIT, ", ".join(header)))
+    return layouts, misfits
+
+
+def _reject(row: Row, reason: str, detail: str | None = None) -> tuple:
+    return (row.dataset, row.year_key, row.published, row.folder, reason, detail)
+
+
+def _judged(
+    rows: list[Row], counts: dict, allow_bad_rows: bool
+) -> tuple[list[Row], list[tuple]]:
+    """(publications to load, rejects for what their rows are like)."""
+    fine, rejects = [], []
+    for row in rows:
+        n_rows, n_bad = counts.get((row.dataset, row.year_key), (0, 0))
+        if n_rows == 0:
+            rejects.append(_reject(row, EMPTY))
+        elif n_bad and (not allow_bad_rows or n_bad == n_rows):
+            rejects.append(_reject(row, BAD_ROWS, f"{n_bad} of {n_rows} rows"))
         else:
-            misfits.append((row.folder, header))
-    if misfits:
-        raise ValueError(f"publications whose header does not fit their year: {misfits}")
-    return [
-        (family, read_csv(spark, landing, folders, list(header)))
-        for (family, header), folders in folders_of_layout.items()
-    ]
+            fine.append(row)
+    return fine, rejects
+
+
+def read_publications(
+    spark: SparkSession,
+    landing: str,
+    publications: DataFrame,
+    allow_bad_rows: bool = False,
+    multi_line: bool = False,
+) -> tuple[list[tuple[str, DataFrame]], list[tuple]]:
+    """([(family, rows)], rejects): one scan per family and distinct header, and what cannot be loaded.
+
+    A publication is rejected whole if its header does not fit its year, if it has no rows, or if a row
+    has more or fewer cells than the header, unless `allow_bad_rows`, which leaves out such rows only.
+    Rows are counted in a scan of their own, before anything is loaded. Rejects are rows of REJECTS.
+
+    `publications` has one row per dataset and year, so what reaches the driver here are folder names,
+    headers and counts, as many as the catalogue has entries.
+    """
+    found = publications.orderBy("dataset", "year_key").collect()
+    layouts, rejects = _layouts(spark, found)
+
+    def judge(item):
+        (_, header), rows = item
+        folders = [row.folder for row in rows]
+        try:
+            counted = row_counts(spark, landing, folders, list(header), multi_line).collect()
+        except (PySparkException, Py4JJavaError) as error:
+            if "CSV header does not conform" not in str(error):
+                raise
+            if len(rows) == 1:
+                return [], [_reject(rows[0], MISFIT, "files with different headers")]
+            alone = [judge(((None, header), [row])) for row in rows]
+            return [r for fine, _ in alone for r in fine], [r for _, bad in alone for r in bad]
+        counts = {(r.dataset, r.year_key): (r.n_rows, r.n_bad) for r in counted}
+        return _judged(rows, counts, allow_bad_rows)
+
+    with ThreadPool(max(1, len(layouts))) as pool:
+        judged = pool.map(judge, layouts.items())
+    scans = []
+    for (family, header), (fine, bad) in zip(layouts, judged):
+        rejects += bad
+        if fine:
+            folders = [row.folder for row in fine]
+            scans.append((family, read_csv(spark, landing, folders, list(header), multi_line)))
+    return scans, rejects

@@ -52,8 +52,9 @@ def loaded_years(spark: SparkSession, raw: str) -> DataFrame:
         .select(F.lit(family).alias("family"), "dataset", "year_key", "n_rows")
         for family in families_present(spark, raw)
     ]
-    frame = counts[0]
-    for other in counts[1:]:
+    empty = "family string, dataset string, year_key string, n_rows bigint"
+    frame = spark.createDataFrame([], empty)
+    for other in counts:
         frame = frame.unionByName(other)
     return frame
 
@@ -76,18 +77,22 @@ def ingest(
     landing: str,
     raw: str,
     wanted: DataFrame | None = None,
+    allow_bad_rows: bool = False,
+    multi_line: bool = False,
     **families,
 ) -> DataFrame:
     """Load the latest publication of each dataset's year, or of the `wanted` ones.
 
-    Returns the publications that were left out because their dataset or year is unknown.
+    Returns the publications that were left out, as rows of `landing.REJECTS` with the reason. Nothing is
+    replaced by them, and they keep no other publication from being loaded.
     """
     publications = landed.latest_publications(landed.list_files(spark, landing))
     if wanted is not None:
         publications = publications.join(wanted, ["dataset", "year_key"], "left_semi")
     known, unknown = landed.dispatch(publications, **families)
+    found, rejects = landed.read_publications(spark, landing, known, allow_bad_rows, multi_line)
     scans = defaultdict(list)
-    for family, rows in landed.read_publications(spark, landing, known):
+    for family, rows in found:
         scans[family].append(rows)
 
     def write(item):
@@ -97,9 +102,9 @@ def ingest(
     if scans:
         with ThreadPool(len(scans)) as pool:  # each family is a table of its own
             pool.map(write, scans.items())
-    return unknown
-
-
-def register_view(frame: DataFrame, name: str) -> None:
-    """Expose a frame to SQL."""
-    frame.createOrReplaceTempView(name)
+    left_out = unknown.select(
+        "dataset", "year_key", "published", "folder",
+        F.lit(landed.UNKNOWN).alias("reason"),
+        F.lit(None).cast("string").alias("detail"),
+    )
+    return left_out.unionByName(spark.createDataFrame(rejects, landed.REJECTS))

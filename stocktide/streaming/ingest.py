@@ -44,14 +44,15 @@ def ingest_arrivals(
 ) -> StreamingQuery:
     """Load all that has landed since the last run, then stop. Wait with `awaitTermination`.
 
-    Publications of an unknown dataset or year are appended to `rejects`, if given.
+    Publications that cannot be loaded are appended to `rejects`, if given, each with its reason; the
+    batch they are in loads the others and commits, and a corrected publication loads when it lands.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         changed = batch.select("dataset", "year_key").distinct()
-        unknown = ingest(batch.sparkSession, landing, raw, changed, **families)
+        left_out = ingest(batch.sparkSession, landing, raw, changed, **families)
         if rejects is not None:
-            unknown.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+            left_out.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
 
     return (
         arrivals(spark, landing)

@@ -22,7 +22,7 @@ def spark_values(spark, values, expression):
 
 
 def test_numbers_like_pandas(spark):
-    values = texts("0123456789,,..+-eE <n", 3000, 8, 1) + ["5,434", " 12 ", "1d", "nan", "1_000"]
+    values = texts("0123456789,,..+-eE <n\t\n\u00a0", 3000, 8, 1) + ["5,434", " 12 ", "1d", "nan", "1_000"]
     # Exponents no double can hold are read differently: '.0e839' is missing to pandas and 0 here.
     values = [v for v in values if not re.search(r"[eE][+-]?\d[\d,]{2}", v)]
     stripped = pd.Series(values).str.replace(",", "", regex=False).str.strip()

@@ -5,7 +5,7 @@ from helpers import as_set, unified
 from pyspark.sql import functions as F
 
 from stocktide.fixed_values import WIDE_BANDS
-from stocktide.operators import clean, reshape
+from stocktide.operators import clean, joins, reshape
 
 WIDE_HEADER = ["ArchiveDate", "Adult_Child", "HospitalName", *WIDE_BANDS, "Total", "dataset", "year_key"]
 
@@ -130,3 +130,22 @@ def test_union_keeps_every_row(spark):
 def test_empty_input_is_refused(spark):
     with pytest.raises(ValueError):
         clean.require_rows(spark.createDataFrame([], "a string"))
+
+
+def test_an_alias_with_two_names_is_an_error(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "hospital_name string, n int")
+    twice = spark.createDataFrame([("a", "x"), ("a", "x")], "alias string, canonical string")
+    assert as_set(clean.canonical_names(rows, twice)) == {("x", 1), ("b", 2)}
+    other = spark.createDataFrame([("a", "x"), ("a", "y")], "alias string, canonical string")
+    with pytest.raises(Exception, match="alias with more than one name: a"):
+        clean.canonical_names(rows, other).collect()
+
+
+def test_register_keeps_the_first_entry_whatever_the_order(spark):
+    register = spark.createDataFrame([("k", "2020", "CC0")], "dataset_id string, added string, licence string")
+    entries = [("a", "2022", "none"), ("a", "2021", "CC-BY"), ("a", "2021", "zz"), ("k", "2019", "x"), ("b", "1", "y")]
+    want = {("k", "2020", "CC0"), ("a", "2021", "CC-BY"), ("b", "1", "y")}
+    for rows in (entries, entries[::-1]):
+        frame = spark.createDataFrame(rows, register.schema)
+        assert as_set(joins.append_missing(register, frame)) == want
+        assert as_set(joins.conflicting_entries(frame)) == {("a", 3)}

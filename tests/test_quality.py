@@ -5,7 +5,7 @@ import pytest
 from helpers import as_set, facts
 from pyspark.sql import functions as F
 
-from stocktide.fixed_values import METADATA_REQUIRED
+from stocktide.fixed_values import HOSPITAL_ALIASES, METADATA_REQUIRED
 from stocktide.operators import analysis, governance, joins, quality
 
 
@@ -222,3 +222,22 @@ def test_growth_inversions_and_ratio(series):
     assert as_set(analysis.list_type_ratio(series, ["archive_date"])) == {
         (date(2026, 4, 1), 30, 100, 333)
     }
+
+
+def test_words_find_renames_that_share_one(spark):
+    """All known renames but the mergers, whose new name shares no telling word, are found."""
+    names = sorted({*HOSPITAL_ALIASES, *HOSPITAL_ALIASES.values()})
+    frame = spark.createDataFrame([(n,) for n in [*names, names[0]]] + [(None,)], "hospital_name string")
+    found = {frozenset((r.name, r.first_name)) for r in quality.alias_candidates_by_word(frame).collect()}
+    found |= {frozenset((r.name, r.first_name)) for r in quality.alias_candidates(frame).collect()}
+    missed = {old for old, new in HOSPITAL_ALIASES.items() if frozenset((old, new)) not in found}
+    mergers = {old for old, new in HOSPITAL_ALIASES.items() if new == "Children's Health Ireland"}
+    assert missed <= mergers and len(HOSPITAL_ALIASES) - len(missed) >= 13
+
+
+def test_lost_rows(spark):
+    rows = [("ipdc", "Adult", 1, 5), ("ipdc", None, None, None), ("odd", "Child", 1, 2), (None, "Adult", 1, 3)]
+    frame = spark.createDataFrame(
+        rows, "list_type string, adult_child string, archive_date_parsed int, count bigint"
+    ).withColumn("y", F.lit("2020"))
+    assert as_set(quality.lost_rows(frame, ["y"])) == {("2020", 4, 2, 1, 1, 1)}

@@ -111,20 +111,74 @@ def test_only_wanted_years_are_loaded(spark, root, tmp_path):
     assert as_set(raw_store.loaded_years(spark, raw), "dataset", "year_key") == {("ipdc_hospital", "2018")}
 
 
-def test_files_without_a_known_header_stop_the_load(spark, tmp_path):
-    at = str(tmp_path / "landing")
-    land(at, "ipdc_hospital", "2026", "2026-07-01", "a,b,c", ["1,2,3"])
-    with pytest.raises(ValueError, match="does not fit"):
-        raw_store.ingest(spark, at, str(tmp_path / "raw"))
+GOOD = ["29/01/2026,Adult,X,1,1,1,1,4"]
 
 
-def test_two_headers_in_one_publication_stop_the_load(spark, tmp_path):
-    at = str(tmp_path / "landing")
-    land(at, "ipdc_hospital", "2026", "2026-07-01", WIDE_HEADER, ["29/01/2026,Adult,X,1,1,1,1,4"])
-    land(at, "ipdc_hospital", "2026", "2026-07-01", SPECIALTY_HEADER, ["29/01/2026,Adult,X,1,1,1,1,4"], "b.csv")
-    with pytest.raises(Exception, match="(?i)header"):
-        raw_store.ingest(spark, at, str(tmp_path / "raw"))
-    assert not list((tmp_path / "raw").rglob("*.parquet"))  # nothing is half loaded
+def land_faults(at):
+    """A good year and one of each fault."""
+    land(at, "ipdc_hospital", "2026", "2026-07-01", WIDE_HEADER, GOOD)
+    land(at, "ipdc_hospital", "2025", "2026-07-01", "a,b,c", ["1,2,3"])
+    land(at, "ipdc_hospital", "2024", "2026-07-01", WIDE_HEADER, GOOD)
+    land(at, "ipdc_hospital", "2024", "2026-07-01", SPECIALTY_HEADER, GOOD, "b.csv")
+    land(at, "op_hospital", "2026", "2026-07-01", WIDE_HEADER, [*GOOD, "29/01/2026,Adult,St John, Cork,1,2,3,4,10"])
+    land(at, "op_hospital", "2025", "2026-07-01", WIDE_HEADER, ['29/01/2026,Adult,"St John\nCork",1,2,3,4,10'])
+    land(at, "op_hospital", "2024", "2026-07-01", WIDE_HEADER, [])
+    land(at, "ipdc_hospital", "1999", "2026-07-01", WIDE_HEADER, GOOD)
+
+
+FAULTS = {
+    ("ipdc_hospital", "2025", landing.MISFIT), ("ipdc_hospital", "2024", landing.MISFIT),
+    ("op_hospital", "2026", landing.BAD_ROWS), ("op_hospital", "2025", landing.BAD_ROWS),
+    ("op_hospital", "2024", landing.EMPTY), ("ipdc_hospital", "1999", landing.UNKNOWN),
+}
+
+
+def test_faulty_publications_are_left_out_with_a_reason(spark, tmp_path):
+    at, raw = str(tmp_path / "landing"), str(tmp_path / "raw")
+    land_faults(at)
+    rejects = raw_store.ingest(spark, at, raw)
+    assert as_set(rejects, "dataset", "year_key", "reason") == FAULTS
+    assert as_set(raw_store.loaded_years(spark, raw), "dataset", "year_key", "n_rows") == {("ipdc_hospital", "2026", 1)}
+
+
+def test_bad_rows_can_be_left_out_and_quoted_breaks_read(spark, tmp_path):
+    at, raw = str(tmp_path / "landing"), str(tmp_path / "raw")
+    land_faults(at)
+    rejects = raw_store.ingest(spark, at, raw, allow_bad_rows=True, multi_line=True)
+    assert {r.reason for r in rejects.where("dataset = 'op_hospital'").collect()} == {landing.EMPTY}
+    rows = raw_store.read_raw(spark, raw, WIDE).where("dataset = 'op_hospital'")
+    assert as_set(rows, "year_key", "HospitalName", "Total") == {("2026", "X", "4"), ("2025", "St John\nCork", "10")}
+
+
+def test_an_empty_correction_replaces_nothing(spark, tmp_path):
+    at, raw = str(tmp_path / "landing"), str(tmp_path / "raw")
+    land(at, "ipdc_hospital", "2026", "2026-07-01", WIDE_HEADER, GOOD)
+    assert raw_store.ingest(spark, at, raw).count() == 0
+    land(at, "ipdc_hospital", "2026", "2026-08-01", WIDE_HEADER, [])
+    assert as_set(raw_store.ingest(spark, at, raw), "published", "reason") == {("2026-08-01", landing.EMPTY)}
+    assert raw_store.read_raw(spark, raw, WIDE).count() == 1
+
+
+def test_a_stream_goes_on_after_a_bad_batch(spark, tmp_path):
+    at, raw, state = (str(tmp_path / name) for name in ("landing", "raw", "state"))
+    rejects = str(tmp_path / "rejects")
+
+    def run():
+        ingest_arrivals(spark, at, raw, state, rejects).awaitTermination()
+
+    land_faults(at)
+    run()
+    assert as_set(spark.read.parquet(rejects), "dataset", "year_key", "reason") == FAULTS
+    land(at, "op_hospital", "2024", "2026-08-01", WIDE_HEADER, GOOD)
+    run()
+    assert as_set(raw_store.loaded_years(spark, raw), "dataset", "year_key") == {
+        ("ipdc_hospital", "2026"), ("op_hospital", "2024"),
+    }
+
+
+def test_an_empty_store_has_no_years(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    assert raw_store.loaded_years(spark, str(tmp_path / "raw")).collect() == []
 
 
 def test_manifest(spark, root):

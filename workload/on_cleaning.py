@@ -393,10 +393,35 @@ def unified_rows(spark, sf_dir):
 
 
 @query(
-    "SELECT count(*) AS n, CAST(sum(CASE WHEN l_quantity > 0 THEN 1 ELSE 0 END) AS BIGINT) AS parsed FROM lineitem"
+    """SELECT count(*) AS n, CAST(sum(CASE WHEN l_quantity > 0 THEN 1 ELSE 0 END) AS BIGINT) AS parsed,
+    CAST(sum(round(l_extendedprice * 100)) AS BIGINT) AS cents FROM lineitem"""
 )
 def parse_numbers(spark, sf_dir):
     cells = tables.table(spark, sf_dir, "lineitem").select(
         parse_number(F.col("l_extendedprice").cast("string")).alias("v")
     )
-    return cells.agg(F.count("*").alias("n"), F.count("v").alias("parsed"))
+    cents = F.sum(F.round(F.col("v") * 100).cast("bigint"))
+    return cells.agg(F.count("*").alias("n"), F.count("v").alias("parsed"), cents.alias("cents"))
+
+
+@query(
+    """SELECT l_linenumber, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS trimmed,
+    CAST(max(9007199254740993 + l_orderkey) AS BIGINT) AS largest,
+    CAST(max(l_linenumber) * 10000000000000000 AS BIGINT) AS power, 0 AS fractions
+  FROM lineitem GROUP BY l_linenumber"""
+)
+def parse_odd_counts(spark, sf_dir):
+    """Counts between tabs, line feeds and no-break spaces, and decimal forms from 2^53 on."""
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    big = (F.lit(9007199254740993) + key).cast("string")
+    cells = tables.table(spark, sf_dir, "lineitem").select(
+        "l_linenumber",
+        parse_count(F.concat(F.lit("\t\u00a0"), key.cast("string"), F.lit("\u2003\n"))).alias("trimmed"),
+        parse_count(F.concat(big, F.lit(".0"))).alias("large"),
+        parse_count(F.concat(line.cast("string"), F.lit("e16"))).alias("power"),
+        parse_count(F.concat(big, F.lit(".5"))).alias("fraction"),
+    )
+    return cells.groupBy("l_linenumber").agg(
+        F.count("*").alias("n"), F.sum("trimmed").alias("trimmed"), F.max("large").alias("largest"),
+        F.max("power").alias("power"), F.count("fraction").cast("int").alias("fractions"),
+    )

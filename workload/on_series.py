@@ -290,20 +290,31 @@ def star_published_hospitals(spark, sf_dir):
 
 @query(
     with_unified(
-        f"""SELECT hospital_name, {DAY}, CAST(sum(count) AS BIGINT) AS total_waiting FROM unified
+        f"""SELECT hospital_name, year, waiting, rank() OVER (PARTITION BY year ORDER BY waiting DESC) AS place
+  FROM (SELECT hospital_name, year(archive_date) AS year, CAST(max(total) AS BIGINT) AS waiting FROM (
+    SELECT hospital_name, archive_date, sum(count) AS total FROM unified
     WHERE {IN_HOSPITAL} AND adult_child = 'Child' AND list_type = 'op'
-      AND granularity IN ('hospital', 'hospital_specialty') GROUP BY ALL"""
+      AND granularity IN ('hospital', 'hospital_specialty') GROUP BY ALL) GROUP BY ALL)
+  QUALIFY place <= 3"""
     )
 )
 def sql_views(spark, sf_dir):
-    """The star schema as SQL views, questions with named parameters."""
+    """The star schema as SQL views: each year's three hospitals with the longest queue of any snapshot."""
     warehouse_store.register_star(stores.star(spark, sf_dir))
     return spark.sql(
-        """SELECT h.hospital_name, d.archive_date, sum(f.count) AS total_waiting
-        FROM fact_waiting_list f JOIN dim_date d USING (date_id) JOIN dim_hospital h USING (hospital_id)
-        WHERE NOT f.is_suppressed_bucket AND f.adult_child = :population AND f.list_type = :list_type
-        GROUP BY h.hospital_name, d.archive_date""",
-        args={"population": "Child", "list_type": "op"},
+        """WITH queue AS (
+          SELECT hospital_id, date_id, sum(count) AS waiting FROM fact_waiting_list
+          WHERE hospital_id IS NOT NULL AND NOT is_suppressed_bucket
+            AND list_type = :list_type AND adult_child = :population
+          GROUP BY ALL
+        ), longest AS (
+          SELECT hospital_id, year(archive_date) AS year, max(waiting) AS waiting
+          FROM queue NATURAL JOIN dim_date GROUP BY ALL
+        )
+        SELECT hospital_name, year, waiting, place
+        FROM (SELECT *, rank() OVER (PARTITION BY year ORDER BY waiting DESC) AS place FROM longest)
+        NATURAL JOIN dim_hospital WHERE place <= :places""",
+        args={"population": "Child", "list_type": "op", "places": 3},
     )
 
 

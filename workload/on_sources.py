@@ -49,7 +49,7 @@ def csv_scan(spark, sf_dir):
     )
     found = landing.latest_publications(landing.list_files(spark, folder).where(wanted))
     placed, _ = landing.dispatch(found, years_of_family=tables.YEARS)
-    ((_, rows),) = landing.read_publications(spark, folder, placed)
+    ((_, rows),), _ = landing.read_publications(spark, folder, placed)
     return rename_known(rows.drop("published", "_source_file"))
 
 
@@ -225,6 +225,50 @@ def incremental_ingest(spark, sf_dir):
     )
 
 
+@query(
+    with_base(
+        """SELECT list_type || '_hospital' AS dataset, CAST(yr AS VARCHAR) AS year_key,
+    CASE WHEN yr = 2001 THEN 'bad rows' WHEN list_type = 'ipdc' THEN 'no rows'
+      ELSE 'header does not fit' END AS reason,
+    CAST(count(DISTINCT (day, adult_child, published_name)) AS BIGINT) AS n_rows
+  FROM base WHERE yr >= 2000 GROUP BY list_type, yr"""
+    )
+)
+def ingest_rejects(spark, sf_dir):
+    """Corrections of every wide year with a fault each: no rows, a header of another shape, rows with a cell
+    too many, line breaks inside quotes. None is loaded, and what was loaded before stays."""
+    root = new_folder(spark, "rejects")
+    landed, raw = f"{root}/landing", f"{root}/raw"
+    wide = raw_store.read_raw(spark, stores.raw(spark, sf_dir), WIDE)
+    tables.write_publication(wide, landed)
+    raw_store.ingest(spark, landed, raw, years_of_family=tables.YEARS)
+
+    def faulty(dataset, year, rows, **options):
+        folder = f"{landed}/dataset={dataset}/year_key={year}/published=2002-03-15"
+        of_year = rows.where((F.col("dataset") == dataset) & (F.col("year_key") == year))
+        of_year.drop("dataset", "year_key").write.options(header=True, **options).csv(folder)
+
+    faulty("ipdc_hospital", "2000", wide.where("false"))
+    faulty("op_hospital", "2000", wide.withColumnRenamed("HospitalName", "Place"))
+    name = F.col("HospitalName")
+    # Printed without quotes, the comma begins another cell.
+    faulty("ipdc_hospital", "2001", wide.withColumn("HospitalName", F.concat(name, F.lit(", A"))), quote="")
+    faulty("op_hospital", "2001", wide.withColumn("HospitalName", F.concat(name, F.lit("\nA"))))
+    left_out = raw_store.ingest(spark, landed, raw, years_of_family=tables.YEARS)
+    loaded = raw_store.loaded_years(spark, raw)
+    return left_out.join(loaded, ["dataset", "year_key"]).select("dataset", "year_key", "reason", "n_rows")
+
+
+@query(
+    """SELECT sha256(text) AS sha256, count(*) AS copies, min(doc_id) AS first_path FROM documents
+  WHERE text IS NOT NULL GROUP BY ALL HAVING count(*) > 1"""
+)
+def duplicate_contents(spark, sf_dir):
+    """The manifest's hash and duplicate search, over texts in place of files."""
+    texts = tables.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text")
+    return landing.duplicate_files(landing.hashed(texts, "text"))
+
+
 @query(
     with_unified(
         f"""SELECT 'dim_date' AS table_name, count(DISTINCT archive_date) AS n_rows FROM unified
