@@ -11,9 +11,11 @@ from ..fixed_values import NULL_TOKENS
 _INTEGER = r"^[+-]?[0-9]+\z"
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 # White space as Unicode has it, and the four separators among the control characters.
-_ENDS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
-# A fraction with digits beyond those that decimal(38,18) holds.
-_DEEP_FRACTION = r"\.[0-9]{18}[0-9]*[1-9]"
+_WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    map(chr, range(0x2000, 0x200B))
+)
+# A fraction with digits beyond those that decimal(38,18) holds, or that an exponent may put there.
+_DEEP_FRACTION = r"\.[0-9]{18}[0-9]*[1-9]|[eE]-[0-9]{2}"
 
 
 def present(cell: Column, tokens=NULL_TOKENS) -> Column:
@@ -23,7 +25,7 @@ def present(cell: Column, tokens=NULL_TOKENS) -> Column:
 
 def _plain(cell: Column) -> Column:
     """The cell without thousands commas and without white space of any kind at its ends."""
-    return F.regexp_replace(F.replace(cell, F.lit(","), F.lit("")), _ENDS, "")
+    return F.btrim(F.replace(cell, F.lit(","), F.lit("")), F.lit(_WHITE))
 
 
 def parse_number(cell: Column) -> Column:
@@ -38,11 +40,9 @@ def parse_count(cell: Column) -> Column:
     Decimal forms such as `12.0` and `1e16` are read exactly, as far as bigint reaches.
     """
     plain = _plain(cell)
-    exact, near = plain.try_cast("decimal(38,18)"), plain.try_cast("double")
-    whole = (exact == F.floor(exact)) & (near == F.floor(near)) & ~plain.rlike(_DEEP_FRACTION)
-    return F.when(plain.rlike(_INTEGER), plain.try_cast("bigint")).when(
-        plain.rlike(_NUMBER) & whole, exact.cast("decimal(38,0)").try_cast("bigint")
-    )
+    exact = plain.try_cast("decimal(38,18)")
+    whole = plain.rlike(_NUMBER) & ~plain.rlike(_DEEP_FRACTION) & (exact == F.floor(exact))
+    return F.when(plain.rlike(_INTEGER), plain.try_cast("bigint")).when(whole, exact.try_cast("bigint"))
 
 
 def grouped_digits(count: Column) -> Column:
