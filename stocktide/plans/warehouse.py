@@ -14,7 +14,14 @@ from ..operators.star import (
     build_dim_specialty,
     build_fact,
 )
-from ..sources.warehouse_store import read_dimension, read_star, write_dimension, write_fact
+from ..sources.warehouse_store import (
+    new_build,
+    publish,
+    read_dimension,
+    read_star,
+    write_dimension,
+    write_fact,
+)
 from .harmonise import unify_store
 
 
@@ -25,7 +32,7 @@ DIMENSIONS = {
 }
 
 
-def build_dimensions(unified: DataFrame, warehouse: str) -> list[DataFrame]:
+def build_dimensions(unified: DataFrame, build: str) -> list[DataFrame]:
     """Write the dimensions and read them back; each reads only its own columns of the raw tables.
 
     They do not depend on each other, so their jobs run side by side.
@@ -33,21 +40,24 @@ def build_dimensions(unified: DataFrame, warehouse: str) -> list[DataFrame]:
     spark = unified.sparkSession
 
     def write(item):
-        name, build = item
-        write_dimension(build(unified), warehouse, name)
+        name, make = item
+        write_dimension(make(unified), build, name)
 
     with ThreadPool(len(DIMENSIONS)) as pool:
         pool.map(write, DIMENSIONS.items())
-    return [read_dimension(spark, warehouse, name) for name in DIMENSIONS]
+    return [read_dimension(spark, build, name) for name in DIMENSIONS]
 
 
 def build_warehouse(unified: DataFrame, warehouse: str) -> Star:
-    """Write the dimensions, then the fact, and read them back.
+    """Write the dimensions, then the fact, publish them together, and read them back.
 
-    The fact joins the written dimensions, whose file sizes tell Spark whether to broadcast them.
+    The fact joins the written dimensions, whose file sizes tell Spark whether to broadcast them. Each
+    build has a folder of its own: readers, and a build that fails, never see new names with old ids.
     """
-    dims = build_dimensions(unified, warehouse)
-    write_fact(build_fact(unified, *dims), warehouse)
+    build = new_build(warehouse)
+    dims = build_dimensions(unified, build)
+    write_fact(build_fact(unified, *dims), build)
+    publish(unified.sparkSession, warehouse, build)
     return read_star(unified.sparkSession, warehouse)
 
 

@@ -1,7 +1,14 @@
-"""Warehouse store: three dimensions and one fact table in Parquet."""
+"""Warehouse store: three dimensions and one fact table in Parquet.
+
+Each build is a folder of its own below `builds`. `published` lists the finished builds, a row appended
+for each in one commit, and readers follow the newest. Earlier builds stay until someone removes them.
+"""
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +24,30 @@ SCHEMAS = {
 FACT_TABLE = "fact_waiting_list"
 
 
-def write_dimension(dim: DataFrame, warehouse: str, name: str) -> None:
-    dim.write.mode("overwrite").parquet(f"{warehouse}/{name}")
+def new_build(warehouse: str) -> str:
+    """A fresh folder for one build; nothing is created yet."""
+    return f"{warehouse}/builds/{uuid.uuid4().hex}"
+
+
+def publish(spark: SparkSession, warehouse: str, build: str) -> None:
+    """Make a finished build the one that readers see."""
+    row = [(build.rpartition("/")[2], time.time_ns())]
+    frame = spark.createDataFrame(row, "build string, published_at bigint")
+    frame.coalesce(1).write.mode("append").parquet(f"{warehouse}/published")
+
+
+def published_build(spark: SparkSession, warehouse: str) -> str:
+    """The folder of the newest published build."""
+    listed = spark.read.schema("build string, published_at bigint").parquet(f"{warehouse}/published")
+    newest = listed.agg(F.max_by("build", "published_at").alias("build")).first().build
+    return f"{warehouse}/builds/{newest}"
+
+
+def write_dimension(dim: DataFrame, build: str, name: str) -> None:
+    dim.write.mode("overwrite").parquet(f"{build}/{name}")
 
 
-def write_fact(fact: DataFrame, warehouse: str) -> None:
+def write_fact(fact: DataFrame, build: str) -> None:
     """Partitioned by list type and year, which every query filters or sums by.
 
     Inside a partition files are sized at run time (a year with most of the rows is split) and
@@ -32,17 +58,19 @@ def write_fact(fact: DataFrame, warehouse: str) -> None:
         .sortWithinPartitions("list_type", "source_year_key", "hospital_id", "date_id")
         .write.mode("overwrite")
         .partitionBy("list_type", "source_year_key")
-        .parquet(f"{warehouse}/{FACT_TABLE}")
+        .parquet(f"{build}/{FACT_TABLE}")
     )
 
 
-def read_dimension(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{warehouse}/{name}")
+def read_dimension(spark: SparkSession, build: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{build}/{name}")
 
 
 def read_star(spark: SparkSession, warehouse: str) -> Star:
-    dims = [read_dimension(spark, warehouse, n) for n in ("dim_date", "dim_hospital", "dim_specialty")]
-    return Star(*dims, read_dimension(spark, warehouse, FACT_TABLE).select(*FACT.fieldNames()))
+    """The newest published build."""
+    build = published_build(spark, warehouse)
+    dims = [read_dimension(spark, build, n) for n in ("dim_date", "dim_hospital", "dim_specialty")]
+    return Star(*dims, read_dimension(spark, build, FACT_TABLE).select(*FACT.fieldNames()))
 
 
 def register_star(star: Star) -> None:

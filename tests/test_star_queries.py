@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from stocktide.operators import star
 from stocktide.operators.totals import bucket_pivot, bucket_totals
-from stocktide.plans import publish, queries
+from stocktide.plans import publish, queries, warehouse
 from stocktide.plans.warehouse import build_warehouse
+from stocktide.sources import warehouse_store
 from stocktide.sources.warehouse_store import table_counts
 
 JAN, JUN, JUL = "2026-01-29", "2026-06-25", "2026-07-30"
@@ -243,3 +244,21 @@ def test_dashboard(names):
     ).first()
     assert line.last_updated == "n/a"
     assert line.known_limitations.endswith("No specialty-level data available for this combination.")
+
+
+def test_a_build_that_fails_leaves_the_last_one_in_place(spark, tmp_path, monkeypatch):
+    at = str(tmp_path / "w")
+    before = build_warehouse(unified(spark, ROWS), at).dim_hospital.orderBy("hospital_id").collect()
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(warehouse, "build_fact", broken)
+    fewer = unified(spark, ROWS).where("hospital_name <> 'A'")
+    with pytest.raises(RuntimeError):
+        build_warehouse(fewer, at)
+    star = warehouse_store.read_star(spark, at)
+    assert star.dim_hospital.orderBy("hospital_id").collect() == before
+    assert star.fact.count() > 0
+    monkeypatch.undo()
+    assert build_warehouse(fewer, at).dim_hospital.where("hospital_name = 'A'").count() == 0
