@@ -13,7 +13,8 @@ CLASHING = ("score", "node", "row", "spans", "label", "path", "hits", "_id", "va
 
 def documents(spark, rows):
     """(doc_id, text) rows as a table that has columns named like those the operators make."""
-    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    # Spread, so that tasks and not the planner work on the rows.
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     return frame.withColumns({name: F.lit("x") for name in CLASHING})
 
 
