@@ -27,21 +27,27 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that with the smallest doc_id.
 
-    Repeats of a row under one id stay once; documents without words are no copies and all stay.
+    Repeats of a row under one id stay once. Documents without words are no copies and all stay; so do
+    rows without an id, which nothing can name, and all rows of an id that one of them keeps.
     """
-    found = near_duplicates(docs, shingle_words=5, percent=80)
-    chosen = found.where("kept").groupBy("doc_id").agg(F.max("n_shingles").alias("most")).select(
-        F.col("doc_id").alias("_id"), (F.col("most") > 0).alias("_worded")
+    found = written(near_duplicates(docs, shingle_words=5, percent=80).where("doc_id is not null"), "found")
+    by_id = found.groupBy("doc_id").agg(
+        F.max("kept").alias("kept"), F.count_if(F.col("n_shingles") > 0).alias("worded")
     )
-    rows = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")))
-    once = rows.where("_worded and doc_id is not null").dropDuplicates(["doc_id"])
-    return once.union(rows.where("not _worded or doc_id is null")).select(docs.columns)
+    # Written, so that Spark knows how small it is before it decides to shuffle texts.
+    dropped = written(by_id.where("not kept").select("doc_id"), "dropped")
+    rows = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    repeated = written(by_id.where("kept and worded > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return rows
+    once = rows.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    return rows.join(repeated, "doc_id", "left_anti").select(docs.columns).union(once)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of `benchmark`. A row goes if any row under its id holds one."""
     found = find_passages(docs, table(spark, sf_dir, "benchmark"))
-    held = found.where("n_hit > 0").select(F.col("doc_id").alias("_id")).distinct()
+    held = written(found.where("n_hit > 0").select(F.col("doc_id").alias("_id")).distinct(), "contaminated")
     return docs.join(held, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(docs.columns)
 
 
