@@ -290,8 +290,8 @@ def star_published_hospitals(spark, sf_dir):
 
 @query(
     with_unified(
-        f"""SELECT hospital_name, year, waiting, rank() OVER (PARTITION BY year ORDER BY waiting DESC) AS place
-  FROM (SELECT hospital_name, year(archive_date) AS year, CAST(max(total) AS BIGINT) AS waiting FROM (
+        f"""SELECT hospital_name, year, waiting, CAST(rank() OVER (PARTITION BY year ORDER BY waiting DESC) AS INTEGER) AS place
+  FROM (SELECT hospital_name, CAST(year(archive_date) AS INTEGER) AS year, CAST(max(total) AS BIGINT) AS waiting FROM (
     SELECT hospital_name, archive_date, sum(count) AS total FROM unified
     WHERE {IN_HOSPITAL} AND adult_child = 'Child' AND list_type = 'op'
       AND granularity IN ('hospital', 'hospital_specialty') GROUP BY ALL) GROUP BY ALL)
