@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 SAMPLE = 20_000
 TREES = 10
 LEAF = 100
+#: A tree has 2^DEEPEST leaves at most, so that a search that is to reach a share of all vectors visits as
+#: many leaves however many vectors there are.
+DEEPEST = 7
 #: A search ends when the leaves it reached hold this share of all vectors, counted in every tree, or this many.
 SEARCH_SHARE = 0.8
 SEARCH_LEAST = 2_000
@@ -82,8 +85,8 @@ def _split(points: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, fl
 
 
 def grow(sample: np.ndarray, rows: int, trees: int = TREES, seed: int = 1) -> Forest:
-    """Trees for `rows` vectors from a sample of them, deep enough for leaves of about LEAF."""
-    deepest = int(np.log2(max(len(sample) / 16, 1)))
+    """Trees for `rows` vectors from a sample of them, deep enough for leaves of about LEAF or DEEPEST levels."""
+    deepest = min(DEEPEST, int(np.log2(max(len(sample) / 16, 1))))
     depth = min(deepest, max(0, int(np.ceil(np.log2(max(rows / LEAF, 1))))))
     inner = 2**depth - 1
     normals, cuts = np.zeros((trees, max(inner, 1), sample.shape[1])), np.zeros((trees, max(inner, 1)))
