@@ -172,7 +172,9 @@ def learn(docs: DataFrame) -> LanguageModel:
     languages = tuple(r.lang for r in known.select("lang").distinct().orderBy("lang").limit(SAMPLE_TEXTS).collect())
     share = max(1, SAMPLE_TEXTS // max(1, len(languages)))
     lowest = Window.partitionBy("lang").orderBy("key")
-    chosen = known.withColumn("at", F.row_number().over(lowest)).where(F.col("at") <= share)
+    # Keys are ranked without their texts, which are then looked up for the SAMPLE_TEXTS keys at most.
+    keys = known.select("lang", "key").distinct().withColumn("at", F.row_number().over(lowest))
+    chosen = known.join(F.broadcast(keys.where(F.col("at") <= share)), ["lang", "key"], "left_semi")
     fits = F.pmod(F.xxhash64("key"), F.lit(5)) > 0
     schema = "lang string, fits boolean, at array<int>, found array<int>"
     rows = chosen.select("lang", fits.alias("fits"), "text").mapInArrow(_extracting, schema).collect()
