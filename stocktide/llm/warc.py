@@ -25,9 +25,11 @@ from stocktide.shared_dir import new_folder
 RANGE_BYTES = 8 << 20
 ARCHIVE_BYTES = 1 << 30
 READ_BYTES = 1 << 20
+#: A header is decoded in steps of so many bytes, until it ends.
 HEADER_BYTES = 1 << 16
 DATE = "1970-01-01T00:00:00Z"
 MAGIC = b"\x1f\x8b\x08"
+VERSION = b"WARC/1."
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST_COLUMNS = "path string, bytes bigint, records bigint"
 RECORD_COLUMNS = (
@@ -148,13 +150,25 @@ class _Member:
 
     def header(self, at: int) -> bytes | None:
         """The WARC header of the member that starts at `at`, if one does."""
-        try:
-            head = zlib.decompressobj(31).decompress(self.view(at, HEADER_BYTES)[:HEADER_BYTES], HEADER_BYTES)
-        except zlib.error:
-            return None
-        end = head.find(b"\r\n\r\n")
-        valid = head.startswith(b"WARC/1.") and end > 0 and b"\r\nWARC-Type:" in head[:end]
-        return head[:end] if valid else None
+        unpack, head = zlib.decompressobj(31), bytearray()
+        while not unpack.eof:
+            data = unpack.unconsumed_tail
+            if not data:
+                data = self.view(at, HEADER_BYTES)[:HEADER_BYTES]
+                at += len(data)
+            try:
+                piece = unpack.decompress(data, HEADER_BYTES)
+            except zlib.error:
+                return None
+            if not data and not piece:
+                return None
+            head += piece
+            if not (head.startswith(VERSION) or VERSION.startswith(head)):
+                return None
+            end = head.find(b"\r\n\r\n", max(0, len(head) - len(piece) - 3))
+            if end > 0:
+                return bytes(head[:end]) if b"\r\nWARC-Type:" in head[:end] else None
+        return None
 
     def content(self, at: int) -> tuple[bytes, int]:
         """The whole member at `at`, and where it ends."""
@@ -250,11 +264,23 @@ def _page(record_id: Column) -> Column:
     return F.try_to_number(F.substring_index(record_id, ":", -1), F.lit("S" + "9" * 19)).cast("bigint")
 
 
+def complete(records: DataFrame, files: DataFrame) -> DataFrame:
+    """`records` as read from `files` (path, records), written. Raises if a file gave other than its number."""
+    records = written(records, "records")
+    read = records.groupBy("path").agg(F.count("*").alias("read"))
+    wrong = files.groupBy("path").agg(F.sum("records").alias("records")).join(read, "path", "full")
+    wrong = wrong.where(F.coalesce("read", F.lit(0)) != F.coalesce("records", F.lit(0)))
+    first = wrong.orderBy("path").first()
+    if first is not None:
+        raise ValueError(f"{first.path} has {first.records} records, {first.read or 0} were read")
+    return records
+
+
 def archive_round_trip(spark: SparkSession, pages: DataFrame, revisit_from: int = 0) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to, target_uri) of every row of `pages`,
     written to archives in the shared folder and read back from them."""
     files = write_archives(pages, new_folder(spark, "warc"), revisit_from)
-    return read_archives(files, with_payload=False).select(
+    return complete(read_archives(files, with_payload=False), files).select(
         _page(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest",
         F.col("type").alias("record_type"), _page(F.col("refers_to")).alias("refers_to"), "target_uri",
     )

@@ -3,6 +3,7 @@ import gzip
 import hashlib
 import random
 
+import pytest
 from frames import prose
 from pyspark.sql import functions as F
 
@@ -79,5 +80,24 @@ def test_bytes_that_are_no_record_are_skipped(spark, tmp_path):
     assert read_archives(frame, 1000).count() == 20
 
 
+def test_a_header_longer_than_a_step_is_read(spark, tmp_path):
+    rng = random.Random(19)
+    long = "data:" + "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGH0123456789+/") for _ in range(200_000))
+    rows = [(1, "http://a.example/1", "one"), (2, long, "two"), (3, "http://a.example/3", "three")]
+    found = {r.page_id: r.target_uri for r in archive_round_trip(spark, pages(spark, rows)).collect()}
+    assert found == {page: url for page, url, _ in rows}
+    files = write_archives(pages(spark, rows).coalesce(1), str(tmp_path / "w"))
+    assert [read_archives(files, size).count() for size in (997, 60_000, 1 << 30)] == [3, 3, 3]
+
+
+def test_a_missing_record_is_an_error(spark, tmp_path):
+    files = write_archives(pages(spark, case()).coalesce(1), str(tmp_path / "w"))
+    assert warc.complete(read_archives(files), files).count() == len(case())
+    with pytest.raises(ValueError, match="were read"):
+        warc.complete(read_archives(files).where("record_id <> 'urn:page:5'"), files)
+    with pytest.raises(ValueError, match="0 were read"):
+        warc.complete(read_archives(files).where("false"), files)
+
+
 def test_empty_table(spark):
     assert archive_round_trip(spark, pages(spark, [])).collect() == []
