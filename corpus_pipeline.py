@@ -13,7 +13,7 @@ from stocktide.llm.near_dedup import near_duplicates
 from stocktide.llm.packing import pack
 from stocktide.llm.pii import sanitise
 from stocktide.llm.queries import TOKENIZER, quality_model
-from stocktide.llm.tables import table, written
+from stocktide.llm.tables import row_keyed, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -45,10 +45,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of `benchmark`. A row goes if any row under its id holds one."""
-    found = find_passages(docs, table(spark, sf_dir, "benchmark"))
-    held = written(found.where("n_hit > 0").select(F.col("doc_id").alias("_id")).distinct(), "contaminated")
-    return docs.join(held, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(docs.columns)
+    """Rows that hold no passage of `benchmark`, whatever other rows of their id hold."""
+    rows = row_keyed(docs)
+    found = find_passages(rows.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    held = written(found.where("n_hit > 0").select(F.col("doc_id").alias("_row")), "contaminated")
+    return rows.join(held, "_row", "left_anti").select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from stocktide.shared_dir import new_folder
 
@@ -18,3 +20,20 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     folder = new_folder(spark, name)
     frame.write.parquet(folder)
     return spark.read.schema(frame.schema).parquet(folder)
+
+
+def row_keyed(frame: DataFrame) -> DataFrame:
+    """`frame` with `_row`, a number for each row that is the same at every reading: its file's number and its
+    place in the file. What is not read from files as it is gets written first."""
+    places = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index")]
+    try:
+        placed = frame.select("*", *places)
+    except AnalysisException:
+        placed = written(frame, "rows").select("*", *places)
+    paths = placed.select("_file").distinct()
+    number = F.row_number().over(Window.orderBy("_file")).cast("bigint")
+    files = written(paths.select("_file", number.alias("_number")), "files")
+    # One row per file, of which the planner has a list anyway.
+    keyed = placed.join(F.broadcast(files), "_file")
+    row = F.shiftleft("_number", 36) + F.col("_index")
+    return keyed.select(*[F.col(f"`{c}`") for c in frame.columns], row.alias("_row"))

@@ -62,6 +62,29 @@ def test_stages(spark, planted):
     assert sum(p.length for p in pieces) == sum(len(p.ids) for p in pieces)
 
 
+@pytest.fixture()
+def stored(spark, planted, tmp_path):
+    """Rows (doc_id, text) as a stored table of several files, one as Spark would not read it as it is."""
+
+    def make(rows):
+        frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+        frame.write.parquet(str(tmp_path / "docs"))
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+        return docs, docs.select("doc_id", "text").distinct().union(docs.limit(0))
+
+    return make
+
+
+def test_decontamination_of_repeated_and_null_ids(spark, planted, stored):
+    folder, texts = planted
+    rng = random.Random(24)
+    clean = [(1, prose(rng, 30, 3000)), (None, prose(rng, 30, 3000)), (None, prose(rng, 30, 3000)), (2, None), (None, None)]
+    leaked = [(1, texts[3000]), (None, texts[3000] + " more"), (2, "x " + texts[3000])]
+    stage = dict(corpus_pipeline.STAGES)["decontamination"]
+    for docs in stored(clean + leaked):
+        assert sorted(map(tuple, stage(spark, docs, folder).collect()), key=str) == sorted(clean, key=str)
+
+
 def test_empty_documents(spark, planted, tmp_path):
     folder, _ = planted
     empty = spark.read.parquet(f"{folder}/documents.parquet").where("false")
