@@ -25,23 +25,21 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: that with the smallest doc_id.
+    """One row of each group of near copies stays: that with the smallest doc_id, rows without one last.
 
-    Repeats of a row under one id stay once. Documents without words are no copies and all stay; so do
-    rows without an id, which nothing can name, and all rows of an id that one of them keeps.
+    Rows are told apart by where they stand, so that rows of one id, or of none, are documents of their
+    own: those with different texts all stay, and copies among them stay once. Rows without words are no
+    copies and all stay.
     """
-    found = written(near_duplicates(docs, shingle_words=5, percent=80).where("doc_id is not null"), "found")
-    by_id = found.groupBy("doc_id").agg(
-        F.max("kept").alias("kept"), F.count_if(F.col("n_shingles") > 0).alias("worded")
-    )
+    rows = row_keyed(docs)
+    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), shingle_words=5, percent=80)
+    worded = found.where("n_shingles > 0").select(F.col("doc_id").alias("_row"), "component_id")
+    worded = written(worded.join(rows.select("_row", F.col("doc_id").alias("_id")), "_row"), "found")
+    rank = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")
+    first = worded.groupBy("component_id").agg(F.min(rank).alias("of")).select(F.col("of._row").alias("_row"))
     # Written, so that Spark knows how small it is before it decides to shuffle texts.
-    dropped = written(by_id.where("not kept").select("doc_id"), "dropped")
-    rows = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
-    repeated = written(by_id.where("kept and worded > 1").select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return rows
-    once = rows.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-    return rows.join(repeated, "doc_id", "left_anti").select(docs.columns).union(once)
+    dropped = written(worded.select("_row").join(first, "_row", "left_anti"), "dropped")
+    return rows.join(dropped, "_row", "left_anti").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,6 +75,19 @@ def stored(spark, planted, tmp_path):
     return make
 
 
+def test_near_dedup_of_repeated_and_null_ids(spark, planted, stored):
+    rng = random.Random(23)
+    a, b, c, d, e = (prose(rng, 60, 3000) for _ in range(5))
+    near = a.replace(a.split(" ")[30], "altered")
+    # Rows of id 1 differ; of id 2 one is a near copy of 1's; rows without an id repeat each other and 1's.
+    rows = [(1, a), (1, b), (2, near), (2, c), (None, d), (None, d), (None, e), (None, b), (3, e), (None, ""), (None, "")]
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    want = [(1, a), (1, b), (2, c), (None, d), (3, e)]
+    for docs, blank in zip(stored(rows), (2, 1)):
+        got = [tuple(r) for r in stage(spark, docs, planted[0]).collect()]
+        assert sorted(got, key=str) == sorted(want + [(None, "")] * blank, key=str)
+
+
 def test_decontamination_of_repeated_and_null_ids(spark, planted, stored):
     folder, texts = planted
     rng = random.Random(24)
