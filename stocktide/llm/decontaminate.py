@@ -128,28 +128,37 @@ def _counting(vocabulary: np.ndarray):
     return run
 
 
-def _walk(block: _Block, live: np.ndarray, keys: np.ndarray, firsts: np.ndarray, lasts: np.ndarray, slack: int):
-    """(window, position) of every match of the windows `live`.
+def _walk(
+    block: _Block, live: np.ndarray, keys: np.ndarray, firsts: np.ndarray, lasts: np.ndarray, slack: int,
+    doc_starts: np.ndarray, n_words: np.ndarray,
+):
+    """(window, position, document) of every match of the windows `live`.
 
     `keys` are the postings as term code and position in one number, sorted; a code's are
-    `keys[firsts[code] : lasts[code]]`.
+    `keys[firsts[code] : lasts[code]]`. The document is that of the rarest term's posting, and all words
+    are looked for inside it; with some slack the position may lie before it.
     """
     rarest, place = block.codes[live, 0], block.places[live, 0]
     n = lasts[rarest] - firsts[rarest]
     window = np.repeat(live, n)
     at = np.repeat(firsts[rarest] - np.cumsum(n) + n, n) + np.arange(n.sum())
-    start = (keys[at] & _PLACE).astype(np.int64) - np.repeat(place, n)
-    window, start = window[start >= 0], start[start >= 0]
+    posting = (keys[at] & _PLACE).astype(np.int64)
+    start = posting - np.repeat(place, n)
+    doc = np.searchsorted(doc_starts, posting, side="right") - 1
+    if slack == 0:
+        window, start, doc = window[start >= 0], start[start >= 0], doc[start >= 0]
     for step in range(1, block.codes.shape[1]):
         more = step < block.lengths[window]
         code, expected = block.codes[window, step], start + block.places[window, step]
-        low = (code.astype(np.uint64) << np.uint64(32)) + np.maximum(expected - slack, 0).astype(np.uint64)
-        high = (code.astype(np.uint64) << np.uint64(32)) + (expected + slack).astype(np.uint64)
+        begin = doc_starts[doc]
+        least, most = np.maximum(expected - slack, begin), np.minimum(expected + slack, begin + n_words[doc] - 1)
+        base = code.astype(np.uint64) << np.uint64(32)
+        low, high = base + least.astype(np.uint64), base + np.maximum(most, 0).astype(np.uint64)
         found = np.searchsorted(keys, low)
         match = keys[np.minimum(found, len(keys) - 1)]
-        kept = ~more | ((found < len(keys)) & (match >= low) & (match <= high))
-        window, start = window[kept], start[kept]
-    return window, start
+        kept = ~more | ((least <= most) & (found < len(keys)) & (match >= low) & (match <= high))
+        window, start, doc = window[kept], start[kept], doc[kept]
+    return window, start, doc
 
 
 def _shard_matches(block: _Block, slack: int, terms, counts, positions, n_words):
@@ -171,8 +180,7 @@ def _shard_matches(block: _Block, slack: int, terms, counts, positions, n_words)
     doc_starts = np.concatenate([[0], np.cumsum(n_words + 1)[:-1]])
     doc_of = lambda start: np.searchsorted(doc_starts, start, side="right") - 1
 
-    window, start = _walk(block, live, keys, first, last, 0)
-    doc = doc_of(start)
+    window, start, doc = _walk(block, live, keys, first, last, 0, doc_starts, n_words)
     change = np.zeros(int((n_words + 1).sum()) + 1, dtype=np.int64)
     np.add.at(change, start, 1)
     np.add.at(change, start + block.lengths[window], -1)
@@ -181,12 +189,8 @@ def _shard_matches(block: _Block, slack: int, terms, counts, positions, n_words)
     owner = doc_of(low)
     hits = list(zip(owner.tolist(), (low - doc_starts[owner]).tolist(), (high - doc_starts[owner]).tolist()))
     pairs = lambda d, w: np.unique(np.column_stack([d, block.items[w]]), axis=0).tolist()
-    near_window, near_start = _walk(block, live, keys, first, last, slack)
-    # Every word lies within the slack of a place inside the document that the rarest one is in.
-    near_doc = np.maximum(doc_of(near_start), 0)
-    begin = doc_starts[near_doc]
-    within = near_start + block.lengths[near_window] <= begin + n_words[near_doc] + slack
-    return hits, pairs(doc, window), pairs(near_doc[within], near_window[within])
+    near_window, _, near_doc = _walk(block, live, keys, first, last, slack, doc_starts, n_words)
+    return hits, pairs(doc, window), pairs(near_doc, near_window)
 
 
 def _matching(block: _Block, slack: int):

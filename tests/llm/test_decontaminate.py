@@ -74,6 +74,24 @@ def test_near_matches(spark):
     assert [found[i]["items"] for i in (1, 2, 3)] == [[], [], ["1"]]
 
 
+def test_near_matches_at_either_end_of_a_document(spark):
+    """A window's words with one that stands one or two words too early, at the start of documents that are
+    first in their shard and that are not."""
+    rng = random.Random(4)
+    words = prose(rng, 10).split(" ")
+    benchmark = spark.createDataFrame([(1, " ".join(words)), (2, "left right")], "item_id bigint, text string")
+    early = [" ".join([words[2], *words[:2], *words[3:]]), " ".join([words[1], words[0], *words[2:]])]
+    rows = [(0, early[0]), (1, prose(rng, 5)), (2, early[0]), (3, early[1]), (4, "right left"), (5, "left"), (6, "right")]
+    # Common elsewhere, so that the word that stands too early is the rarest.
+    for first in (words[2], words[1]):
+        others = [w for w in words if w != first]
+        rows_here = rows + [(10 + i, " ".join(rng.sample(others, 4))) for i in range(30)]
+        docs = documents(spark, rows_here).coalesce(1).sortWithinPartitions("doc_id")
+        found = {r.doc_id: r.near_items for r in find_passages(docs, benchmark).collect()}
+        assert {d: found[d] for d in range(7)} == {0: ["1"], 1: [], 2: ["1"], 3: ["1"], 4: ["2"], 5: [], 6: []}
+        assert all(found[d] == [] for d in range(10, 40))
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id bigint, text string")
     some = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
