@@ -68,46 +68,72 @@ def telling_words(notices: dict[str, str], idf: dict[str, float], threshold: flo
     return sorted(out)
 
 
-def _word_weights(files: DataFrame, vocabulary: list[str]) -> tuple[dict[str, float], float]:
-    """Inverse document frequencies over all files: of the notices' words, and of a word no file has."""
-    held = F.array_intersect(_words(F.col("text")), F.array(*map(F.lit, vocabulary)))
-    rows = files.select(F.explode(F.concat(held, F.array(F.lit("")))).alias("word")).groupBy("word").count()
-    counts = dict(rows.collect())  # the vocabulary and a count of all files
-    n = counts.get("", 0)
-    return {w: math.log((1 + n) / (1 + counts.get(w, 0))) + 1 for w in vocabulary}, math.log(1 + n) + 1
+def _file_counts(files: DataFrame, repeated: DataFrame, terms: DataFrame) -> DataFrame:
+    """(word, df): how many files of `files` (path, text) have each of `terms` (word).
+
+    The rows of the paths in `repeated` are one file for each path.
+    """
+    each = F.explode(F.array_distinct(_words(F.col("text")))).alias("word")
+    held = files.join(repeated, "path", "left_anti").select(each).join(terms, "word", "left_semi")
+    again = files.join(repeated, "path", "left_semi").select("path", each).join(terms, "word", "left_semi")
+    return held.union(again.distinct().select("word")).groupBy("word").agg(F.count("*").alias("df"))
 
 
 def notices_found(files: DataFrame, notices: dict[str, str], threshold: float) -> DataFrame:
     """(path, licence, cosine): the best notice in each file of `files` (path, text) that has one.
 
-    Words that no notice has weigh as much as a word that no file has. Equal cosines go to the licence
-    that is first in order.
+    Every word weighs by how many of all files have it. Those that no notice has are counted only if they
+    stand in a sentence that reaches the threshold with them at 1, the least weight there is. Equal
+    cosines go to the licence that is first in order.
     """
     spark = files.sparkSession
-    idf, rare = _word_weights(files, sorted({w for t in notices.values() for w in words(t)}))
-    rows = []
-    for licence, text in notices.items():
-        tf = Counter(words(text))
-        length = math.sqrt(sum((n * idf[w]) ** 2 for w, n in tf.items()))
-        rows += [(licence, w, n * idf[w] * idf[w] / length) for w, n in tf.items()]
-    weights = spark.createDataFrame(rows, "licence string, word string, weight double")
-    known = spark.createDataFrame(list(idf.items()) or [("", 0.0)], "word string, idf double")
+    paths = files.groupBy("path").agg(F.count("*").alias("rows"))
+    n = paths.count()
+    repeated = written(paths.where("rows > 1").select("path"), "repeated")
+    vocabulary = sorted({w for t in notices.values() for w in words(t)})
+    terms = spark.createDataFrame([(w,) for w in vocabulary], "word string")
+    df = dict(_file_counts(files, repeated, terms).collect())  # of the notices' words
+    idf = {w: math.log((1 + n) / (1 + df.get(w, 0))) + 1 for w in vocabulary}
+    licences = sorted(notices)
+    share = {w: [0.0] * len(licences) for w in vocabulary}
+    for i, licence in enumerate(licences):
+        tf = Counter(words(notices[licence]))
+        length = math.sqrt(sum((k * idf[w]) ** 2 for w, k in tf.items()))
+        for w, k in tf.items():
+            share[w][i] = k * idf[w] * idf[w] / length
+    known = spark.createDataFrame(
+        [(w, idf[w], *share[w]) for w in vocabulary],
+        ", ".join(["word string", "idf double", *(f"w{i} double" for i in range(len(licences)))]),
+    )
     telling = "(?i)(?<![a-z])(" + "|".join(map(re.escape, telling_words(notices, idf, threshold))) + ")(?![a-z])"
     some = F.filter(sentences(F.col("text")), lambda s: s.rlike(telling))
-    lines = files.select("path", F.posexplode(some).alias("line", "sentence"))
+    # Rows that repeat a path have lines of their own.
+    rows = files.select("path", "text", F.monotonically_increasing_id().alias("row"))
+    lines = rows.select("path", "row", F.posexplode(some).alias("line", "sentence"))
     counted = (
-        lines.select("path", "line", F.explode(_words(F.col("sentence"))).alias("word"))
-        .groupBy("path", "line", "word").agg(F.count("*").alias("tf"))
+        lines.select("path", "row", "line", F.explode(_words(F.col("sentence"))).alias("word"))
+        .groupBy("path", "row", "line", "word").agg(F.count("*").alias("tf"))
     )
-    weighed = counted.join(F.broadcast(known), "word", "left").withColumn("idf", F.coalesce("idf", F.lit(rare)))
-    length = weighed.groupBy("path", "line").agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("length"))
-    dots = weighed.join(F.broadcast(weights), "word").groupBy("path", "line", "licence").agg(
-        F.sum(F.col("tf") * F.col("weight")).alias("dot")
-    )
-    scored = dots.join(length, ["path", "line"]).select(
-        "path", "licence", F.round(F.col("dot") / F.col("length"), 6).alias("cosine")
+    line, square = ["path", "row", "line"], F.pow(F.col("tf") * F.col("idf"), 2)
+    dots = [F.coalesce(F.sum(F.col("tf") * F.col(f"w{i}")), F.lit(0.0)) for i in range(len(licences))]
+    weighed = counted.join(F.broadcast(known), "word", "left").groupBy(*line).agg(
+        F.array(*dots).alias("dots"), F.coalesce(F.sum(square), F.lit(0.0)).alias("known"),
+        F.collect_list(F.when(F.col("idf").isNull(), F.struct("word", "tf"))).alias("others"),
+    )
+    least = F.sqrt(F.col("known") + F.aggregate("others", F.lit(0.0), lambda x, o: x + o["tf"] * o["tf"]))
+    likely = written(weighed.where(F.array_max("dots") / least >= threshold - 1e-6), "likely")
+    others = likely.select(*line, F.explode("others").alias("of")).select(*line, "of.word", "of.tf")
+    counts = written(_file_counts(files, repeated, others.select("word").distinct()), "word_counts")
+    weight = counts.select("word", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
+    more = others.join(weight, "word").groupBy(*line).agg(F.sum(square).alias("more"))
+    length = F.sqrt(F.col("known") + F.coalesce("more", F.lit(0.0)))
+    scored = likely.join(more, line, "left").select(
+        "path", length.alias("length"), F.posexplode("dots").alias("number", "dot")
     )
-    best = scored.where(F.col("cosine") >= threshold).groupBy("path").agg(
+    licence = F.get(F.array(*map(F.lit, licences)), F.col("number"))
+    cosine = F.round(F.col("dot") / F.col("length"), 6)
+    best = scored.select("path", licence.alias("licence"), cosine.alias("cosine"))
+    best = best.where(F.col("cosine") >= threshold).groupBy("path").agg(
         F.min(F.struct((-F.col("cosine")).alias("minus"), F.col("licence"))).alias("best")
     )
     return best.select("path", F.col("best.licence").alias("licence"), (-F.col("best.minus")).alias("cosine"))

@@ -66,6 +66,38 @@ def test_against_plain_python(spark):
     assert got["a/d/e/z.txt"][1] == "inherited" and got["q/r.txt"][1] == "none"
 
 
+def true_cosines(rows):
+    """{path: (licence, cosine)} with frequencies of every word over all files, in plain Python."""
+    files = {}
+    for path, text in rows:
+        files.setdefault(path, []).append(text)
+    n = len(files)
+    df = Counter(w for texts in files.values() for w in {w for t in texts for w in words(t)})
+    vector = lambda t: {w: c * (math.log((1 + n) / (1 + df[w])) + 1) for w, c in Counter(words(t)).items()}
+    length = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    out = {}
+    for path, text in rows:
+        for line in map(vector, text.replace(". ", ".\n").split("\n")):
+            for licence, other in ((k, vector(v)) for k, v in NOTICES.items()):
+                score = sum(x * other.get(w, 0) for w, x in line.items()) / (length(line) * length(other) or 1)
+                if score >= THRESHOLD:
+                    out[path] = min(out.get(path, (0, "")), (-round(score, 6), licence))
+    return out
+
+
+def test_all_words_weigh_by_their_frequency(spark):
+    """A notice with ordinary words more is found however many files there are, one with rare words is not."""
+    said, odd = "This code is released under the MIT License", "Released under the MIT License grmpf hrmpf zork blax quux dorf wimp"
+    for n in (40, 3000):
+        rows = [(f"s/{i}.txt", "the code is this") for i in range(n)] + [("s/code.c", said), ("s/odd.c", odd)]
+        rows += [("s/code.c", "code is again"), ("s/mit.txt", "mit license"), ("s/r.txt", "released license grmpf")]
+        docs = spark.createDataFrame(rows, "path string, text string").repartition(3)
+        found = {r.path: r for r in scan_licences(docs).where("origin = 'own'").collect()}
+        want = true_cosines(rows)
+        assert set(found) == set(want) and found["s/code.c"].licence == "MIT" and "s/odd.c" not in found
+        assert all(abs(found[p].cosine + c) < 2e-6 and found[p].licence == l for p, (c, l) in want.items())
+
+
 def test_telling_words_cover_every_notice():
     vocabulary = {w for t in NOTICES.values() for w in words(t)}
     idf = {w: 1 + len(w) % 3 for w in vocabulary}
