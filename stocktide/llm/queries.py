@@ -14,13 +14,18 @@ from stocktide.llm.chat_format import MESSAGE, loss_text, messages, parsed, rend
 from stocktide.llm.decontaminate import find_passages
 from stocktide.llm.license_scan import scan_licences, sentences
 from stocktide.llm.near_dedup import near_duplicates
+from stocktide.llm.negatives import hard_negatives
+from stocktide.llm.oracle import SQL
 from stocktide.llm.packing import pack
 from stocktide.llm.pii import KINDS, find_personal_data
+from stocktide.llm.ranking import ranked_search
 from stocktide.llm.tables import table
+from stocktide.llm.token_planes import token_round_trip
 from stocktide.llm.warc import archive_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -125,7 +130,27 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(spark, table(spark, sf_dir, "pages"), revisit_from=0)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row against the anchors; every seventh id's label is moved on by one first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=10, low=30, high=90)
+
+
+def op12_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_round_trip(spark, table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query"), "text")
+    found = ranked_search(table(spark, sf_dir, "documents"), items, k=50)
+    return found.withColumnRenamed("query", "item_id")
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_chat_format, op2_near_dedup, op3_license_scan, op4_packing, op5_nearest, op6_decontamination, op7_language_id, op8_pii, op9_quality, op10_warc)
-}
-SQL: dict[str, str] = {}
+    f.__name__: f
+    for f in (
+        op1_chat_format, op2_near_dedup, op3_license_scan, op4_packing, op5_nearest, op6_decontamination,
+        op7_language_id, op8_pii, op9_quality, op10_warc, op11_hard_negatives, op12_token_planes, op13_ranked_search,
+    )
+}
