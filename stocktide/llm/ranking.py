@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stocktide.llm.tables import written
-from stocktide.llm.text import alphanumeric, slices, word_hashes
+from stocktide.llm.text import alphanumeric, slices, trimmed, word_hashes
 
 SHARD_BYTES = 8 << 20
 SHARD_DOCS = 8_192
@@ -34,20 +34,23 @@ PASS_TERMS = 16_384
 #: than SHORT_LIST have no summary and are always read.
 BLOCK_DOCS = 64
 MOST_BLOCKS = 16
-SHORT_LIST = 64
+SHORT_LIST = 128
 SKETCH = 16
 #: From so many shards on some are searched before the others.
 LEAST_SHARDS = 16
 #: Rows and columns of the table of values from which summaries are made, at one time.
-SLAB_ROWS, SLAB_TERMS = 2_048, 4_096
+SLAB_ROWS, SLAB_TERMS = 2_048, 2_048
 #: A document's value for a term is below 1,000,000; a byte stands for as many.
 STEP = 3_922
-FORWARD_COLUMNS = (
-    "docs bigint, words bigint, doc_ids array<bigint>, lengths binary, terms binary, counts binary, ends binary"
+#: How tables of shards are written: readers and writers hold one row group in memory.
+WIDE_ROWS = {"compression": "zstd", "parquet.block.size": str(16 << 20)}
+SHARD_COLUMNS = (
+    "docs bigint, words bigint, doc_ids array<bigint>, lengths binary, terms binary, ends binary, docs_of binary, "
+    "counts binary"
 )
 INDEX_COLUMNS = (
     "pick bigint, doc_ids array<bigint>, docs binary, values binary, lists binary, block_ends binary, block_lists binary, "
-    "summary_blocks binary, summary_bytes binary, summary_ends binary"
+    "summary_steps binary, summary_bytes binary, summary_ends binary"
 )
 FOUND_COLUMNS = "query bigint, doc_id bigint, score bigint"
 _IDS = pa.list_(pa.int64())
@@ -62,24 +65,28 @@ def _names(columns: str) -> list[str]:
     return [c.split()[0] for c in columns.split(", ")]
 
 
-def _forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per shard: its documents, and the distinct terms of each with their numbers."""
-    names = _names(FORWARD_COLUMNS)
-    kinds = [pa.int64(), pa.int64(), _IDS] + [pa.binary()] * 4
+def _inverted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per shard: its documents, its distinct terms, and for each the documents that hold it and how often."""
+    names = _names(SHARD_COLUMNS)
+    kinds = [pa.int64(), pa.int64(), _IDS] + [pa.binary()] * 5
     for batch in batches:
         for low, high in _shards(batch.column(1)):
             hashes, begins = word_hashes(batch.column(1).slice(low, high - low), alphanumeric())
             lengths = np.diff(begins)
-            doc = np.repeat(np.arange(high - low), lengths)
-            order = np.lexsort((hashes, doc))
+            order = np.argsort(hashes, kind="stable")
             hashes = hashes[order]
-            first = np.ones(len(hashes), dtype=bool)
-            first[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
+            doc = np.repeat(np.arange(high - low, dtype=np.uint16), lengths)[order]
+            del order
+            new_term = np.ones(len(hashes), dtype=bool)
+            new_term[1:] = hashes[1:] != hashes[:-1]
+            first = new_term.copy()
+            first[1:] |= doc[1:] != doc[:-1]
             at = np.flatnonzero(first)
             counts = np.diff(np.append(at, len(hashes))).astype(np.uint32)
-            ends = np.cumsum(np.bincount(doc[at], minlength=high - low))
+            terms = hashes[new_term]
+            ends = np.append(np.flatnonzero(new_term[at])[1:], len(at)).astype(np.uint32) if len(at) else counts
             ids = batch.column(0).slice(low, high - low).to_pylist()
-            parts = (lengths, hashes[at], counts, ends)
+            parts = (lengths, terms, ends, doc[at], counts)
             row = [int((lengths > 0).sum()), int(lengths.sum()), ids, *(p.tobytes() for p in parts)]
             yield _packed([row], names, kinds)
 
@@ -98,14 +105,15 @@ def _query_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _held(vocabulary: np.ndarray):
-    """How many documents of each shard hold each term of `vocabulary`, which is sorted."""
+    """How many documents hold each term of `vocabulary`, which is sorted, as far as one task sees them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(vocabulary), dtype=np.int64)
         for batch in batches:
-            for packed in batch.column(0):
+            for packed, ends in zip(batch.column(0), batch.column(1)):
                 code, there = _codes(np.frombuffer(packed.as_py(), np.uint64), vocabulary)
-                total += np.bincount(code[there], minlength=len(vocabulary))
+                sizes = np.diff(np.frombuffer(ends.as_py(), np.uint32).astype(np.int64), prepend=0)
+                total[code[there]] += sizes[there]
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["code", "n"])
 
@@ -134,12 +142,11 @@ def _block_number(blocks: int) -> type:
     return np.uint16 if blocks <= 1 << 16 else np.uint32
 
 
-def _alike(sketch: np.ndarray, members: np.ndarray, blocks: int) -> np.ndarray:
-    """`members` of a list in an order in which documents that are alike stand together."""
-    # Centres stand at even steps of the list; the order of documents does not depend on their likeness.
-    centres = members[(np.arange(blocks) * len(members)) // blocks]
-    nearest = (sketch[members] @ sketch[centres].T).argmax(axis=1)
-    return members[np.argsort(nearest, kind="stable")]
+def _alike(sketch: np.ndarray, blocks: int) -> np.ndarray:
+    """An order of documents in which those that are alike stand together, by their sketches."""
+    # Centres stand at even steps; the order of documents before does not depend on their likeness.
+    centres = sketch[(np.arange(blocks) * len(sketch)) // blocks]
+    return np.argsort((sketch @ centres.T).argmax(axis=1).astype(np.uint8), kind="stable")
 
 
 def _blocking(vocabulary: np.ndarray, weights: np.ndarray, n_docs: int, n_words: int):
@@ -148,75 +155,74 @@ def _blocking(vocabulary: np.ndarray, weights: np.ndarray, n_docs: int, n_words:
     rng = np.random.default_rng(7)
     directions = rng.choice(np.array([-1, 1], dtype=np.float32), (max(len(vocabulary), 1), SKETCH))
 
-    def row(lengths, terms, counts, ends) -> list:
+    def row(lengths, terms, ends, docs_of, counts) -> list[bytes]:
         code, there = _codes(terms, vocabulary)
-        doc = np.repeat(np.arange(len(lengths)), np.diff(ends, prepend=0))[there]
-        code = code[there]
-        value = _values(counts[there], _slowdown(lengths, n_docs, n_words)[doc])
-        byte = (-(-value // STEP)).astype(np.uint8)
+        held, begins = np.flatnonzero(there), np.concatenate([[0], ends[:-1]]).astype(np.int64)
+        sizes = ends[held].astype(np.int64) - begins[held]
+        lasts = np.cumsum(sizes)
+        taken = np.repeat(begins[held] - lasts + sizes, sizes) + np.arange(sizes.sum())
+        # Postings ordered by term, those of a term by document.
+        code, doc = np.repeat(code[held], sizes), docs_of[taken].astype(np.int64)
+        value = _values(counts[taken], _slowdown(lengths, n_docs, n_words)[doc])
         weighed = (value * weights[code]).astype(np.float32)
         sketch = np.zeros((len(lengths), SKETCH), dtype=np.float32)
-        for s in range(SKETCH):
-            sketch[:, s] = np.bincount(doc, weighed * directions[code, s], minlength=len(lengths))
+        for i in range(SKETCH):
+            sketch[:, i] = np.bincount(doc, weighed * directions[code, i], minlength=len(lengths))
         sketch /= np.maximum(np.linalg.norm(sketch, axis=1, keepdims=True), 1)
 
-        by_term = np.argsort(code, kind="stable")
         sizes = np.bincount(code, minlength=len(vocabulary))
         lists = np.cumsum(sizes)
-        order, block_ends, block_lists = [], [], []
-        for term in np.flatnonzero(sizes):
+        place = np.arange(len(doc))
+        starts, block_ends, block_lists = [], [], []
+        for term in np.flatnonzero(sizes >= SHORT_LIST):
             begin, n = int(lists[term] - sizes[term]), int(sizes[term])
-            members = doc[by_term[begin : begin + n]]
-            if n >= SHORT_LIST:
-                blocks = min(MOST_BLOCKS, -(-n // BLOCK_DOCS))
-                members = _alike(sketch, members, blocks)
-                block_ends.append(begin + (np.arange(1, blocks + 1) * n) // blocks)
-                block_lists += [term] * blocks
-            order.append(members)
-        members = np.concatenate(order) if order else np.zeros(0, dtype=np.int64)
-        block_ends = np.concatenate(block_ends) if block_ends else np.zeros(0, dtype=np.int64)
-        block_lists = np.array(block_lists, dtype=np.int64)
-        # The value of a posting where its document now stands.
-        keys = doc * len(vocabulary) + code
-        of_list = np.repeat(np.arange(len(vocabulary)), sizes)
-        placed = value[np.searchsorted(keys, members * len(vocabulary) + of_list)] if len(keys) else value
-        summary = summaries(doc, code, byte, members, of_list, block_ends, block_lists, len(lengths))
-        parts = (members.astype(np.uint32), placed.astype(np.uint32), lists, block_ends, block_lists, *summary)
+            blocks = min(MOST_BLOCKS, -(-n // BLOCK_DOCS))
+            place[begin : begin + n] = begin + _alike(sketch[doc[begin : begin + n]], blocks)
+            bounds = begin + (np.arange(blocks + 1) * n) // blocks
+            starts.append(bounds[:-1])
+            block_ends.append(bounds[1:])
+            block_lists.append(np.full(blocks, term))
+        none = [np.zeros(0, dtype=np.int64)]
+        starts, block_ends, block_lists = (np.concatenate(x or none) for x in (starts, block_ends, block_lists))
+        members = doc[place]
+        summary = summaries(doc, code, value, members, starts, block_ends, len(lengths))
+        parts = (members.astype(np.uint16), value[place].astype(np.uint32), lists, block_ends, block_lists, *summary)
         return [p.tobytes() for p in parts]
 
-    def summaries(doc, code, byte, members, of_list, block_ends, block_lists, n):
-        """(block, byte) entries ordered by term, and where each term's end."""
-        blocks, terms, bytes_ = [], [], []
-        starts = np.zeros(len(block_ends), dtype=np.int64)
-        if len(block_ends):
-            sizes = np.bincount(of_list, minlength=len(vocabulary))
-            begins = np.cumsum(sizes) - sizes
-            same = np.concatenate([[False], block_lists[1:] == block_lists[:-1]])
-            starts = np.where(same, np.concatenate([[0], block_ends[:-1]]), begins[block_lists])
+    def summaries(doc, code, value, members, starts, block_ends, n_shard):
+        """(block, byte) entries ordered by term, and where each term's end. A block's number is stored as the step
+        from the term's entry before."""
+        number = _block_number(len(starts))
+        steps, bytes_, ends = [np.zeros(0, number)], [np.zeros(0, np.uint8)], []
         for low in range(0, len(vocabulary), SLAB_TERMS):
             width = min(SLAB_TERMS, len(vocabulary) - low)
-            mine = (code >= low) & (code < low + width)
-            dense = np.zeros((n, width), dtype=np.uint8)
-            dense[doc[mine], code[mine] - low] = byte[mine]
-            for b in range(len(block_ends)):
-                rows = members[starts[b] : block_ends[b]]
-                most = np.zeros(width, dtype=np.uint8)
-                for at in range(0, len(rows), SLAB_ROWS):
-                    np.maximum(most, dense[rows[at : at + SLAB_ROWS]].max(axis=0), out=most)
-                held = np.flatnonzero(most)
-                blocks.append(np.full(len(held), b, dtype=np.uint32))
-                terms.append(held + low)
-                bytes_.append(most[held])
-        if not blocks:
-            return np.zeros(0, np.uint16), np.zeros(0, np.uint8), np.zeros(len(vocabulary), np.int64)
-        number = _block_number(len(block_ends))
-        term = np.concatenate(terms)
-        order = np.argsort(term.astype(np.uint32), kind="stable")
-        ends = np.cumsum(np.bincount(term, minlength=len(vocabulary)))
-        return np.concatenate(blocks)[order].astype(number), np.concatenate(bytes_)[order], ends
+            part = slice(*np.searchsorted(code, [low, low + width]))
+            dense = np.zeros((n_shard, width), dtype=np.uint8)
+            dense[doc[part], code[part] - low] = -(-value[part] // STEP)
+            blocks, terms, most = [np.zeros(0, number)], [np.zeros(0, np.uint16)], [np.zeros(0, np.uint8)]
+            for b, (start, end) in enumerate(zip(starts, block_ends)):
+                largest = np.zeros(width, dtype=np.uint8)
+                for at in range(start, end, SLAB_ROWS):
+                    np.maximum(largest, dense[members[at : min(at + SLAB_ROWS, end)]].max(axis=0), out=largest)
+                held = np.flatnonzero(largest)
+                blocks.append(np.full(len(held), b, dtype=number))
+                terms.append(held.astype(np.uint16))
+                most.append(largest[held])
+            term = np.concatenate(terms)
+            order = np.argsort(term, kind="stable")
+            sizes = np.bincount(term, minlength=width)
+            block = np.concatenate(blocks)[order]
+            step = np.diff(block, prepend=block[:1])
+            firsts = (np.cumsum(sizes) - sizes)[sizes > 0]
+            step[firsts] = block[firsts]
+            steps.append(step)
+            bytes_.append(np.concatenate(most)[order])
+            ends.append(sizes)
+        ends = np.cumsum(np.concatenate(ends or [np.zeros(0, np.int64)]))
+        return np.concatenate(steps), np.concatenate(bytes_), ends
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = (np.int64, np.uint64, np.uint32, np.int64)
+        types = (np.int64, np.uint64, np.uint32, np.uint16, np.uint32)
         for batch in batches:
             for ids, *cells in zip(*batch.columns):
                 arrays = [np.frombuffer(c.as_py(), t) for c, t in zip(cells, types)]
@@ -242,8 +248,8 @@ class _Shard:
 
     def __init__(self, ids: pa.Array, cells: list[bytes]):
         number = _block_number(len(cells[3]) // 8)
-        types = (np.uint32, np.uint32, np.int64, np.int64, np.int64, number, np.uint8, np.int64)
-        (self.docs, self.values, self.lists, self.block_ends, self.block_lists, self.summary_blocks,
+        types = (np.uint16, np.uint32, np.int64, np.int64, np.int64, number, np.uint8, np.int64)
+        (self.docs, self.values, self.lists, self.block_ends, self.block_lists, self.summary_steps,
          self.summary_bytes, self.summary_ends) = (np.frombuffer(c, t) for c, t in zip(cells, types))
         self.ids = ids
         self.has_id = ids.is_valid().to_numpy(zero_copy_only=False)
@@ -262,7 +268,8 @@ class _Shard:
         most, out = np.zeros(len(self.block_ends), dtype=np.int64), []
         for code in codes[::-1]:
             part = slice(int(self.summary_ends[code - 1]) if code else 0, int(self.summary_ends[code]))
-            most[self.summary_blocks[part]] += self.summary_bytes[part] * (weights[code] * STEP)
+            blocks = np.cumsum(self.summary_steps[part], dtype=np.int64)
+            most[blocks] += self.summary_bytes[part] * (weights[code] * STEP)
             out.append(most[self.first_block[code] : self.last_block[code]].copy())
         return out[::-1]
 
@@ -363,31 +370,33 @@ def ranked_search(docs: DataFrame, queries: DataFrame, k: int = 50) -> DataFrame
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    forward = written(texts.mapInArrow(_forward, FORWARD_COLUMNS), "shards")
-    totals = forward.agg(F.sum("docs").alias("docs"), F.sum("words").alias("words")).first()
+    shards = written(texts.mapInArrow(trimmed(_inverted), SHARD_COLUMNS), "shards", **WIDE_ROWS)
+    totals = shards.agg(F.sum("docs").alias("docs"), F.sum("words").alias("words")).first()
     asked = queries.select(F.col("query").cast("bigint").alias("query"), F.col("text").cast("string").alias("text"))
     each = asked.mapInArrow(_query_terms, "query bigint, terms array<bigint>").select("query", F.explode("terms").alias("term"))
     terms = written(each.distinct().groupBy("query").agg(F.collect_list("term").alias("terms")), "query_terms")
     found = spark.createDataFrame([], FOUND_COLUMNS + ", rank int")
     for rows in _passes(terms) if totals.docs else ():
-        found = found.unionByName(_one_pass(forward, rows, totals.docs, totals.words, k))
+        found = found.unionByName(_one_pass(shards, rows, totals.docs, totals.words, k))
     return found.select("query", "rank", "doc_id", "score")
 
 
-def _one_pass(forward: DataFrame, rows: list, n_docs: int, n_words: int, k: int) -> DataFrame:
+def _one_pass(inverted: DataFrame, rows: list, n_docs: int, n_words: int, k: int) -> DataFrame:
     """The best documents of the queries `rows`, of which there are boundedly many."""
     term_arrays = [np.sort(np.array(r.terms, dtype=np.int64).view(np.uint64)) for r in rows]
     vocabulary = np.unique(np.concatenate(term_arrays))
-    held = forward.select("terms").mapInArrow(_held(vocabulary), "code bigint, n bigint")
+    held = inverted.select("terms", "ends").mapInArrow(_held(vocabulary), "code bigint, n bigint")
     df = np.zeros(len(vocabulary), dtype=np.int64)
     for code, n in held.groupBy("code").agg(F.sum("n")).collect():  # one row per term
         df[code] = n
     weights = np.array([math.floor(1000 * math.log((2 * n_docs + 2) / (2 * int(n) + 1))) for n in df], dtype=np.int64)
-    columns = _names(FORWARD_COLUMNS)[2:]
-    blocked = forward.select(columns).mapInArrow(_blocking(vocabulary, weights, n_docs, n_words), INDEX_COLUMNS)
-    index = written(blocked, "blocks")
+    columns = _names(SHARD_COLUMNS)[2:]
+    blocked = inverted.select(columns).mapInArrow(
+        trimmed(_blocking(vocabulary, weights, n_docs, n_words)), INDEX_COLUMNS
+    )
+    index = written(blocked, "blocks", **WIDE_ROWS)
     search = lambda shards, queries: _best_rows(
-        shards.drop("pick").mapInArrow(_searching(queries), FOUND_COLUMNS), k
+        shards.drop("pick").mapInArrow(trimmed(_searching(queries)), FOUND_COLUMNS), k
     )
     codes = [np.searchsorted(vocabulary, t) for t in term_arrays]
     numbers = [r["query"] for r in rows]

@@ -13,12 +13,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(frame: DataFrame, name: str) -> DataFrame:
+def written(frame: DataFrame, name: str, **options: str) -> DataFrame:
     """The frame written once to the shared folder and read again: later uses agree on its rows and
-    survive the loss of any executor."""
+    survive the loss of any executor. `options` are those of the Parquet writer."""
     spark = frame.sparkSession
     folder = new_folder(spark, name)
-    frame.write.parquet(folder)
+    frame.write.parquet(folder, **options)
     return spark.read.schema(frame.schema).parquet(folder)
 
 

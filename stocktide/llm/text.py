@@ -6,7 +6,8 @@ not depend on how long one text is beyond the text itself and eight bytes for ea
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -136,3 +137,21 @@ def slices(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
         end = min(max(end, start + 1), len(column))
         yield start, end
         start = end
+
+
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def trimmed(task: Task) -> Task:
+    """`task`, after which its worker gives back the memory it no longer uses: workers outlive their tasks, and
+    those that wait would hold what the largest of them took."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # not the GNU C library
+            pass
+
+    return run

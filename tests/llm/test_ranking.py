@@ -73,12 +73,12 @@ def test_blocks_are_skipped_and_bounds_hold(spark):
     texts = [prose(rng, 40, 400) for _ in range(3000)]
     query = texts[17].split()[:10]
     batch = pa.record_batch([pa.array(range(3000)), pa.array(texts)], names=["doc_id", "text"])
-    forward = list(ranking._forward(iter([batch])))
-    assert len(forward) == 1
-    vocabulary = np.unique(np.concatenate([np.frombuffer(forward[0]["terms"][0].as_py(), np.uint64)]))
+    inverted = list(ranking._inverted(iter([batch])))
+    assert len(inverted) == 1
+    vocabulary = np.unique(np.concatenate([np.frombuffer(inverted[0]["terms"][0].as_py(), np.uint64)]))
     weights = np.full(len(vocabulary), 1000)
-    columns = ranking._names(ranking.FORWARD_COLUMNS)[2:]
-    blocked = next(ranking._blocking(vocabulary, weights, 3000, 120_000)(iter([forward[0].select(columns)])))
+    columns = ranking._names(ranking.SHARD_COLUMNS)[2:]
+    blocked = next(ranking._blocking(vocabulary, weights, 3000, 120_000)(iter([inverted[0].select(columns)])))
     cells = [blocked[n][0].as_py() for n in ranking._names(ranking.INDEX_COLUMNS)[2:]]
     shard = ranking._Shard(blocked["doc_ids"].values, cells)
     asked = next(ranking._query_terms(iter([pa.record_batch([[1], [" ".join(query)]], names=["query", "text"])])))
