@@ -18,7 +18,7 @@ def written(frame: DataFrame, name: str, **options: str) -> DataFrame:
     survive the loss of any executor. `options` are those of the Parquet writer."""
     spark = frame.sparkSession
     folder = new_folder(spark, name)
-    frame.write.parquet(folder, **options)
+    frame.write.options(**options).parquet(folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
 
