@@ -7,6 +7,8 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,7 +33,21 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a query go when it ends, not when the driver happens to collect its garbage.
+    For queries whose result is written and whose frames are not run again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def fixed(frame: DataFrame) -> DataFrame:
     """The frame computed once and kept in the shared folder, so that two uses of it agree."""
     shared_dir(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    with shuffles_dropped(frame.sparkSession):
+        return frame.checkpoint(eager=True)
