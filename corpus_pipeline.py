@@ -13,7 +13,7 @@ from stocktide.llm.near_dedup import near_duplicates
 from stocktide.llm.packing import pack
 from stocktide.llm.pii import sanitise
 from stocktide.llm.queries import TOKENIZER, quality_model
-from stocktide.llm.tables import row_keyed, table, written
+from stocktide.llm.tables import row_keyed, scratch, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -32,21 +32,25 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     copies and all stay.
     """
     rows = row_keyed(docs)
-    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), shingle_words=5, percent=80)
-    worded = found.where("n_shingles > 0").select(F.col("doc_id").alias("_row"), "component_id")
-    worded = written(worded.join(rows.select("_row", F.col("doc_id").alias("_id")), "_row"), "found")
-    rank = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")
-    first = worded.groupBy("component_id").agg(F.min(rank).alias("of")).select(F.col("of._row").alias("_row"))
-    # Written, so that Spark knows how small it is before it decides to shuffle texts.
-    dropped = written(worded.select("_row").join(first, "_row", "left_anti"), "dropped")
+    with scratch(spark) as used:
+        found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), shingle_words=5, percent=80)
+        worded = found.where("n_shingles > 0").select(F.col("doc_id").alias("_row"), "component_id")
+        worded = written(worded.join(rows.select("_row", F.col("doc_id").alias("_id")), "_row"), "found")
+        rank = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")
+        first = worded.groupBy("component_id").agg(F.min(rank).alias("of")).select(F.col("of._row").alias("_row"))
+        # Written, so that Spark knows how small it is before it decides to shuffle texts.
+        dropped = used.keep(written(worded.select("_row").join(first, "_row", "left_anti"), "dropped"))
     return rows.join(dropped, "_row", "left_anti").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold no passage of `benchmark`, whatever other rows of their id hold."""
     rows = row_keyed(docs)
-    found = find_passages(rows.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    held = written(found.where("n_hit > 0").select(F.col("doc_id").alias("_row")), "contaminated")
+    with scratch(spark) as used:
+        texts, items = rows.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")
+        # Only exact passages count, so that proximity is not looked for.
+        found = find_passages(texts, items, slack=-1).where("n_hit > 0")
+        held = used.keep(written(found.select(F.col("doc_id").alias("_row")), "contaminated"))
     return rows.join(held, "_row", "left_anti").select(docs.columns)
 
 
