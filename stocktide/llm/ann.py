@@ -103,8 +103,12 @@ def grow(sample: np.ndarray, rows: int, trees: int = TREES, seed: int = 1) -> Fo
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
+    """Vectors, each divided by the power of two that brings its largest component near one. That changes no
+    cosine, not even in its last bit, and keeps squares in the range of doubles."""
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.astype(np.float64).reshape(len(column), -1)
+    vectors = flat.astype(np.float64).reshape(len(column), -1 if len(column) else 1)
+    _, power = np.frexp(np.abs(vectors).max(axis=1, initial=0))
+    return np.ldexp(vectors, -power[:, None])
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -219,7 +223,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, share: float = S
     )
     n = usual["count"] if usual else 0
     lowest = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector")
-    sample = np.array([r.vector for r in lowest.collect()], dtype=float).reshape(-1, max(width, 1))
+    sample = _matrix(lowest.toArrow().column("vector").combine_chunks()).reshape(-1, max(width, 1))
     forest = grow(_unit(sample), n)
     counted = entries.select("vector").mapInArrow(_sizing(forest), "tree int, leaf bigint, n bigint")
     leaf_sizes = np.zeros((TREES, 2**forest.depth), dtype=np.int64)

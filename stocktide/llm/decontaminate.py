@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocktide.llm.tables import written
-from stocktide.llm.text import alphanumeric, slices, word_hashes
+from stocktide.llm.text import alphanumeric, slices, trimmed, word_hashes
 
 WINDOW = 10
 SLACK = 3
@@ -59,9 +59,11 @@ def _indexing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def build_index(docs: DataFrame) -> DataFrame:
     """Shards of the postings of `docs` (doc_id, text), written to the shared folder."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))
-    index = written(texts.mapInArrow(_indexing, INDEX_COLUMNS), "postings")
-    # A row's place in the written files names its shard, in every pass.
-    at = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    # Shards are wide rows; readers and writers hold one row group in memory.
+    options = {"compression": "zstd", "parquet.block.size": str(16 << 20)}
+    index = written(texts.mapInArrow(trimmed(_indexing), INDEX_COLUMNS), "postings", **options)
+    # A row's place in the written files names its shard, in every pass, however the files are split.
+    at = F.struct("_metadata.file_path", "_metadata.row_index")
     return index.withColumn("shard", F.sha1(F.to_json(at)))
 
 
@@ -189,11 +191,16 @@ def _shard_matches(block: _Block, slack: int, terms, counts, positions, n_words)
     owner = doc_of(low)
     hits = list(zip(owner.tolist(), (low - doc_starts[owner]).tolist(), (high - doc_starts[owner]).tolist()))
     pairs = lambda d, w: np.unique(np.column_stack([d, block.items[w]]), axis=0).tolist()
-    near_window, _, near_doc = _walk(block, live, keys, first, last, slack, doc_starts, n_words)
-    return hits, pairs(doc, window), pairs(near_doc, near_window)
+    near = []
+    if slack >= 0:
+        near_window, _, near_doc = _walk(block, live, keys, first, last, slack, doc_starts, n_words)
+        near = pairs(near_doc, near_window)
+    return hits, pairs(doc, window), near
 
 
 def _matching(block: _Block, slack: int):
+    """Matches of every shard. With a slack below zero no proximity matches are looked for."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(i) for i in range(6)]
@@ -247,7 +254,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     that has fewer; `hits` are the word ranges (end excluded) covered by occurrences of windows, `n_hit`
     their words, `items` the distinct ids of the items whose windows occur, as sorted strings.
     `near_items` also has items of which all words of a window lie within `slack` words of their places around
-    the rarest.
+    the rarest; with a `slack` below zero they are not looked for and the lists are empty.
 
     A null or wordless text has no words; such an item has no windows. Rows that repeat an id are
     documents of their own; items that repeat an id count once. A null item_id is named `null`. An empty
@@ -270,11 +277,11 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
         mine = items.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(n_blocks)) == number).distinct()
         rows = mine.collect()  # about BLOCK_WORDS words
         vocabulary = np.unique(np.array([w for r in rows for w in r.words], dtype=np.int64).view(np.uint64))
-        counted = index.select("terms", "counts").mapInArrow(_counting(vocabulary), "term bigint, n bigint")
+        counted = index.select("terms", "counts").mapInArrow(trimmed(_counting(vocabulary)), "term bigint, n bigint")
         counts = dict(counted.groupBy("term").agg(F.sum("n")).collect()) if rows else {}
         block = _block(rows, counts, window)
         columns = ["shard", *(c.split()[0] for c in INDEX_COLUMNS.split(", "))]
-        found.append(index.select(columns).mapInArrow(_matching(block, slack), MATCH_COLUMNS))
+        found.append(index.select(columns).mapInArrow(trimmed(_matching(block, slack)), MATCH_COLUMNS))
     merged = _merged(found)
     covered = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, h: n + h["end"] - h["start"])
     return merged.select(

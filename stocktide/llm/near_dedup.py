@@ -32,8 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocktide.llm.graph import components
-from stocktide.llm.tables import written
-from stocktide.llm.text import mix, not_space, shingle_hashes, slices, word_hashes
+from stocktide.llm.tables import scratch, written
+from stocktide.llm.text import mix, not_space, shingle_hashes, slices, trimmed, word_hashes
 
 SKETCH = 64
 KEYS = 12
@@ -118,7 +118,7 @@ class _Search:
         self.docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))
         self.size, self.percent = size, percent
         schema = "doc_id bigint, n_shingles bigint, node bigint, other bigint, sketch array<bigint>"
-        self.rows = written(self.docs.mapInArrow(_sketching(size), schema), "sketches")
+        self.rows = written(self.docs.mapInArrow(trimmed(_sketching(size)), schema), "sketches")
         nodes = self.rows.where("node is not null").groupBy("node").agg(
             F.min("doc_id").alias("first_id"),
             F.min("n_shingles").alias("n"),
@@ -138,24 +138,29 @@ class _Search:
         firsts = self.nodes.select("node", "first_id").join(nodes, "node", "left_semi")
         chosen = self.docs.join(firsts, F.expr("doc_id <=> first_id")).select("node", "text")
         schema = "node bigint, elements array<bigint>, signature array<bigint>"
-        sets = chosen.mapInArrow(_full_sets(self.size), schema)
+        sets = chosen.mapInArrow(trimmed(_full_sets(self.size)), schema)
         return written(sets, "sets")
 
     def confirmed(self, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
-        """The pairs (a, b) whose full sets are similar enough. `sets` are theirs, if at hand."""
+        """The pairs (a, b) whose full sets are similar enough. `sets` are theirs, if at hand. Sets that are no
+        larger than a sketch are compared as such."""
         both = lambda frame: frame.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         sketches = written(self.sketches_of(both(pairs)), "compared")
         one = sketches.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
         two = sketches.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
         union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, SKETCH)
         shared = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
-        likely = written(
+        whole = F.greatest("na", "nb") <= SKETCH
+        known = F.size(F.array_intersect("sa", "sb"))
+        alike = 100 * known >= self.percent * (F.col("na") + F.col("nb") - known)
+        compared = written(
             pairs.join(one, "a").join(two, "b")
             .where(_long_enough(self.percent, "na", "nb"))
-            .where(2 * shared >= F.size(union))
-            .select("a", "b", "na", "nb"),
+            .where(F.when(whole, alike).otherwise(2 * shared >= F.size(union)))
+            .select("a", "b", "na", "nb", whole.alias("sure")),
             "likely",
         )
+        sure, likely = compared.where("sure").select("a", "b"), compared.where("not sure").drop("sure")
         if sets is None:
             sets = self.sets_of(both(likely))
         first = sets.select(F.col("node").alias("a"), F.col("elements").alias("ea"))
@@ -163,7 +168,7 @@ class _Search:
         common = F.size(F.array_intersect("ea", "eb"))
         similar = 100 * common >= self.percent * (F.col("na") + F.col("nb") - common)
         found = likely.join(first, "a").join(second, "b").where(similar).select("a", "b")
-        return written(found.distinct(), "links")
+        return written(found.union(sure).distinct(), "links")
 
 
 def _pairs(left: str = "left_node", right: str = "right_node") -> list[Column]:
@@ -180,7 +185,8 @@ def _open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Entries (value, node, root) of the lists that hold more than one component."""
     rows = _labelled(lists, labels)
     several = rows.groupBy("value").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    return rows.join(several.select("value"), "value", "left_semi")
+    # Written, here and below, so that the join reads both sides as they are and a hot value can be split.
+    return rows.join(written(several.select("value"), "several"), "value", "left_semi")
 
 
 def _to_pivots(lists: DataFrame, weight: Column) -> DataFrame:
@@ -188,15 +194,20 @@ def _to_pivots(lists: DataFrame, weight: Column) -> DataFrame:
     pivot = lists.groupBy("value").agg(
         F.max(F.struct(weight.alias("weight"), (-F.col("node")).alias("negative"))).alias("pivot")
     )
-    pivots = pivot.select("value", (-F.col("pivot.negative")).alias("pivot"))
+    pivots = written(pivot.select("value", (-F.col("pivot.negative")).alias("pivot")), "pivots")
     pairs = lists.join(pivots, "value").where("node <> pivot")
     return pairs.select(*_pairs("node", "pivot")).distinct()
 
 
+def _shared_values(entries: DataFrame) -> DataFrame:
+    """(value, df): how many nodes have each value, of those that several have."""
+    return written(entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "often")
+
+
 def _ranked(entries: DataFrame) -> DataFrame:
     """`entries` (node, n, value) that some other node has as well, with their rank among the `n` values of
     the node: by how many nodes have a value, then by value. Values of one node only come before."""
-    often = entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    often = _shared_values(entries)
     ordered = entries.join(often, "value").groupBy("node", "n").agg(
         F.array_sort(F.collect_list(F.struct("df", "value"))).alias("shared")
     )
@@ -220,10 +231,11 @@ def _by_rarest(search: _Search, sets: DataFrame, labels: DataFrame) -> DataFrame
     ranked = _ranked(entries)
     p = search.percent
     most = F.col("n") - F.ceil(F.col("n") * p / 100)
-    prefixes = _labelled(ranked.where(F.col("rank") <= most), labels).select("value", "node", "n", "root", "rank")
+    prefixes = _labelled(ranked.where(F.col("rank") <= most), labels)
+    prefixes = written(prefixes.select("value", "node", "n", "root", "rank"), "ranked")
     held = prefixes.groupBy("value", "root").agg(F.count("*").alias("held"))
     largest = held.groupBy("value").agg(F.max(F.struct("held", "root")).alias("of"), F.count("*").alias("roots"))
-    several = largest.where("roots > 1").select("value", F.col("of.root").alias("main"))
+    several = written(largest.where("roots > 1").select("value", F.col("of.root").alias("main")), "several")
     lists = prefixes.join(several, "value").withColumn("inside", F.expr("root = main")).drop("main")
     lists = written(lists.join(sets.select("node", "signature"), "node"), "prefixes")
     # The largest component of a list never meets itself.
@@ -243,8 +255,7 @@ def _links(search: _Search) -> DataFrame:
         "node", F.explode(F.slice("sketch", 1, KEYS)).alias("value")
     )
     entries = written(sizes.distinct(), "entries")
-    often = entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    lists = written(entries.join(often, "value"), "lists")
+    lists = written(entries.join(_shared_values(entries), "value"), "lists")
     short = lists.where(F.col("df") <= SHORT_LIST).select("value", "node")
     long = lists.where(F.col("df") > SHORT_LIST).select("value", "node")
     degree = long.groupBy("node").agg(F.count("*").alias("degree"))
@@ -262,8 +273,7 @@ def _links(search: _Search) -> DataFrame:
     sketched = written(
         sketches.select("node", F.size("sketch").alias("n"), F.explode("sketch").alias("value")), "whole_sketches"
     )
-    often = sketched.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    weight = sketched.join(often, "value").groupBy("node").agg(F.sum("df").alias("weight"))
+    weight = sketched.join(_shared_values(sketched), "value").groupBy("node").agg(F.sum("df").alias("weight"))
     pairs = _to_pivots(open_lists.join(weight, "node"), F.col("weight"))
     pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
     tested = tested.union(pairs)
@@ -288,17 +298,19 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     component has none; then component_id is null and the row is kept. Other columns are ignored. An
     empty table gives no rows. Sets are compared by 63-bit hashes of their shingles.
     """
-    search = _Search(docs, shingle_words, percent)
-    labels = components(_links(search))
-    members = labels.join(search.nodes, "node").select("node", "root", "first_id")
-    least = members.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    linked = members.join(least, "root").select("node", F.col("component_id").alias("linked_id"))
-    ids = search.nodes.join(linked, "node", "left").select(
-        "node", F.coalesce("linked_id", "first_id").alias("component_id")
-    )
-    rows = search.rows.select("doc_id", "n_shingles", "node").join(ids, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
-    )
+    with scratch(docs.sparkSession) as used:
+        search = _Search(docs, shingle_words, percent)
+        labels = components(_links(search))
+        members = labels.join(search.nodes, "node").select("node", "root", "first_id")
+        least = members.groupBy("root").agg(F.min("first_id").alias("component_id"))
+        linked = members.join(least, "root").select("node", F.col("component_id").alias("linked_id"))
+        ids = search.nodes.join(linked, "node", "left").select(
+            "node", F.coalesce("linked_id", "first_id").alias("component_id")
+        )
+        rows = search.rows.select("doc_id", "n_shingles", "node").join(ids, "node", "left")
+        component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+        found = rows.select(
+            "doc_id", "n_shingles", component.alias("component_id"),
+            F.col("doc_id").eqNullSafe(component).alias("kept"),
+        )
+        return used.keep(written(found, "components"))

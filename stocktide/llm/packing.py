@@ -6,12 +6,11 @@ the one whose demands go best with what the sequence has left. A piece is cut wh
 that no sequence needs padding, and what a task has left at its end is cut to powers of two.
 
 Tokens of a text are looked up by its words. No token of the vocabulary spans a blank, so that the ids of
-a text are those of its words in a row, and every distinct word goes through the tokenizer once per task.
+a text are those of its words in a row, and every distinct word goes through the tokenizer once per worker.
 """
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
 
@@ -22,13 +21,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocktide.llm.text import slices
+from stocktide.llm.text import slices, trimmed
+from stocktide.llm.tokens import PieceIds
 
 SEQUENCE_TOKENS = 2048
 SEQUENCE_SEGMENTS = 64
 END_ID = 1
 OPEN_PIECES = 1024
-WORDS_KEPT = 1_000_000
 SLICE_BYTES = 4 << 20
 PIECE_COLUMNS = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
@@ -40,29 +39,7 @@ class WordTokens:
     """Token ids of texts, by way of their distinct words."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.lengths = np.zeros(0, dtype=np.int64)
-        self.pool = np.zeros(0, dtype=np.uint32)
-
-    def _learn(self, words: list[str]) -> None:
-        new = [w for w in words if w not in self.codes]
-        if not new:
-            return
-        if len(self.codes) + len(new) > WORDS_KEPT:
-            self._forget()
-            new = words
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        self.codes.update(zip(new, range(len(self.codes), len(self.codes) + len(new))))
-        self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, found), np.int64, len(found))])
-        flat = [i for ids in found for i in ids]
-        self.pool = np.concatenate([self.pool, np.array(flat, dtype=np.uint32)])
+        self.pieces = PieceIds.of_worker(path)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's begin; one entry more than texts.
@@ -75,19 +52,9 @@ class WordTokens:
         lower = pc.if_else(spelled, texts, pc.ascii_lower(texts))
         parted = pc.replace_substring_regex(lower, "([0-9a-zß-öø-ÿ])([.,!]+)", r"\1 \2")
         words = pc.split_pattern(pc.replace_substring(parted, "\n", " "), " ")
-        coded = words.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        self._learn(distinct)
-        code_of = np.fromiter((self.codes[w] for w in distinct), np.int64, len(distinct))
-        codes = code_of[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else code_of[:0]
-        begins = np.concatenate([[0], np.cumsum(self.lengths)])
-        lengths = self.lengths[codes]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        places = np.repeat(begins[codes] - (ends - lengths), lengths) + np.arange(total)
-        bounds = np.concatenate([[0], ends])
+        ids, begins = self.pieces(words.flatten().cast(pa.binary()))
         offsets = words.offsets.to_numpy() - words.offsets[0].as_py()
-        return self.pool[places], bounds[offsets]
+        return ids, begins[offsets]
 
 
 class _Piece:
@@ -101,9 +68,13 @@ class _Piece:
         """Loss-bearing tokens among the first `n`."""
         return max(0, n - max(0, self.first_loss - self.start))
 
+    def silent(self) -> int:
+        """Tokens from the front that bear no loss, also beyond the piece's end."""
+        return max(0, self.first_loss - self.start)
+
     def most(self, tokens: int, loss: int) -> int:
         """The most tokens from the front within both limits."""
-        return min(len(self.ids), tokens, max(0, self.first_loss - self.start) + loss)
+        return min(len(self.ids), tokens, self.silent() + loss)
 
     def cut(self, n: int) -> tuple[_Piece, _Piece | None]:
         make = lambda a, b: _Piece(self.doc, self.start + a, self.ids[a:b], self.first_loss, self.doc_tokens)
@@ -115,8 +86,12 @@ class Packer:
 
     def __init__(self, tokens: int, segments: int, loss: int):
         self.limits = np.array([tokens, segments, loss], dtype=float)
+        self._empty()
+
+    def _empty(self) -> None:
+        """`demands` of the pieces are tokens, a segment, tokens that bear loss; `silent` tokens come first."""
         self.pieces: list[_Piece] = []
-        self.demands = np.zeros((0, 3))
+        self.demands, self.silent = np.zeros((0, 3)), np.zeros(0)
 
     def add(self, pieces: list[_Piece]) -> Iterator[list[_Piece]]:
         self._hold(pieces)
@@ -132,14 +107,15 @@ class Packer:
             new = np.array([(len(p.ids), 1, p.loss(len(p.ids))) for p in pieces], dtype=float)
             self.pieces += pieces
             self.demands = np.concatenate([self.demands, new])
+            self.silent = np.concatenate([self.silent, [float(p.silent()) for p in pieces]])
 
     def _take(self, i: int) -> _Piece:
         piece = self.pieces[i]
         last = self.pieces.pop()
         if i < len(self.pieces):
             self.pieces[i] = last
-            self.demands[i] = self.demands[-1]
-        self.demands = self.demands[:-1]
+            self.demands[i], self.silent[i] = self.demands[-1], self.silent[-1]
+        self.demands, self.silent = self.demands[:-1], self.silent[:-1]
         return piece
 
     def _sequence(self) -> Iterator[list[_Piece]]:
@@ -152,12 +128,11 @@ class Packer:
                 match[~fits] = -1
                 chosen.append(self._take(int(match.argmax())))
             else:
-                room = (int(left[0]), int(left[2]))
-                most = [p.most(*room) for p in self.pieces]
-                i = int(np.argmax(most))
+                most = np.minimum(np.minimum(self.demands[:, 0], left[0]), self.silent + left[2])
+                i = int(most.argmax())
                 if not most[i]:
                     break
-                front, rest = self._take(i).cut(most[i])
+                front, rest = self._take(i).cut(int(most[i]))
                 chosen.append(front)
                 self._hold([rest] if rest else [])
             n = len(chosen[-1].ids)
@@ -173,7 +148,8 @@ class Packer:
                 yield kept
                 placed = sum(len(p.ids) for p in kept)
                 total -= placed
-                chosen, self.pieces, self.demands = self.pieces, [], np.zeros((0, 3))
+                chosen = self.pieces
+                self._empty()
 
     def _shortened(self, chosen: list[_Piece], total: int) -> list[_Piece]:
         """The sequence cut back to a power of two; what is cut off is held again."""
@@ -262,4 +238,4 @@ def pack(
         front.alias("prompt"),
     )
     schema = PIECE_COLUMNS + (", ids array<int>" if with_ids else "")
-    return rows.mapInArrow(_packing(tokenizer, tokens, segments, loss_tokens, with_ids), schema)
+    return rows.mapInArrow(trimmed(_packing(tokenizer, tokens, segments, loss_tokens, with_ids)), schema)

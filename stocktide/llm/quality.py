@@ -18,12 +18,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from stocktide.llm.text import slices, trimmed
+
 PIECE_BYTES = 1024
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
 #: Bounds of what is learnt from, for each of the two labels.
 LABELLED_TEXTS = 4_000
 DICTIONARY_PIECES = 8_000
+SLICE_BYTES = 4 << 20
 REJECTED_BELOW = 0.3
 
 
@@ -138,7 +141,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> QualityModel:
     rest = chosen.where(~for_dictionary).select("label", "text").mapInArrow(
         _comparing(good, bad, ["label", "difference"]), "label int, difference double"
     )
-    rows = rest.collect()  # fewer than the sample
+    # As many as the sample has texts; ids that are repeated in `docs` could give more.
+    rows = rest.orderBy(F.xxhash64("label", "difference")).limit(2 * LABELLED_TEXTS).collect()
     y = np.array([r.label for r in rows], dtype=float)
     x = np.array([r.difference for r in rows], dtype=float)
     counts = dict(known.groupBy("label").count().collect())
@@ -152,15 +156,17 @@ def learn(docs: DataFrame, labels: DataFrame) -> QualityModel:
 
 def _scoring(model: QualityModel, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = _differences(batch.column(text_at).to_pylist(), model.good, model.bad)
-            odds = np.clip(model.intercept + model.slope * found, -700, 700)
-            score = pa.array(1 / (1 + np.exp(-odds)))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, score], names=[*batch.schema.names, "score"]
-            )
-
-    return run
+        for whole in batches:
+            for low, high in slices(whole.column(text_at), SLICE_BYTES):
+                batch = whole.slice(low, high - low)
+                found = _differences(batch.column(text_at).to_pylist(), model.good, model.bad)
+                odds = np.clip(model.intercept + model.slope * found, -700, 700)
+                score = pa.array(1 / (1 + np.exp(-odds)))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, score], names=[*batch.schema.names, "score"]
+                )
+
+    return trimmed(run)
 
 
 def with_scores(docs: DataFrame, model: QualityModel) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
@@ -56,10 +57,14 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in a row and where each begins; a null is an empty text."""
-    column = column.fill_null("").cast(pa.large_string())
-    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)
-    offsets = offsets[column.offset : column.offset + len(column) + 1]
-    if not len(offsets) or offsets[-1] == offsets[0]:
+    if column.null_count:
+        column = column.fill_null("")
+    if not len(column) or column.buffers()[1] is None:
+        return np.zeros(0, dtype=np.uint8), np.zeros(len(column) + 1, dtype=np.int64)
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64 if wide else np.int32)
+    offsets = offsets[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    if offsets[-1] == offsets[0]:
         return np.zeros(0, dtype=np.uint8), np.zeros(len(column) + 1, dtype=np.int64)
     data = np.frombuffer(column.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
     return data, offsets - offsets[0]
@@ -130,7 +135,8 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
 
 def slices(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
     """Row ranges of a column of about `limit` bytes of text each; a longer text stands alone."""
-    _, offsets = utf8(column)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     start = 0
     while start < len(column):
         end = int(np.searchsorted(offsets, offsets[start] + limit, side="right")) - 1
