@@ -14,8 +14,8 @@ _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 _WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
     map(chr, range(0x2000, 0x200B))
 )
-# A fraction with digits beyond those that decimal(38,18) holds, or that an exponent may put there.
-_DEEP_FRACTION = r"\.[0-9]{18}[0-9]*[1-9]|[eE]-[0-9]{2}"
+# Digits of a count that bigint may hold.
+_DIGITS = 19
 
 
 def present(cell: Column, tokens=NULL_TOKENS) -> Column:
@@ -37,12 +37,21 @@ def parse_number(cell: Column) -> Column:
 def parse_count(cell: Column) -> Column:
     """Text with optional thousands commas -> bigint; text that is no whole number is null.
 
-    Decimal forms such as `12.0` and `1e16` are read exactly, as far as bigint reaches.
+    Decimal forms such as `12.0`, `1e16` and `1200e-02` are read exactly, digit by digit, with exponents and
+    fractions of any length, as far as bigint reaches.
     """
     plain = _plain(cell)
-    exact = plain.try_cast("decimal(38,18)")
-    whole = plain.rlike(_NUMBER) & ~plain.rlike(_DEEP_FRACTION) & (exact == F.floor(exact))
-    return F.when(plain.rlike(_INTEGER), plain.try_cast("bigint")).when(whole, exact.try_cast("bigint"))
+    part = lambda pattern: F.regexp_extract(plain, pattern, 1)
+    fraction = part(r"\.([0-9]*)")
+    digits = F.ltrim(F.concat(part(r"^[+-]?([0-9]*)"), fraction), F.lit("0"))
+    kept = F.rtrim(digits, F.lit("0"))
+    power = part(r"[eE]([+-]?[0-9]+)\z")
+    # Zeros behind the digits that are kept; an exponent beyond int's range leaves none that could be read.
+    zeros = F.length(digits) - F.length(kept) - F.length(fraction) + F.when(power == "", 0).otherwise(power.try_cast("int"))
+    fits = (zeros >= 0) & (F.length(kept) + zeros <= _DIGITS)
+    spelled = F.concat(part("^([+-]?)"), kept, F.repeat(F.lit("0"), zeros))
+    decimal = F.when(digits == "", F.lit(0)).when(fits, spelled.try_cast("bigint"))
+    return F.when(plain.rlike(_INTEGER), plain.try_cast("bigint")).when(plain.rlike(_NUMBER), decimal)
 
 
 def grouped_digits(count: Column) -> Column:

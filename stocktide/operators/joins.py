@@ -20,8 +20,13 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """
     kind = dict(facts.dtypes)[key]
     others = [F.col(f"`{c}`") for c in facts.columns if c != key]
-    if kind not in ("string", "bigint") or not others:
+    if not others:
         return facts.join(lookup, key, "left")
+    if kind not in ("string", "bigint"):
+        # No value of the type is free to stand for none, so that such rows go round the join.
+        joined = facts.where(F.col(key).isNotNull()).join(lookup, key, "left")
+        given = {name: F.lit(None).cast(t) for name, t in lookup.dtypes if name != key}
+        return joined.unionByName(facts.where(F.col(key).isNull()).withColumns(given).select(joined.columns))
     slice_ = F.pmod(F.xxhash64(*others), F.lit(NULL_SLICES))
     no_key = F.concat(F.lit("\uffff"), slice_.cast("string")) if kind == "string" else -1 - slice_
     left = facts.withColumn("_key", F.coalesce(F.col(key), no_key))

@@ -1,7 +1,7 @@
 """Landed files: `<landing>/dataset=D/year_key=Y/published=P/*.csv`.
 
 A publication is a folder of one or more CSV files and is never edited. A corrected publication of
-the same year lands in a folder with a later `published` value, and the latest one counts.
+the same year lands in a folder with a later `published` value, and the latest valid one counts.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from multiprocessing.pool import ThreadPool
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -82,6 +82,13 @@ def latest_publications(files: DataFrame) -> DataFrame:
     )
 
 
+def publications(files: DataFrame) -> DataFrame:
+    """Every publication: its folder, and how many files and bytes lie there."""
+    return files.groupBy("dataset", "year_key", "published", "folder").agg(
+        F.count("*").alias("n_files"), F.sum("length").alias("bytes")
+    )
+
+
 def dispatch(publications: DataFrame, **families) -> tuple[DataFrame, DataFrame]:
     """(publications with their shape family, those of an unknown dataset or year)."""
     family = family_of(F.col("dataset"), F.col("year_key"), **families)
@@ -125,7 +132,10 @@ def read_csv(
     A row with more or fewer cells than the header is not read; `row_counts` says how many there are.
     Line breaks inside quotes need `multi_line`, with which a file is read by one task.
     """
-    cells = _text_rows(spark, landing, folders, header, multi_line)
+    return _fitting(_text_rows(spark, landing, folders, header, multi_line), header)
+
+
+def _fitting(cells: DataFrame, header: list[str]) -> DataFrame:
     names = clean_headers(header)
     return cells.where(F.col(BAD_ROW).isNull()).select(
         *[present(cells[raw]).alias(name) for raw, name in zip(header, names)],
@@ -220,7 +230,7 @@ def read_publications(
         try:
             counted = row_counts(spark, landing, folders, list(header), multi_line).collect()
         except (PySparkException, Py4JJavaError) as error:
-            if "CSV header does not conform" not in str(error):
+            if not _misfit(error):
                 raise
             if len(rows) == 1:
                 return [], [_reject(rows[0], MISFIT, "files with different headers")]
@@ -238,3 +248,56 @@ def read_publications(
             folders = [row.folder for row in fine]
             scans.append((family, read_csv(spark, landing, folders, list(header), multi_line)))
     return scans, rejects
+
+
+def _misfit(error: Exception) -> bool:
+    """Whether a file's header is another than the one its folder is read with."""
+    return "CSV header does not conform" in str(error)
+
+
+def stage_publications(
+    spark: SparkSession,
+    landing: str,
+    found: list[Row],
+    staging: str,
+    allow_bad_rows: bool = False,
+    multi_line: bool = False,
+) -> tuple[list[tuple[Row, str, int]], list[tuple]]:
+    """([(publication, staged folder, rows)], rejects): each publication's fitting rows below `staging`.
+
+    Every file is read once, by one scan per family and distinct header. The scan observes how many rows do not
+    fit while the others are written, and rows are counted from what was written. Only if some
+    do not fit does another scan say whose they are. What is judged and how is said at `read_publications`.
+
+    `found` has one row per dataset and year.
+    """
+    layouts, rejects = _layouts(spark, found)
+
+    def stage(rows: list[Row], header: list[str], at: str):
+        folders, seen = [row.folder for row in rows], Observation()
+        cells = _text_rows(spark, landing, folders, header, multi_line).observe(seen, F.count(BAD_ROW).alias("n_bad"))
+        try:
+            staged = with_lineage(_fitting(cells, header)).drop("published")
+            staged.write.partitionBy("dataset", "year_key").parquet(at)
+        except (PySparkException, Py4JJavaError) as error:
+            if not _misfit(error):
+                raise
+            if len(rows) == 1:
+                return [], [_reject(rows[0], MISFIT, "files with different headers")]
+            alone = [stage([row], header, f"{at}-{i}") for i, row in enumerate(rows)]
+            return [x for fine, _ in alone for x in fine], [x for _, bad in alone for x in bad]
+        # No column is read, only how many rows each file has.
+        written = spark.read.schema("dataset string, year_key string").parquet(at).groupBy("dataset", "year_key").count()
+        counts = {(r.dataset, r.year_key): (r["count"], 0) for r in written.collect()}
+        fitting = {key: n for key, (n, _) in counts.items()}
+        if seen.get["n_bad"]:
+            counted = row_counts(spark, landing, folders, header, multi_line).collect()
+            counts = {(r.dataset, r.year_key): (r.n_rows, r.n_bad) for r in counted}
+        fine, bad = _judged(rows, counts, allow_bad_rows)
+        place = lambda r: f"{at}/dataset={r.dataset}/year_key={r.year_key}"
+        return [(row, place(row), fitting[row.dataset, row.year_key]) for row in fine], bad
+
+    with ThreadPool(max(1, len(layouts))) as pool:
+        work = [(rows, list(header), f"{staging}/{i}") for i, ((_, header), rows) in enumerate(layouts.items())]
+        done = pool.starmap(stage, work)
+    return [x for fine, _ in done for x in fine], rejects + [x for _, bad in done for x in bad]

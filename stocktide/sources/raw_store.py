@@ -1,21 +1,23 @@
 """Raw store: one Parquet table per shape family, partitioned by dataset and year.
 
-Cells stay as published. Loading a dataset's year again replaces that year and nothing else.
+Cells stay as published. Loading a dataset's year again replaces that year and nothing else. `ledger` beside the
+families says which publications were looked at and what became of them.
 """
 
 from __future__ import annotations
 
+import itertools
+import uuid
 from collections import defaultdict
-from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..fixed_values import LONG, LONG_EARLY, WIDE, WIDE_SPECIALTY
-from ..operators.reshape import union_all
 from ..schemas import LINEAGE_COLUMNS, PARTITIONS, RAW
 from . import landing as landed
+from . import ledger
 
 FAMILIES = (WIDE, LONG, LONG_EARLY, WIDE_SPECIALTY)
 
@@ -72,6 +74,22 @@ def families_present(spark: SparkSession, raw: str) -> list[str]:
     return [family for family in FAMILIES if family in found]
 
 
+def _publish(spark: SparkSession, staged: str, raw: str, row) -> None:
+    """Put a staged dataset-year in the place of the one before: the folder is moved, no row is written again."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(f"{raw}/{row.family}/dataset={row.dataset}/year_key={row.year_key}")
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(target.getParent())
+    store.delete(target, True)
+    if not store.rename(hadoop.Path(staged), target):
+        raise OSError(f"{staged} could not be moved to {target}")
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ingest(
     spark: SparkSession,
     landing: str,
@@ -81,27 +99,56 @@ def ingest(
     multi_line: bool = False,
     **families,
 ) -> DataFrame:
-    """Load the latest publication of each dataset's year, or of the `wanted` ones.
+    """Load the newest valid publication of each dataset's year, or of the `wanted` ones.
+
+    Publications are looked at from the newest on until one is valid, and entered in the ledger. One that
+    was judged before is not read again while its files are the same, nor is one that the store
+    already holds. Rows are written to a staging folder and moved once they are judged.
 
     Returns the publications that were left out, as rows of `landing.REJECTS` with the reason. Nothing is
     replaced by them, and they keep no other publication from being loaded.
     """
-    publications = landed.latest_publications(landed.list_files(spark, landing))
+    files = landed.list_files(spark, landing)
+    every, latest = landed.publications(files), landed.latest_publications(files)
     if wanted is not None:
-        publications = publications.join(wanted, ["dataset", "year_key"], "left_semi")
-    known, unknown = landed.dispatch(publications, **families)
-    found, rejects = landed.read_publications(spark, landing, known, allow_bad_rows, multi_line)
-    scans = defaultdict(list)
-    for family, rows in found:
-        scans[family].append(rows)
-
-    def write(item):
-        family, parts = item
-        write_raw(landed.with_lineage(union_all(parts)), raw, family)
-
-    if scans:
-        with ThreadPool(len(scans)) as pool:  # each family is a table of its own
-            pool.map(write, scans.items())
+        every, latest = (p.join(wanted, ["dataset", "year_key"], "left_semi") for p in (every, latest))
+    known, _ = landed.dispatch(every, **families)
+    _, unknown = landed.dispatch(latest, **families)
+    entries = ledger.read_ledger(spark, raw)
+    # As many rows as the landing folder has publications.
+    as_lies = lambda r: (r.folder, r.n_files, r.bytes)
+    judged = {as_lies(r): r for r in ledger.verdicts(entries, allow_bad_rows, multi_line).collect()}
+    held = {(r.dataset, r.year_key): as_lies(r) for r in ledger.loaded(entries).collect()}
+    queues = defaultdict(list)
+    for row in known.orderBy("dataset", "year_key", F.desc("published")).collect():
+        queues[row.dataset, row.year_key].append(row)
+    rejects, staging = [], f"{raw}/_staging/{uuid.uuid4().hex}"
+    for attempt in itertools.count():
+        for key, rows in list(queues.items()):
+            while rows and as_lies(rows[0]) in judged and judged[as_lies(rows[0])].reason is not None:
+                row = rows.pop(0)
+                before = judged[as_lies(row)]
+                rejects.append((*key, row.published, row.folder, before.reason, before.detail))
+            if not rows or as_lies(rows[0]) == held.get(key):
+                del queues[key]
+        if not queues:
+            break
+        newest = [rows.pop(0) for rows in queues.values()]
+        staged, bad = landed.stage_publications(
+            spark, landing, newest, f"{staging}/{attempt}", allow_bad_rows, multi_line
+        )
+        for row, folder, _ in staged:
+            _publish(spark, folder, raw, row)
+            del queues[row.dataset, row.year_key]
+        rejects += bad
+        found = {(r.dataset, r.year_key): r for r in newest}
+        verdict = {(r.dataset, r.year_key): (n, None, None) for r, _, n in staged}
+        verdict |= {(d, y): (None, reason, detail) for d, y, _, _, reason, detail in bad}
+        ledger.append(spark, raw, [
+            (*key, found[key].published, *as_lies(found[key]), allow_bad_rows, multi_line, *told)
+            for key, told in verdict.items()
+        ])
+    _remove(spark, staging)
     left_out = unknown.select(
         "dataset", "year_key", "published", "folder",
         F.lit(landed.UNKNOWN).alias("reason"),

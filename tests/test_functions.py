@@ -21,6 +21,16 @@ def test_counts(spark):
     assert one(spark, values, cells.parse_count) == expected
 
 
+def test_counts_with_exponents_and_long_fractions(spark):
+    zeros = "0" * 40
+    values = ["1200e-02", "1250e-2", "1e-5", "0e99999999999", "-12.5e1", "+.5E1", "5.e0", "00012.000",
+              f"12{zeros}e-40", f"1.{zeros}1", f"1.{zeros}", "9223372036854775807.0", "9223372036854775808.0",
+              "1e400", "1e99999999999", "-0.0", ".", "e5", "922337203685477580.7e1", "1,200e-2"]
+    expected = [12, None, None, 0, -125, 5, 5, 12, 12, None, 1, 2**63 - 1, None, None, None, 0, None, None,
+                2**63 - 1, 12]
+    assert one(spark, values, cells.parse_count) == expected
+
+
 def test_numbers(spark):
     values = ["1,234.5", "1e3", ".5", "5.", "1d", "nan", "", "+7", "1 2"]
     assert one(spark, values, cells.parse_number) == [1234.5, 1000.0, 0.5, 5.0, None, None, None, 7.0, None]

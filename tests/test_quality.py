@@ -167,6 +167,14 @@ def test_publish_gate_and_indicators(spark):
     }
 
 
+def test_lookup_join_of_other_types_keeps_rows_without_a_key(spark):
+    left = spark.sql("SELECT * FROM VALUES (DATE'2026-01-01', 1), (NULL, 2), (NULL, 3), (DATE'2027-01-01', 4) AS t(k, n)")
+    right = spark.sql("SELECT DATE'2026-01-01' AS k, 'x' AS v")
+    found = joins.lookup_join(left, right, "k")
+    assert found.columns == ["k", "n", "v"]
+    assert as_set(found, "n", "v") == {(1, "x"), (2, None), (3, None), (4, None)}
+
+
 def test_lookup_join_keeps_rows_without_a_key(spark):
     left = spark.createDataFrame([("a", 1), (None, 2), ("z", 3)], "k string, n int")
     right = spark.createDataFrame([("a", "hit")], "k string, v string")

@@ -10,7 +10,7 @@ from stocktide.fixed_values import LONG, WIDE
 from stocktide.plans import publish, queries
 from stocktide.plans.harmonise import unify_store
 from stocktide.plans.warehouse import rebuild
-from stocktide.sources import catalogue, documents, landing, raw_store
+from stocktide.sources import catalogue, documents, landing, ledger, raw_store
 from stocktide.streaming.ingest import ingest_arrivals
 
 BANDS = "0-6 Months,6-12 Months,12-18 Months,18 Months +"
@@ -283,3 +283,62 @@ def test_documents_come_back_as_written(spark, tmp_path):
     ]
     with pytest.raises(ValueError):
         documents.write_documents(made, str(tmp_path / "x"), "other")
+
+
+def store_of(spark, raw):
+    rows = raw_store.read_raw(spark, raw, WIDE)
+    return sorted(map(str, rows.collect()))
+
+
+def test_a_fresh_load_gives_what_loads_on_the_way_gave(spark, tmp_path):
+    at, stepwise, fresh = (str(tmp_path / name) for name in ("landing", "stepwise", "fresh"))
+    twice, bad = [*GOOD, "31/03/2026,Adult,Y,1,1,1,1,4"], [*GOOD, "29/01/2026,Adult,St John, Cork,1,2,3,4,10"]
+    land(at, "ipdc_hospital", "2026", "2026-07-01", WIDE_HEADER, GOOD)
+    land(at, "op_hospital", "2026", "2026-07-01", WIDE_HEADER, bad)
+    assert as_set(raw_store.ingest(spark, at, stepwise), "dataset", "reason") == {("op_hospital", landing.BAD_ROWS)}
+    land(at, "ipdc_hospital", "2026", "2026-08-01", WIDE_HEADER, twice)
+    land(at, "op_hospital", "2026", "2026-08-01", WIDE_HEADER, GOOD)
+    assert raw_store.ingest(spark, at, stepwise).count() == 0
+    land(at, "ipdc_hospital", "2026", "2026-09-01", WIDE_HEADER, [])
+    land(at, "ipdc_hospital", "2026", "2026-10-01", WIDE_HEADER, bad)
+    faults = {("2026-09-01", landing.EMPTY), ("2026-10-01", landing.BAD_ROWS)}
+    for raw in (stepwise, fresh):
+        assert as_set(raw_store.ingest(spark, at, raw), "published", "reason") == faults
+    assert store_of(spark, stepwise) == store_of(spark, fresh) and len(store_of(spark, fresh)) == 3
+    for raw in (stepwise, fresh):
+        valid = ledger.newest_valid(ledger.read_ledger(spark, raw))
+        assert as_set(valid, "dataset", "published", "n_rows") == {
+            ("ipdc_hospital", "2026-08-01", 2), ("op_hospital", "2026-08-01", 1),
+        }
+    # A publication that was refused is judged anew once another file has joined it, or if bad rows are allowed.
+    land(at, "ipdc_hospital", "2026", "2026-09-01", WIDE_HEADER, GOOD, "late.csv")
+    assert as_set(raw_store.ingest(spark, at, fresh), "published") == {("2026-10-01",)}
+    assert len(store_of(spark, fresh)) == 2
+    assert raw_store.ingest(spark, at, fresh, allow_bad_rows=True).count() == 0
+    assert as_set(ledger.loaded(ledger.read_ledger(spark, fresh)), "dataset", "published") >= {("ipdc_hospital", "2026-10-01")}
+
+
+def test_a_load_scans_each_file_once_and_a_second_load_none(spark, root, tmp_path):
+    """By the rows that CSV scans put out, as Spark's own metrics count them."""
+    raw, tracker = str(tmp_path / "raw"), spark._jsparkSession.sharedState().statusStore()
+    known = lambda: {e.executionId() for e in executions()}
+
+    def executions():
+        found = tracker.executionsList()
+        return [found.apply(i) for i in range(found.size())]
+
+    def text_scans(before):
+        plans = [e.physicalPlanDescription() for e in executions() if e.executionId() not in before]
+        return [p for p in plans if "Scan csv" in p]
+
+    before = known()
+    raw_store.ingest(spark, root, raw)
+    layouts = len(text_scans(before))
+    n_headers = len({json.dumps(landing.read_header(spark, r.folder)) for r in landing.publications(
+        landing.list_files(spark, root)).collect()})
+    assert 0 < layouts <= n_headers + 1
+    before, held = known(), as_set(raw_store.loaded_years(spark, raw), "family", "dataset", "year_key", "n_rows")
+    raw_store.ingest(spark, root, raw)
+    assert text_scans(before) == []
+    assert as_set(raw_store.loaded_years(spark, raw), "family", "dataset", "year_key", "n_rows") == held
+    assert not list((tmp_path / "raw").glob("_staging/*"))

@@ -8,7 +8,7 @@ from stocktide.fixed_values import LONG, WIDE
 from stocktide.functions.cells import grouped_digits, parse_count
 from stocktide.operators.clean import rename_known
 from stocktide.shared_dir import new_folder
-from stocktide.sources import catalogue, landing, raw_store, warehouse_store
+from stocktide.sources import catalogue, landing, ledger, raw_store, warehouse_store
 from stocktide.streaming.ingest import ingest_arrivals
 
 from . import stores, tables
@@ -259,6 +259,55 @@ def ingest_rejects(spark, sf_dir):
     return left_out.join(loaded, ["dataset", "year_key"]).select("dataset", "year_key", "reason", "n_rows")
 
 
+@query(
+    with_base(
+        f"""SELECT list_type || '_hospital' AS dataset, CAST(yr AS VARCHAR) AS year_key,
+    CASE WHEN yr = 2001 THEN '2002-02-15' ELSE '{tables.FIRST_PUBLICATION}' END AS published,
+    CAST(count(DISTINCT (day, adult_child, published_name)) * CASE WHEN yr = 2001 THEN 2 ELSE 1 END AS BIGINT)
+      AS n_rows,
+    CAST(count(DISTINCT (day, adult_child, published_name)) * CASE WHEN yr = 2001 THEN 2 ELSE 1 END AS BIGINT)
+      AS n_rows_fresh,
+    CAST(0 AS BIGINT) AS n_differ
+  FROM base WHERE yr >= 2000 GROUP BY list_type, yr"""
+    )
+)
+def fresh_load(spark, sf_dir):
+    """A landing folder loaded as publications arrive, and loaded afresh in the end: the same store.
+
+    Every wide year is published; 2001 again with each row twice; last come an empty correction of 2000 and
+    one of 2001 whose rows have a cell too many, which the publication before stands in for.
+    """
+    root = new_folder(spark, "fresh")
+    landed, stepwise, fresh = f"{root}/landing", f"{root}/stepwise", f"{root}/fresh"
+    wide = raw_store.read_raw(spark, stores.raw(spark, sf_dir), WIDE)
+
+    def load(into):
+        raw_store.ingest(spark, landed, into, years_of_family=tables.YEARS)
+
+    tables.write_publication(wide, landed)
+    load(stepwise)
+    later = wide.where("year_key = '2001'")
+    tables.write_publication(later.union(later), landed, "2002-02-15")
+    load(stepwise)
+    for dataset in catalogue.HOSPITAL_DATASETS:
+        for year, rows, options in (
+            ("2000", wide.where("false"), {}),
+            ("2001", later.withColumn("HospitalName", F.concat("HospitalName", F.lit(", A"))), {"quote": ""}),
+        ):
+            of_year = rows.where((F.col("dataset") == dataset) & (F.col("year_key") == year))
+            folder = f"{landed}/dataset={dataset}/year_key={year}/published=2002-03-15"
+            of_year.drop("dataset", "year_key").write.options(header=True, **options).csv(folder)
+    load(stepwise)
+    load(fresh)
+    keys = ["dataset", "year_key"]
+    one, other = (raw_store.read_raw(spark, raw, WIDE) for raw in (stepwise, fresh))
+    differ = one.exceptAll(other).union(other.exceptAll(one)).groupBy(keys).agg(F.count("*").alias("n_differ"))
+    counts = raw_store.loaded_years(spark, fresh).select(*keys, F.col("n_rows").alias("n_rows_fresh"))
+    chosen = ledger.newest_valid(ledger.read_ledger(spark, stepwise)).select(*keys, "published", "n_rows")
+    told = ledger.newest_valid(ledger.read_ledger(spark, fresh)).select(*keys, "published")
+    return chosen.join(told, [*keys, "published"]).join(counts, keys).join(differ, keys, "left").fillna(0, ["n_differ"])
+
+
 @query(
     """SELECT sha256(text) AS sha256, count(*) AS copies, min(doc_id) AS first_path FROM documents
   WHERE text IS NOT NULL GROUP BY ALL HAVING count(*) > 1"""
