@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
+    BUCKET_COLUMNS,
     SPECIALTY_GRANULARITIES,
     TOP_SPECIALTIES,
+    UNKNOWN_BUCKET,
 )
 from ..operators.star import Star, named
 from ..shared_dir import fixed
@@ -23,11 +25,14 @@ from ..operators.totals import (
     IDS,
     NAMES,
     Keys,
+    bucket_sums,
     bucket_totals,
     eligible,
     known_domain,
+    row_total,
     sums,
     unknown_bands,
+    with_bucket,
 )
 
 COMBINATION = ("list_type", "adult_child")
@@ -122,18 +127,20 @@ def latest_by_list_type(facts: DataFrame, adult_child: str = "Adult") -> DataFra
 def latest_totals(star: Star, adult_child: str = "Adult") -> DataFrame:
     """`latest_by_list_type` on a star schema.
 
-    The newest date has one row in its dimension; its id becomes a plain condition on the facts, which the
-    scan uses, and the date is put on the sums. A fact with a hospital id has a hospital, so none is joined.
+    The newest date and its id are scalar subqueries of the dimension: the id is a condition that Spark looks up
+    before it scans the facts, and nothing runs until the result does. A fact with a hospital id has a
+    hospital, so none is joined.
     """
-    newest = star.dim_date.where("archive_date is not null").orderBy(F.desc("archive_date")).first()
+    dated = star.dim_date.where("archive_date is not null")
+    newest = dated.agg(F.max_by("date_id", "archive_date")).scalar()
     counted = star.fact.where(
         F.col("hospital_id").isNotNull()
         & ~F.col("is_suppressed_bucket")
         & (F.col("adult_child") == adult_child)
-        & (F.col("date_id") == (newest.date_id if newest else None))
+        & (F.col("date_id") == newest)
     )
     sums_ = counted.groupBy("list_type").agg(F.sum("count").alias("total_waiting"))
-    date = F.lit(newest.archive_date if newest else None).cast("date")
+    date = dated.agg(F.max("archive_date")).scalar()
     return sums_.select("list_type", date.alias("archive_date"), "total_waiting")
 
 
@@ -217,14 +224,34 @@ def at_dates(facts: DataFrame, dates, keys: Keys = NAMES) -> DataFrame:
 def specialty_breakdown(facts: DataFrame, keys: Keys = NAMES, dates=None) -> DataFrame:
     """Buckets of every specialty at the latest date of its list type and population.
 
-    The latest dates are looked up first, unless given.
+    Facts with names on each row are read once: sums by date come first, and of those the ones at the latest
+    date stay. In the fact table of a star schema, whose scan skips all other snapshots, the latest dates
+    are looked up first, unless given.
     """
+    if dates is None and keys == NAMES:
+        return _at_latest(facts)
     dates = latest_dates(facts, keys).collect() if dates is None else dates
     rows = at_dates(eligible(facts, keys.specialty, keys), dates, keys)
     totals = bucket_totals(rows, [*COMBINATION, keys.date, keys.specialty])
     return totals.withColumnRenamed(NAMES.date, "last_updated")
 
 
+def _at_latest(facts: DataFrame) -> DataFrame:
+    """`specialty_breakdown` in one pass. What the window sees is a row per date and specialty."""
+    dating = F.col("granularity").isin(*SPECIALTY_GRANULARITIES)
+    counted = ~F.col("is_suppressed_bucket") & F.col("specialty_name").isNotNull()
+    rows = with_bucket(facts.where(F.col("archive_date").isNotNull() & known_domain() & (dating | counted)))
+    rows = rows.withColumn("bucket", F.when(counted, F.col("bucket")).otherwise(F.lit(UNKNOWN_BUCKET)))
+    per_date = rows.groupBy(*COMBINATION, "archive_date", "specialty_name").agg(
+        *bucket_sums(),
+        F.count_if(F.col("bucket") != UNKNOWN_BUCKET).alias("_known"),
+        F.max(F.when(dating, F.col("archive_date"))).alias("_dated"),
+    )
+    latest = F.max("_dated").over(Window.partitionBy(*COMBINATION))
+    at_latest = per_date.withColumn("last_updated", latest).where("archive_date = last_updated and _known > 0")
+    return at_latest.select(*COMBINATION, "last_updated", "specialty_name", *BUCKET_COLUMNS, row_total().alias("total"))
+
+
 def ranked(breakdown: DataFrame, k: int = TOP_SPECIALTIES) -> DataFrame:
     """The k largest specialties per list type and population, ties by name, and how many there are.
 

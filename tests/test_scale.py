@@ -79,6 +79,28 @@ def test_ranking_limits_each_task_before_the_shuffle(skewed):
     assert shown.count("WindowGroupLimit") == 2
 
 
+def test_a_ranking_by_name_reads_the_facts_once(skewed, tmp_path):
+    path = str(tmp_path / "facts")
+    star.observations(skewed).write.parquet(path)
+    facts = skewed.sparkSession.read.parquet(path)
+    shown = plan(queries.specialty_breakdown(facts))
+    assert shown.count("Scan parquet") == 1 and "Join" not in shown
+    given = queries.latest_dates(facts).collect()
+    columns = queries.specialty_breakdown(facts).columns
+    assert as_set(queries.specialty_breakdown(facts), *columns) == as_set(
+        queries.specialty_breakdown(facts, dates=given), *columns
+    )
+
+
+def test_the_latest_totals_run_nothing_before_the_action(skewed, tmp_path):
+    built = build_warehouse(skewed, str(tmp_path / "w"))
+    tracker = skewed.sparkSession._jsparkSession.sharedState().statusStore()
+    before = tracker.executionsCount()
+    found = queries.latest_totals(built)
+    assert tracker.executionsCount() == before and found.columns == ["list_type", "archive_date", "total_waiting"]
+    assert "Subquery" in plan(found) and found.count() > 0
+
+
 def test_the_latest_snapshot_is_picked_in_the_scan(skewed, tmp_path):
     built = build_warehouse(skewed, str(tmp_path / "w"))
     shown = plan(queries.specialty_breakdown(built.fact, queries.IDS), "formatted")
