@@ -52,6 +52,26 @@ def wide_to_long(df: DataFrame) -> DataFrame:
     return conform(_tagged(long, HOSPITAL))
 
 
+def wide_attributes(df: DataFrame) -> DataFrame:
+    """What `wide_to_long` says of each published row besides its bands and counts."""
+    return conform(_tagged(_wide_ids(df, ("archive_date", "adult_child", "hospital_name")), HOSPITAL))
+
+
+def wide_specialty_attributes(df: DataFrame, summed_list_types=("op",)) -> DataFrame:
+    """What `wide_specialty_to_long` says of each published row besides its bands and counts."""
+    names = ("archive_date", "adult_child", "specialty_name")
+    in_parts = [d for d, list_type in DATASET_LIST_TYPE.items() if list_type in summed_list_types]
+    # Parts are added up only where all of these are known; other rows of such a dataset are left out.
+    whole = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in names])
+    doubled = F.coalesce(F.col("dataset").isin(*in_parts), F.lit(False))
+    return conform(_tagged(_wide_ids(df, names).where(~doubled | whole), NATIONAL_SPECIALTY))
+
+
+def long_attributes(df: DataFrame) -> DataFrame:
+    """What `long_rows` says of each published row besides its band and count."""
+    return conform(_tagged(merge_headers(df, keep=["dataset", "year_key"]).drop("count", "time_band"), HOSPITAL_SPECIALTY))
+
+
 def sum_duplicates(df: DataFrame, keys, no_null=None) -> DataFrame:
     """Rows that share a key become one: their sum, 0 when all are missing.
 

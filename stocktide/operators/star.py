@@ -11,6 +11,11 @@ from ..shared_dir import fixed
 from .joins import lookup_join
 
 FIRST_SEEN = ("list_type", "source_year_key", "archive_date_parsed")
+#: What the dimensions are made from.
+ATTRIBUTES = (
+    "archive_date_parsed", "hospital_name", "hospital_group", "hospital_hipe", "specialty_name", "specialty_hipe",
+    "list_type", "source_year_key", "is_suppressed_bucket",
+)
 _LOW_33_BITS = (1 << 33) - 1
 
 

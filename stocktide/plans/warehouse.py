@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..fixed_values import HOSPITAL_ALIASES
 from ..operators.star import (
+    ATTRIBUTES,
     Star,
     build_dim_date,
     build_dim_hospital,
     build_dim_specialty,
     build_fact,
 )
+from ..shared_dir import fixed
 from ..sources.warehouse_store import (
     new_build,
     publish,
@@ -22,7 +24,7 @@ from ..sources.warehouse_store import (
     write_dimension,
     write_fact,
 )
-from .harmonise import unify_store
+from .harmonise import store_tables, unify, unify_attributes
 
 
 DIMENSIONS = {
@@ -32,35 +34,40 @@ DIMENSIONS = {
 }
 
 
-def build_dimensions(unified: DataFrame, build: str) -> list[DataFrame]:
-    """Write the dimensions and read them back; each reads only its own columns of the raw tables.
+def build_dimensions(attributes: DataFrame, build: str) -> list[DataFrame]:
+    """Write the dimensions of distinct ATTRIBUTES and read them back.
 
-    They do not depend on each other, so their jobs run side by side.
+    One table of them, a row per snapshot and entity, is made first, so that the raw tables are read
+    once for all three. The dimensions do not depend on each other: their jobs run side by side.
     """
-    spark = unified.sparkSession
+    spark, attributes = attributes.sparkSession, fixed(attributes)
 
     def write(item):
         name, make = item
-        write_dimension(make(unified), build, name)
+        write_dimension(make(attributes), build, name)
 
     with ThreadPool(len(DIMENSIONS)) as pool:
         pool.map(write, DIMENSIONS.items())
     return [read_dimension(spark, build, name) for name in DIMENSIONS]
 
 
-def build_warehouse(unified: DataFrame, warehouse: str) -> Star:
+def build_warehouse(unified: DataFrame, warehouse: str, attributes: DataFrame | None = None) -> Star:
     """Write the dimensions, then the fact, publish them together, and read them back.
 
     The fact joins the written dimensions, whose file sizes tell Spark whether to broadcast them. Each
     build has a folder of its own: readers, and a build that fails, never see new names with old ids.
+    `attributes` are the distinct ATTRIBUTES of `unified`, if there is a cheaper way to them than its rows.
     """
     build = new_build(warehouse)
-    dims = build_dimensions(unified, build)
+    if attributes is None:
+        attributes = unified.select(*ATTRIBUTES).distinct()
+    dims = build_dimensions(attributes, build)
     write_fact(build_fact(unified, *dims), build)
     publish(unified.sparkSession, warehouse, build)
     return read_star(unified.sparkSession, warehouse)
 
 
 def rebuild(spark: SparkSession, raw: str, warehouse: str, aliases=HOSPITAL_ALIASES) -> Star:
-    """Raw store -> warehouse."""
-    return build_warehouse(unify_store(spark, raw, aliases), warehouse)
+    """Raw store -> warehouse, in two reads of the store: its attributes, then its counts."""
+    tables = store_tables(spark, raw)
+    return build_warehouse(unify(tables, aliases), warehouse, unify_attributes(tables, aliases))

@@ -342,3 +342,22 @@ def test_a_load_scans_each_file_once_and_a_second_load_none(spark, root, tmp_pat
     assert text_scans(before) == []
     assert as_set(raw_store.loaded_years(spark, raw), "family", "dataset", "year_key", "n_rows") == held
     assert not list((tmp_path / "raw").glob("_staging/*"))
+
+
+def test_attributes_come_from_published_rows(spark, root, tmp_path):
+    from stocktide.operators.star import ATTRIBUTES
+    from stocktide.plans.harmonise import store_tables, unify, unify_attributes
+
+    raw = str(tmp_path / "raw")
+    # An unlabelled part without a population is left out of the sums, and its specialty with them.
+    land(root, "op_specialty", "2025", "2026-07-01", SPECIALTY_HEADER, [
+        "29/01/2025,,Lost,1,1,1,1,4", "29/01/2025,Adult,Kept,1,1,1,1,4", "29/01/2025,Adult,Kept,1,1,1,1,4",
+    ])
+    raw_store.ingest(spark, root, raw)
+    tables = store_tables(spark, raw)
+    found = unify_attributes(tables)
+    want = unify(tables).select(*ATTRIBUTES).distinct()
+    assert as_set(found, *ATTRIBUTES) == as_set(want, *ATTRIBUTES) and found.count() == want.count()
+    assert "Lost" not in {r.specialty_name for r in found.collect()}
+    shown = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in shown(found) and "Expand" in shown(unify(tables))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stocktide.operators.star import Star
 from stocktide.plans.harmonise import unify_store
-from stocktide.plans.warehouse import build_warehouse
+from stocktide.plans.warehouse import rebuild
 from stocktide.shared_dir import new_folder
 from stocktide.sources.raw_store import ingest
 from stocktide.sources.warehouse_store import read_star
@@ -62,7 +62,7 @@ def loaded_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def warehouse(spark: SparkSession, sf_dir: str) -> str:
     def make(folder):
-        build_warehouse(loaded_unified(spark, sf_dir), folder)
+        rebuild(spark, raw(spark, sf_dir), folder, tables.aliases(spark, sf_dir))
 
     return _once(f"{_root(spark, sf_dir)}/warehouse", make)
 
