@@ -49,6 +49,24 @@ def dense_ids(df: DataFrame, order: str, name: str) -> DataFrame:
     )
 
 
+def stable_ids(names: DataFrame, known: DataFrame, key: str, name: str) -> DataFrame:
+    """(id, key): the ids of `known` (id, key) as they are, and the next ones for names it lacks, in their order.
+
+    An id is never moved or given out again, so that facts which hold it need not be written again.
+    """
+    fresh = names.select(key).distinct().join(known, key, "left_anti")
+    last = F.coalesce(known.agg(F.max(name)).scalar(), F.lit(0).cast("bigint"))
+    numbered = dense_ids(fresh, key, name).select((F.col(name) + last).alias(name), key)
+    return known.select(name, key).unionByName(numbered)
+
+
+def _numbered(rows: DataFrame, key: str, name: str, ids: DataFrame | None) -> DataFrame:
+    """Rows with dense ids, or with those of a registry (id, key) that has all their keys."""
+    if ids is None:
+        return dense_ids(rows, key, name)
+    return rows.join(ids, key).select(name, *rows.columns)
+
+
 def first_per_key(
     df: DataFrame, key: str, values, order=FIRST_SEEN, skip_nulls: bool = False
 ) -> DataFrame:
@@ -76,26 +94,26 @@ def distinct_dates(unified: DataFrame) -> DataFrame:
     return unified.where("archive_date_parsed is not null").select(day).distinct()
 
 
-def build_dim_date(unified: DataFrame) -> DataFrame:
-    dated = dense_ids(distinct_dates(unified), "archive_date", "date_id")
+def build_dim_date(unified: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    dated = _numbered(distinct_dates(unified), "archive_date", "date_id", ids)
     return dated.select(
         "date_id", "archive_date", F.year("archive_date").alias("year"), F.month("archive_date").alias("month")
     )
 
 
-def build_dim_hospital(unified: DataFrame, skip_nulls: bool = False) -> DataFrame:
+def build_dim_hospital(unified: DataFrame, skip_nulls: bool = False, ids: DataFrame | None = None) -> DataFrame:
     """Hospitals of unsuppressed rows."""
     rows = unified.where("not is_suppressed_bucket")
     values = ("hospital_group", "hospital_hipe")
     first = first_per_key(rows, "hospital_name", values, skip_nulls=skip_nulls)
-    return dense_ids(first, "hospital_name", "hospital_id")
+    return _numbered(first, "hospital_name", "hospital_id", ids)
 
 
-def build_dim_specialty(unified: DataFrame, skip_nulls: bool = False) -> DataFrame:
+def build_dim_specialty(unified: DataFrame, skip_nulls: bool = False, ids: DataFrame | None = None) -> DataFrame:
     """Specialties of unsuppressed rows."""
     rows = unified.where("not is_suppressed_bucket")
     first = first_per_key(rows, "specialty_name", ("specialty_hipe",), skip_nulls=skip_nulls)
-    return dense_ids(first, "specialty_name", "specialty_id")
+    return _numbered(first, "specialty_name", "specialty_id", ids)
 
 
 def build_fact(

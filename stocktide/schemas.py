@@ -103,3 +103,16 @@ FACT = StructType(
         StructField("is_suppressed_bucket", BooleanType()),
     ]
 )
+ATTRIBUTE = StructType(
+    [
+        StructField("archive_date_parsed", DateType()),
+        StructField("hospital_name", StringType()),
+        StructField("hospital_group", StringType()),
+        StructField("hospital_hipe", StringType()),
+        StructField("specialty_name", StringType()),
+        StructField("specialty_hipe", StringType()),
+        StructField("list_type", StringType()),
+        StructField("source_year_key", StringType()),
+        StructField("is_suppressed_bucket", BooleanType()),
+    ]
+)

@@ -11,6 +11,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .catalogue import list_type_of
+
 ENTRIES = (
     "dataset string, year_key string, published string, folder string, n_files bigint, bytes bigint, "
     "allow_bad_rows boolean, multi_line boolean, n_rows bigint, reason string, detail string, judged_at timestamp"
@@ -51,6 +53,14 @@ def loaded(entries: DataFrame) -> DataFrame:
     return last.select("dataset", "year_key", "entry.*")
 
 
+def partition_sources(entries: DataFrame) -> DataFrame:
+    """(list_type, source_year_key, source): a hash of the publications each warehouse partition is made from."""
+    said = F.to_json(F.struct("dataset", "folder", "n_files", "bytes", "judged_at"))
+    return loaded(entries).groupBy(
+        list_type_of(F.col("dataset")).alias("list_type"), F.col("year_key").alias("source_year_key")
+    ).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(said)), "\n"), 256).alias("source"))
+
+
 def verdicts(entries: DataFrame, allow_bad_rows: bool, multi_line: bool) -> DataFrame:
     """The last verdict on each publication as it lies there, read the same way: a reason, or null of a valid one."""
     same = (F.col("allow_bad_rows") == allow_bad_rows) & (F.col("multi_line") == multi_line)

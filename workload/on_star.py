@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stocktide.fixed_values import WIDE
 from stocktide.operators import joins, quality, reshape, star
-from stocktide.plans.warehouse import build_dimensions
+from stocktide.plans.warehouse import build_dimensions, rebuild, update
 from stocktide.shared_dir import new_folder
+from stocktide.sources import raw_store
+from stocktide.sources.warehouse_store import new_build, published_build
 
 from . import stores, tables
 from .registry import query
@@ -123,7 +126,7 @@ def _fact_sums(fact):
 def fact_rows(spark, sf_dir):
     """Names and dates replaced by ids; rows of buckets keep the id of a real hospital."""
     rows = tables.unified(spark, sf_dir)
-    dims = build_dimensions(rows, new_folder(spark, "dimensions"))
+    dims = build_dimensions(rows, new_build(new_folder(spark, "dimensions")))
     return _fact_sums(star.build_fact(rows, *dims))
 
 
@@ -175,3 +178,34 @@ def duplicate_keys(spark, sf_dir):
     return quality.duplicate_keys(
         tables.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]
     )
+
+
+@query(
+    with_unified(
+        """SELECT list_type, source_year_key,
+    CAST(sum(count * CASE WHEN source_year_key = '2001' AND granularity = 'hospital' THEN 2 ELSE 1 END) AS BIGINT) AS total,
+    CAST(0 AS BIGINT) AS n_differ, source_year_key <> '2001' AS taken_over
+  FROM unified GROUP BY ALL"""
+    )
+)
+def warehouse_update(spark, sf_dir):
+    """A warehouse brought up to date after 2001 was published again with each hospital row twice: its sums, how many
+    rows differ from a warehouse built whole, and whether the facts are files of the first build."""
+    root = new_folder(spark, "update")
+    landed, raw, at = f"{root}/landing", f"{root}/raw", f"{root}/warehouse"
+    aliases = tables.aliases(spark, sf_dir)
+    tables.write_all_publications(stores.lines(spark, sf_dir), landed)
+    raw_store.ingest(spark, landed, raw, years_of_family=tables.YEARS)
+    rebuild(spark, raw, at, aliases)
+    first = published_build(spark, at).name
+    later = raw_store.read_raw(spark, raw, WIDE).where("year_key = '2001'")
+    tables.write_publication(later.union(later), landed, "2002-02-15")
+    raw_store.ingest(spark, landed, raw, years_of_family=tables.YEARS)
+    updated = update(spark, raw, at, aliases)
+    whole = rebuild(spark, raw, f"{root}/whole", aliases)
+    keys = ["list_type", "source_year_key"]
+    placed = updated.fact.withColumn("of_first", F.contains(F.input_file_name(), F.lit(first)))
+    sums = placed.groupBy(keys).agg(F.sum("count").alias("total"), F.bool_and("of_first").alias("taken_over"))
+    one, other = (star.star_observations(built).drop("fact_id") for built in (updated, whole))
+    differ = one.exceptAll(other).unionByName(other.exceptAll(one)).groupBy(keys).agg(F.count("*").alias("n_differ"))
+    return sums.join(differ, keys, "left").fillna(0, ["n_differ"])
