@@ -220,6 +220,8 @@ DATASET_ID_PATTERN = "^[a-z0-9-]+$"
 GEOGRAPHY_LEVELS = ("national", "hse-region", "county", "hospital", "hospital-group")
 METADATA_BOOLEANS = ("redistribution_allowed", "small_cell_suppression_applied")
 METADATA_DATES = ("download_date", "processing_date")
+METADATA_ADDRESSES = ("source_url",)
+METADATA_LISTS = ("variables",)
 
 REGISTER_COLUMNS = (
     "dataset_id", "source", "licence", "attribution_required", "redistribution_allowed", "added",

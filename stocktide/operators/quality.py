@@ -189,6 +189,12 @@ def suppress_small(df: DataFrame, columns, minimum: int = MINIMUM_CELL) -> DataF
     )
 
 
+def suppress_points(points: DataFrame, cells, total: str, minimum: int = MINIMUM_CELL) -> DataFrame:
+    """Small cells become null, and with any of them the row's total, from which it could be worked out."""
+    hidden = suppress_small(points, cells, minimum)
+    return hidden.withColumn(total, F.when(F.col("n_suppressed") == 0, F.col(total))).drop("n_suppressed")
+
+
 def bucket_small(df: DataFrame, entity: str, by, label: str, minimum: int) -> DataFrame:
     """Entities whose sum is below the minimum are added up under one label."""
     per_entity = df.groupBy(entity, *by).agg(F.sum("count").alias("count"))

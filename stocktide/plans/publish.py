@@ -29,6 +29,7 @@ from ..fixed_values import (
 from ..functions.dates import iso_label, month_label
 from ..functions.names import slug
 from ..operators.joins import lookup_join
+from ..operators.quality import suppress_points
 from ..operators.star import Star, named
 from ..operators.totals import IDS, NAMES, Keys, bucket_sums, row_total, with_bucket
 from ..shared_dir import fixed
@@ -86,6 +87,11 @@ def national_points(facts: DataFrame, keys: Keys = NAMES) -> DataFrame:
     return _points(_published(facts, keys), COMBINATION, keys.date)
 
 
+def _shown(points: DataFrame, minimum: int | None) -> DataFrame:
+    """Points as they may be published: with a `minimum`, smaller cells are hidden."""
+    return points if minimum is None else suppress_points(points, BUCKET_COLUMNS, "total", minimum)
+
+
 def _dated(points: DataFrame, star: Star) -> DataFrame:
     """Points by date id -> by date, those without one kept."""
     return lookup_join(points, star.dim_date.select("date_id", "archive_date"), "date_id")
@@ -135,9 +141,10 @@ def star_hospital_documents(
     notes=METHODOLOGY_NOTES,
     limitations: str = SERIES_LIMITATIONS,
     source: str = SOURCE,
+    minimum: int | None = None,
 ) -> DataFrame:
     """The same from a star schema: sums by id, then dates and names on the sums."""
-    points = _dated(hospital_points(star.fact, IDS), star)
+    points = _dated(_shown(hospital_points(star.fact, IDS), minimum), star)
     names = star.dim_hospital.select("hospital_id", "hospital_name")
     return _hospital_documents(points.join(names, "hospital_id"), notes, limitations, source)
 
@@ -167,8 +174,9 @@ def star_national_document(
     notes=METHODOLOGY_NOTES,
     limitations: str = SERIES_LIMITATIONS,
     source: str = SOURCE,
+    minimum: int | None = None,
 ) -> DataFrame:
-    points = _dated(national_points(star.fact, IDS), star)
+    points = _dated(_shown(national_points(star.fact, IDS), minimum), star)
     return _national_document(points, notes, limitations, source)
 
 
@@ -180,10 +188,10 @@ def specialty_document(
 
 
 def star_specialty_document(
-    star: Star, notes=SPECIALTY_NOTES, k: int = TOP_SPECIALTIES, source: str = SOURCE
+    star: Star, notes=SPECIALTY_NOTES, k: int = TOP_SPECIALTIES, source: str = SOURCE, minimum: int | None = None
 ) -> DataFrame:
     latest = fixed(latest_dates(star.fact, IDS))
-    top = star_top_specialties(star, k, latest.collect())
+    top = _shown(star_top_specialties(star, k, latest.collect()), minimum)
     dated = named(latest.withColumnRenamed("last_updated", "date_id"), star)
     return _specialty_document(
         dated.withColumnRenamed("archive_date", "last_updated"), top, notes, source

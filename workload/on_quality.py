@@ -11,7 +11,7 @@ from stocktide.fixed_values import (
     WIDE_BANDS,
     WIDE_TABLE_COUNTS,
 )
-from stocktide.operators import clean, governance, joins, quality
+from stocktide.operators import clean, governance, joins, quality, record_schema
 from stocktide.operators.totals import eligible
 
 from . import stores, tables
@@ -286,6 +286,32 @@ def metadata_check(spark, sf_dir):
     )
 
 
+@query(
+    """SELECT c_custkey, CASE WHEN c_custkey % 41 = 0 THEN 'not a record' ELSE concat_ws(',',
+      CASE WHEN c_custkey % 7 = 0 THEN 'colour/undeclared' END,
+      CASE WHEN c_custkey % 13 = 0 THEN 'dataset_id/pattern' END,
+      CASE WHEN c_custkey % 19 = 0 THEN 'download_date/format' END,
+      CASE WHEN c_custkey % 11 = 0 THEN 'geography_level/enum' END,
+      CASE WHEN c_custkey % 5 = 0 THEN 'licence/required' END,
+      CASE WHEN c_custkey % 29 = 0 THEN 'redistribution_allowed/type' END,
+      CASE WHEN c_custkey % 3 <> 0 THEN 'source_url/format' END,
+      CASE WHEN c_custkey % 23 = 0 AND c_custkey % 17 <> 0 THEN 'variables/items/type' END,
+      CASE WHEN c_custkey % 17 = 0 THEN 'variables/minItems' END) END AS violations FROM customer"""
+)
+def metadata_rules(spark, sf_dir):
+    """Every rule of the declared record schema, with records that break it."""
+    key, record = F.col("c_custkey"), F.col("record")
+    for every, text, other in (
+        (3, '"source_url":"x"', '"source_url":"https://example.org/a?b=c"'),
+        (23, '["a","b"]', '["a",1]'),
+        (29, '"redistribution_allowed":true', '"redistribution_allowed":"yes"'),
+        (41, "}", ""),
+    ):
+        record = F.when(key % every == 0, F.replace(record, F.lit(text), F.lit(other))).otherwise(record)
+    checked = record_schema.check_schema(_records(spark, sf_dir).withColumn("record", record))
+    return checked.select("c_custkey", F.concat_ws(",", "violations").alias("violations"))
+
+
 @query(
     """SELECT 'customer' AS dataset_id, 'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment' AS variables,
     (SELECT bool_or(contains(lower(c_mktsegment), 'furniture')) FROM customer) AS small_cell_suppression_applied,

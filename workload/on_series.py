@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stocktide.fixed_values import BUCKETS
+from stocktide.fixed_values import BUCKET_COLUMNS, BUCKETS, DATASET_LIST_TYPE, METADATA_REQUIRED
 from stocktide.functions.dates import long_month_label, month_label
-from stocktide.operators import analysis, totals
+from stocktide.operators import analysis, governance, totals
 from stocktide.plans import export, publish, queries
 from stocktide.shared_dir import new_folder
 from stocktide.sources import documents, warehouse_store
+from stocktide.sources.published_documents import read_published
 
 from . import stores
 from .registry import query
@@ -439,6 +440,36 @@ def document_readback(spark, sf_dir):
     return found.unionByName(ranked).unionByName(names)
 
 
+_SMALL = 40
+_HIDDEN = ", ".join(f"CASE WHEN {c} NOT BETWEEN 1 AND {_SMALL - 1} THEN {c} END AS {c}" for c in BUCKET_COLUMNS)
+_ANY_SMALL = " OR ".join(f"{c} BETWEEN 1 AND {_SMALL - 1}" for c in BUCKET_COLUMNS)
+
+
+@query(
+    with_unified(
+        f"""SELECT hospital_name, {COMBINATION}, {iso('archive_date')} AS date, {_HIDDEN},
+    CASE WHEN NOT ({_ANY_SMALL}) THEN total END AS total,
+    (SELECT count(DISTINCT hospital_name) FROM unified WHERE {IN_HOSPITAL}) AS n_written, CAST(0 AS BIGINT) AS n_again
+  FROM ({HOSPITAL_SERIES}) WHERE list_type = 'ipdc'"""
+    )
+)
+def export_changed(spark, sf_dir):
+    """Published by content: the hospitals' documents that a first export writes, what a second one writes without new
+    data, and the points that can be read once one dataset lacks its record and small cells are hidden."""
+    warehouse, folder = stores.star(spark, sf_dir), new_folder(spark, "published")
+    written = export.export_changed(warehouse, folder)[export.HOSPITALS]
+    again = sum(export.export_changed(warehouse, folder).values())
+    ids = F.array(*[F.lit(export.dataset_id(name)) for name in DATASET_LIST_TYPE])
+    datasets = spark.range(1).select(F.explode(ids).alias("dataset_id"))
+    fields = [F.when(F.col("dataset_id") != "op-hospital", "x").alias(name) for name in METADATA_REQUIRED]
+    records = datasets.select("dataset_id", F.to_json(F.struct(*fields)).alias("record"))
+    allowed, _ = governance.publishable(datasets, governance.check_metadata(records), datasets)
+    export.export_changed(warehouse, folder, allowed, minimum=_SMALL)
+    schema = publish.star_hospital_documents(warehouse).schema
+    points = publish.flatten_documents(read_published(spark, folder, export.HOSPITALS, schema))
+    return points.drop("slug").withColumns({"n_written": F.lit(written).cast("bigint"), "n_again": F.lit(again).cast("bigint")})
+
+
 @query(
     with_unified(
         f"""SELECT hospital_name, list_type, adult_child, CAST(count(archive_date) AS INTEGER) AS n_points,
