@@ -45,7 +45,27 @@ select item_id, rank::integer as rank, doc_id, score from (
 where rank <= 50
 """
 
+_ESCAPED = "replace({}, chr(92), chr(92) || chr(92))"
+for _text in ("<s>", "</s>", "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]"):
+    _ESCAPED = f"replace({_ESCAPED}, '{_text}', '{_text[0]}' || chr(92) || '{_text[1:]}')"
+
+CHAT_FORMAT = f"""
+with log as (
+  select conv_id, turn, role, text from conversations
+  union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (
+    partition by conv_id order by turn nulls first, role nulls first, text nulls first) as place from log)
+select conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by place)) as turns_sha256,
+  coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by place) filter (where role = 'assistant'), '')) as loss_sha256,
+  sum(length('<s>[INST]</s>') + length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')}))::bigint
+    as formatted_chars
+from turns group by conv_id"""
+
 SQL: dict[str, str] = {
+    "op1_chat_format": CHAT_FORMAT,
     "op11_hard_negatives": HARD_NEGATIVES,
     "op13_ranked_search": RANKED_SEARCH,
 }

@@ -5,12 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stocktide.llm import language_id, quality
 from stocktide.llm.ann import nearest
-from stocktide.llm.chat_format import MESSAGE, loss_text, messages, parsed, rendered
+from stocktide.llm.chat_format import (
+    DELTA,
+    EDIT,
+    LOSS_ROLE,
+    MESSAGE,
+    REGENERATE,
+    loss_text,
+    messages,
+    parsed,
+    rendered,
+)
 from stocktide.llm.decontaminate import find_passages
 from stocktide.llm.license_scan import scan_licences, sentences
 from stocktide.llm.near_dedup import near_duplicates
@@ -31,18 +41,35 @@ BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
+def _logged(log: DataFrame) -> DataFrame:
+    """Events of a table of messages (conv_id, message, role, text): an answer is streamed in three pieces after a first
+    try of half of it, any other message is written down by half and edited."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    third, half = F.ceil(F.length(text) / 3).cast("int"), F.substring(text, F.lit(1), F.ceil(F.length(text) / 2).cast("int"))
+    unsaid = F.lit(None).cast("string")
+
+    def event(kind: str, said: Column, role: Column = unsaid) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), role.alias("role"), said.alias("text"))
+
+    pieces = [event(DELTA, F.substring(text, third * i + 1, third)) for i in range(3)]
+    role, nothing = F.col("role"), F.lit("")
+    answer = F.array(event(MESSAGE, nothing, role), event(DELTA, half), event(REGENERATE, nothing), *pieces)
+    other = F.array(event(MESSAGE, half, role), event(EDIT, text))
+    events = F.when(role == LOSS_ROLE, answer).otherwise(other)
+    rows = log.select("conv_id", "message", F.posexplode(events).alias("at", "event"))
+    return rows.select("conv_id", "message", (F.col("message") * 8 + F.col("at")).alias("seq"), "event.*")
+
+
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each row of the table is a message, numbered by turn; what is returned is read from the rendering."""
+    """Each row of the table is a message, numbered by turn and logged in events, which are folded and rendered; what is
+    returned is read from the rendering."""
     more = spark.createDataFrame(
         [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)],
         "conv_id bigint, turn bigint, role string, text string",
     )
     log = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)
     place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
-    events = log.select(
-        "conv_id", place.alias("message"), F.col("turn").alias("seq"), F.lit(MESSAGE).alias("kind"), "role", "text"
-    )
-    chats = rendered(messages(events))
+    chats = rendered(messages(_logged(log.select("conv_id", place.alias("message"), "role", "text"))))
     turns, said = parsed(F.col("formatted")), loss_text(F.col("formatted"), F.col("loss_spans"))
     every = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return chats.select(

@@ -1,10 +1,11 @@
 import math
 import re
+import textwrap
 from collections import Counter
 
 from pyspark.sql import functions as F
 
-from stocktide.llm.license_scan import NOTICES, THRESHOLD, scan_licences, telling_words, words
+from stocktide.llm.license_scan import NOTICES, TEMPLATES, THRESHOLD, scan_licences, telling_words, words
 
 
 def frame(spark, rows):
@@ -110,3 +111,39 @@ def test_telling_words_cover_every_notice():
 
 def test_empty_table(spark):
     assert scan_licences(frame(spark, [])).collect() == []
+
+
+def wrapped(text, width, mark):
+    """A text as the comment at the head of a file."""
+    return "\n".join(f"{mark} {line}" for line in textwrap.wrap(text.replace("\n", " "), width))
+
+
+def test_headers_bodies_and_titles(spark):
+    body = lambda name: TEMPLATES[name]
+    gpl = wrapped(body("GPL-3.0 header"), 50, " *")
+    rows = [
+        ("mit/LICENSE", "Copyright (c) 2020 Jane Roe\n\n" + body("MIT body").replace(" THE SOFTWARE IS", "\n\nTHE SOFTWARE IS", 1)),
+        ("mit/src/deep/a.py", "print(1)"), ("bsd/COPYING", "Copyright 2021, Some One. All rights reserved.\n\n" + body("BSD-3-Clause body")),
+        ("bsd/x.c", "int x;"), ("gpl/y.c", f"/*\n{gpl}\n */\n\nint y;\n"), ("gpl/none.c", "int z;"),
+        ("apache/run.sh", "#!/bin/sh\n" + wrapped(body("Apache-2.0 header"), 70, "#") + "\n\necho hi"),
+        ("apache/old.sh", "#\n# Copyright 1999\n\n" + wrapped(body("GPL-2.0 header"), 60, "#")),
+        ("full/LICENSE.txt", "   GNU GENERAL PUBLIC LICENSE\n      Version 3, 29 June 2007\n\n" + "some terms of many pages " * 3000),
+        ("full/sub/b.c", ""), ("mpl/LICENCE", "Mozilla Public License Version 2.0\n==================================\n\n1. Definitions"),
+        ("plain/README", "you can use this software and copy the files to any person, see the notice"), ("plain/long", "word " * 50_000),
+    ]
+    rows += [(f"other/{i}.txt", f"a text of the {i} kind with the use of this and that for any software or files") for i in range(60)]
+    found = {r.path: (r.licence, r.origin, r.licence_file) for r in scan_licences(frame(spark, rows)).collect()}
+    assert {path: of for path, of in found.items() if of[1] != "none"} == {
+        "mit/LICENSE": ("MIT", "own", None), "mit/src/deep/a.py": ("MIT", "inherited", "mit/LICENSE"),
+        "bsd/COPYING": ("BSD-3-Clause", "own", None), "bsd/x.c": ("BSD-3-Clause", "inherited", "bsd/COPYING"),
+        "gpl/y.c": ("GPL-3.0", "own", None), "apache/run.sh": ("Apache-2.0", "own", None), "apache/old.sh": ("GPL-2.0", "own", None),
+        "full/LICENSE.txt": ("GPL-3.0", "own", None), "full/sub/b.c": ("GPL-3.0", "inherited", "full/LICENSE.txt"),
+        "mpl/LICENCE": ("MPL-2.0", "own", None),
+    }
+
+
+def test_templates_tell_each_other_apart(spark):
+    """Each template as a file's only paragraph is found as its own licence."""
+    rows = [(f"{i}/file", text) for i, text in enumerate(TEMPLATES.values())] + [(f"o/{i}", "other words of the file") for i in range(40)]
+    found = {r.path: r.licence for r in scan_licences(frame(spark, rows)).where("origin = 'own'").collect()}
+    assert found == {f"{i}/file": name.split(" ")[0] for i, name in enumerate(TEMPLATES)}
