@@ -20,6 +20,7 @@ from ..functions.cells import present
 from ..functions.headers import clean_headers, family_of_header
 from ..schemas import text_schema
 from .catalogue import family_of, source_url_of
+from .file_hashes import hash_files
 
 # Early and later long files differ in names only, which are merged when they are harmonised.
 SHAPE_OF_FAMILY = {WIDE: "wide", WIDE_SPECIALTY: "specialty", LONG: "long", LONG_EARLY: "long"}
@@ -36,7 +37,7 @@ FOLDER = "regexp_extract(path, '^(.*)/[^/]+$', 1)"
 
 
 def list_files(spark: SparkSession, landing: str) -> DataFrame:
-    """Landed files without their content; only the file listing is read."""
+    """Landed files without their content; only the file listing is read. Spark lists no file without a byte."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(landing)
     return files.select(
         "path",
@@ -54,16 +55,14 @@ def hashed(rows: DataFrame, content: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, landing: str) -> DataFrame:
-    """Landed files with the SHA-256 of their bytes. Spark holds one file per row, below 2 GB each."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(landing)
-    entries = files.select(
-        "path",
-        "length",
-        "modificationTime",
-        "content",
-        *[F.col(name).cast("string").alias(name) for name in FOLDER_KEYS],
-    )
-    return hashed(entries, "content")
+    """Landed files with the SHA-256 of their bytes, read in steps whatever their size. A file that could not be
+    read has no hash but an `error`, and keeps no other from having one."""
+    return hash_files(list_files(spark, landing).drop("folder"))
+
+
+def unreadable_files(entries: DataFrame) -> DataFrame:
+    """The files of a manifest that could not be hashed, each with the reason."""
+    return entries.where("error is not null").select(*FOLDER_KEYS, "path", "error")
 
 
 def duplicate_files(entries: DataFrame) -> DataFrame:

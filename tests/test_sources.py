@@ -10,7 +10,7 @@ from stocktide.fixed_values import LONG, WIDE
 from stocktide.plans import publish, queries
 from stocktide.plans.harmonise import unify_store
 from stocktide.plans.warehouse import rebuild
-from stocktide.sources import catalogue, documents, landing, ledger, raw_store
+from stocktide.sources import catalogue, documents, file_hashes, landing, ledger, raw_store
 from stocktide.streaming.ingest import ingest_arrivals
 
 BANDS = "0-6 Months,6-12 Months,12-18 Months,18 Months +"
@@ -196,6 +196,32 @@ def test_manifest(spark, root):
     assert folder.endswith("published=2026-02-01")
 
 
+def test_manifest_reads_in_steps_and_goes_on_without_bad_files(spark, tmp_path):
+    """Larger than a step, of an odd name, cut off since it was listed, gone, empty, of a name that says compressed."""
+    at = str(tmp_path / "landing")
+    large = land(at, "op_specialty", "2025", "2026-01-01", "h", ["x" * 700] * 9000, "large one%20é+.csv")
+    empty = tmp_path / "empty.csv"
+    empty.write_bytes(b"")
+    gone = land(at, "op_specialty", "2023", "2026-01-01", "h", ["1"], "gone.csv")
+    short = land(at, "op_specialty", "2022", "2026-01-01", "h", ["1"] * 50, "short.csv")
+    assert large.stat().st_size > file_hashes.STEP_BYTES
+    files = landing.list_files(spark, at).withColumn("extra", F.lit("kept")).checkpoint()
+    gone.unlink()
+    short.write_bytes(b"h")
+    entries = {r.path.rsplit("/", 1)[1]: r for r in file_hashes.hash_files(files).collect()}
+    assert entries[large.name].sha256 == hashlib.sha256(large.read_bytes()).hexdigest()
+    assert file_hashes.hash_file(f"file:{empty}", 0) == (hashlib.sha256(b"").hexdigest(), None)
+    assert (entries["gone.csv"].sha256, entries["gone.csv"].error) == (None, "file is gone")
+    assert entries["short.csv"].error.startswith("1 bytes, ")
+    assert all((r.sha256 is None) != (r.error is None) and r.extra == "kept" for r in entries.values())
+    packed = tmp_path / "a.csv.gz"
+    packed.write_bytes(b"not gzip")
+    assert file_hashes.hash_file(str(packed), 8, 3) == (hashlib.sha256(b"not gzip").hexdigest(), None)
+    told = landing.unreadable_files(file_hashes.hash_files(files))
+    assert {r.year_key for r in told.collect()} == {"2023", "2022"}
+    assert file_hashes.hash_files(files.where("false")).collect() == []
+
+
 def test_stream_loads_each_publication_once(spark, root, tmp_path):
     raw, checkpoint, rejects = (str(tmp_path / n) for n in ("raw", "checkpoint", "rejects"))
 

@@ -64,6 +64,50 @@ def archive_manifest(spark, sf_dir):
     )
 
 
+_PRINTED = ("ArchiveDate", "Adult_Child", "HospitalName", "0-6 Months", "6-12 Months", "12-18 Months", "18 Months +",
+            "Total")
+_PRINTED_LINE = " || ',' || ".join(
+    f"""'"' || coalesce({name}, '-') || '"'"""
+    for name in ("archive_date", "adult_child", "hospital_name", "months_0_6", "months_6_12", "months_12_18",
+                 "months_18_plus", "total")
+)
+
+
+@query(
+    with_base(
+        f"""SELECT dataset, year_key, published, sha256(printed) AS sha256, strlen(printed) AS length,
+    CASE WHEN year_key = '2001' THEN 2 ELSE 1 END AS copies
+  FROM (SELECT dataset, year_key, '{','.join(f'"{name}"' for name in _PRINTED)}' || chr(10)
+        || string_agg(line, chr(10) ORDER BY encode(line)) || chr(10) AS printed
+      FROM (SELECT dataset, year_key, {_PRINTED_LINE} AS line
+        FROM (SELECT list_type || '_hospital' AS dataset, CAST(yr AS VARCHAR) AS year_key, archive_date,
+            adult_child, hospital_name, {_WIDE_TEXT}
+          FROM (SELECT list_type, yr, {_DATE_TEXT} AS archive_date, adult_child,
+              published_name AS hospital_name, {_WIDE_SUMS}
+            FROM base WHERE yr >= 2000 GROUP BY ALL))) GROUP BY ALL)
+  JOIN (VALUES ('{tables.FIRST_PUBLICATION}'), ('2002-02-15')) AS p(published)
+    ON year_key = '2001' OR published = '{tables.FIRST_PUBLICATION}'"""
+    )
+)
+def manifest_hashes(spark, sf_dir):
+    """The manifest of wide years printed in order of their lines, every cell quoted; 2001 is published twice."""
+    folder = new_folder(spark, "printed")
+    wide = raw_store.read_raw(spark, stores.raw(spark, sf_dir), WIDE).fillna("-", _PRINTED)
+    line = F.concat_ws('","', *[f"`{name}`" for name in _PRINTED])
+    for published, rows in ((tables.FIRST_PUBLICATION, wide), ("2002-02-15", wide.where("year_key = '2001'"))):
+        printed = rows.withColumns({"published": F.lit(published), "line": line})
+        printed.repartition("dataset", "year_key").sortWithinPartitions("dataset", "year_key", "line").select(
+            "dataset", "year_key", "published", *[f"`{name}`" for name in _PRINTED]
+        ).write.partitionBy("dataset", "year_key", "published").mode("append").options(
+            header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(folder)  # one file for each publication, since its rows are in one task
+    entries = landing.manifest(spark, folder)
+    copies = landing.duplicate_files(entries).select("sha256", F.col("copies").cast("int").alias("copies"))
+    return entries.join(copies, "sha256", "left").select(
+        "dataset", "year_key", "published", "sha256", "length", F.coalesce("copies", F.lit(1)).alias("copies")
+    )
+
+
 @query(
     with_base(
         """SELECT dataset, year_key, bool_or(known) AS known FROM (
