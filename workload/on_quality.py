@@ -8,14 +8,18 @@ from stocktide.fixed_values import (
     METADATA_REQUIRED,
     NATIONAL_SPECIALTY,
     SUPPRESSED_HOSPITAL_LABEL,
+    WIDE,
     WIDE_BANDS,
     WIDE_TABLE_COUNTS,
 )
 from stocktide.operators import clean, governance, joins, quality, record_schema
 from stocktide.operators.totals import eligible
+from stocktide.shared_dir import new_folder
+from stocktide.sources import profiles, raw_store
+from stocktide.sources.catalogue import HOSPITAL_DATASETS
 
 from . import stores, tables
-from .on_sources import _WIDE_SUMS
+from .on_sources import _DATE_TEXT, _WIDE_SUMS, _WIDE_TEXT
 from .registry import query
 from .sql import IN_HOSPITAL, iso, with_base, with_unified
 
@@ -39,6 +43,65 @@ def column_profile(spark, sf_dir):
     return quality.column_profile(tables.table(spark, sf_dir, "customer"))
 
 
+_PROFILED = dict(zip(
+    ("ArchiveDate", "Adult_Child", "HospitalName", "0-6 Months", "6-12 Months", "12-18 Months", "18 Months +", "Total"),
+    ("archive_date", "adult_child", "hospital_name", "months_0_6", "months_6_12", "months_12_18", "months_18_plus",
+     "total"),
+))
+
+
+@query(
+    with_base(
+        "SELECT dataset, column_name, CAST(sum(n * CASE WHEN yr = 2001 THEN 2 ELSE 1 END) AS BIGINT) AS n_rows,"
+        " CAST(sum(n_cells * CASE WHEN yr = 2001 THEN 2 ELSE 1 END) AS BIGINT) AS n_present,"
+        " any_value(n_distinct) AS n_distinct, true AS is_close,"
+        " CAST(count(DISTINCT CASE WHEN yr = 2001 THEN 1 END) AS BIGINT) AS n_profiled_again FROM (\n"
+        + "\nUNION ALL ".join(
+            f"SELECT dataset, '{name}' AS column_name, yr, count(*) AS n, count({column}) AS n_cells,"
+            f" (SELECT count(DISTINCT {column}) FROM wide w WHERE w.dataset = wide.dataset) AS n_distinct"
+            " FROM wide GROUP BY dataset, yr"
+            for name, column in _PROFILED.items()
+        )
+        + ") GROUP BY dataset, column_name"
+    ).replace(
+        "\nSELECT dataset, column_name", f""",
+wide AS (SELECT list_type || '_hospital' AS dataset, yr, archive_date, adult_child, hospital_name, {_WIDE_TEXT}
+  FROM (SELECT list_type, yr, {_DATE_TEXT} AS archive_date, adult_child, published_name AS hospital_name, {_WIDE_SUMS}
+    FROM base WHERE yr >= 2000 GROUP BY ALL))
+SELECT dataset, column_name""", 1)
+)
+def profile_refresh(spark, sf_dir):
+    """Profiles of loaded wide files, merged from the sketches of their years, next to exact counts. Between two
+    refreshes 2001 is published again with each row twice. An estimate is close within five standard errors, 4 per cent."""
+    root = new_folder(spark, "profiled")
+    landed, raw, at = f"{root}/landing", f"{root}/raw", f"{root}/profiles"
+
+    def load(rows, published):
+        tables.write_publication(rows, landed, published)
+        raw_store.ingest(spark, landed, raw, years_of_family=tables.YEARS)
+        return profiles.refresh(spark, raw, at)
+
+    wide = raw_store.read_raw(spark, stores.raw(spark, sf_dir), WIDE)
+    load(wide, tables.FIRST_PUBLICATION)
+    later = wide.where("year_key = '2001'")
+    again = load(later.union(later), "2002-02-15")
+    loaded = raw_store.read_raw(spark, raw, WIDE)
+    estimated = profiles.profile(spark, at, "dataset").withColumnRenamed("n_distinct", "estimate")
+    parts = []
+    for dataset in HOSPITAL_DATASETS:
+        exact = quality.column_profile(loaded.where(F.col("dataset") == dataset).drop("dataset", "year_key"))
+        parts.append(
+            exact.select(
+                F.lit(dataset).alias("dataset"), "column_name", "n_distinct",
+                F.lit(sum(d == dataset for d, _ in again)).cast("bigint").alias("n_profiled_again"),
+            )
+        )
+    near = F.abs(F.col("estimate") - F.col("n_distinct")) <= F.greatest(F.lit(0.5), 0.04 * F.col("n_distinct"))
+    return estimated.join(parts[0].union(parts[1]), ["dataset", "column_name"]).select(
+        "dataset", "column_name", "n_rows", "n_present", "n_distinct", near.alias("is_close"), "n_profiled_again"
+    )
+
+
 _DOCUMENT_MARKERS = ("small volume", "<5", "n/a", "license", "http")
 _MARKED = " OR ".join(f"contains(lower({{}}), '{m}')" for m in _DOCUMENT_MARKERS)
 
