@@ -64,8 +64,22 @@ select conv_id, count(*)::bigint as n_turns,
     as formatted_chars
 from turns group by conv_id"""
 
+# Five hexadecimal digits are four of base 32.
+ARCHIVES = """
+with held as (
+  select page_id, url, encode(coalesce(html, '')) as payload,
+    min(page_id) over (partition by coalesce(html, '')) as first from pages)
+select page_id, octet_length(payload)::bigint as payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+    ('0x' || substr(sha1(payload), 1 + 5 * (i // 4), 5))::integer >> (15 - 5 * (i % 4)))::integer % 32, 1)), '') as payload_digest,
+  if(page_id = first, 'response', 'revisit') as record_type, nullif(first, page_id) as refers_to,
+  array_to_string(list_transform(string_split(url, ''), lambda c: if(
+    ascii(c) between 1 and 31 or ascii(c) = 127, '%' || printf('%02X', ascii(c)), c)), '') as target_uri
+from held"""
+
 SQL: dict[str, str] = {
     "op1_chat_format": CHAT_FORMAT,
+    "op10_warc": ARCHIVES,
     "op11_hard_negatives": HARD_NEGATIVES,
     "op13_ranked_search": RANKED_SEARCH,
 }
