@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from stocktide.llm.tables import written
 
 CONTEXT_WORDS = 5
-CONTEXT_CHARS = 120
 MIN_CONTEXTS = 3
 DISCLOSURE = 0.8
 TERM = "term"
@@ -96,12 +95,17 @@ def _entity(kind: _Kind, match: Column) -> Column:
     return F.concat(F.lit(kind.name + ":"), plain)
 
 
+#: The first words of a text with all that stands before and between them. Possessive, so that time is linear.
+_FIRST_WORDS = rf"^(?:[^\p{{L}}\p{{N}}@]*+[\p{{L}}\p{{N}}@]++){{0,{CONTEXT_WORDS}}}"
+
+
 def _words_near(piece: Column, last: bool) -> Column:
-    """The words of a piece of text next to a match."""
-    near = F.right(piece, F.lit(CONTEXT_CHARS)) if last else F.left(piece, F.lit(CONTEXT_CHARS))
-    words = F.filter(F.split(F.lower(near), r"[^\p{L}\p{N}@]+"), lambda w: F.length(w) > 0)
-    n = F.size(words)
-    first = F.greatest(n - CONTEXT_WORDS, F.lit(0)) + 1 if last else F.lit(1)
+    """The CONTEXT_WORDS words of a piece of text next to a match, whatever their length and what lies between."""
+    from_match = F.reverse(piece) if last else piece
+    near = F.regexp_extract(from_match, _FIRST_WORDS, 0)
+    words = F.split(F.lower(F.reverse(near) if last else near), r"[^\p{L}\p{N}@]+")
+    words = F.filter(words, lambda w: F.length(w) > 0)
+    first = F.greatest(F.size(words) - CONTEXT_WORDS, F.lit(0)) + 1 if last else F.lit(1)
     return F.slice(words, first, F.lit(CONTEXT_WORDS))
 
 

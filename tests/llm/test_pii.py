@@ -82,6 +82,21 @@ def test_words_far_from_their_entity_count_as_with_it(spark):
     assert all(found[i].spans == [] for i in range(60))
 
 
+def test_words_are_near_whatever_lies_between(spark):
+    """A name behind a wide gap, and one beyond four very long words, on both sides; the sixth word is not near."""
+    rng = random.Random(15)
+    long = " ".join(c * 90 for c in "jkxz")
+    rows = [(i, prose(rng, 40)) for i in range(60)]
+    for i in range(5):
+        rows.append((100 + i, f"{prose(rng, 9)} Rocinante{' ' * 500}a@toboso.es{'.' * 400} Alonso {prose(rng, 9)}"))
+        rows.append((200 + i, f"{prose(rng, 9)} Farther Maritornes {long} b@toboso.es {long} Ginesillo further {prose(rng, 9)}"))
+    found, texts = {r.doc_id: r for r in find_personal_data(documents(spark, rows)).collect()}, dict(rows)
+    for i in range(5):
+        assert said_in(found, texts, 100 + i) == ["Rocinante", "Alonso"]
+        said = said_in(found, texts, 200 + i)
+        assert said[0] == "Maritornes" and said[-1] == "Ginesillo" and set(said[1:-1]) == set(long.split())
+
+
 def test_a_repeated_signature_is_evidence(spark):
     """One line with the same ten words around its entity in many texts that are otherwise different."""
     rng = random.Random(10)
