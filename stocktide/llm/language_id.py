@@ -20,6 +20,8 @@ FEATURES = 1 << 15
 ORDERS = 3
 #: Texts the weights and the temperature are fitted on, in all; as many of each language as there is room for.
 SAMPLE_TEXTS = 3_000
+#: Parts a language's rows are ranked in before they are ranked together.
+SLICES = 64
 EPOCHS = 3
 RATE, SMOOTH, L1, L2 = 1.0, 1.0, 0.01, 0.01
 UNDETERMINED = "und"
@@ -157,7 +159,8 @@ def learn(docs: DataFrame) -> LanguageModel:
     """Fit on `docs` (doc_id, text, lang); rows without lang teach nothing.
 
     Document frequencies cover all rows. The sample has SAMPLE_TEXTS rows at most, shared alike by the languages,
-    the rows of lowest hash; a fifth of it is kept for the temperature. Without rows no language is learnt.
+    the rows of lowest hash; a fifth of it is kept for the temperature. Of more than SAMPLE_TEXTS languages those with
+    the most rows are learnt, ties by name. Without rows no language is learnt.
     """
     known = docs.where("lang is not null").select(
         F.col("lang").cast("string").alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
@@ -169,11 +172,15 @@ def learn(docs: DataFrame) -> LanguageModel:
     df = np.zeros(FEATURES)
     df[list(frequency)] = list(frequency.values())
     idf = np.log((1 + texts) / (1 + df)) + 1
-    languages = tuple(r.lang for r in known.select("lang").distinct().orderBy("lang").limit(SAMPLE_TEXTS).collect())
+    frequent = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_TEXTS)
+    languages = tuple(sorted(r.lang for r in frequent.collect()))
     share = max(1, SAMPLE_TEXTS // max(1, len(languages)))
-    lowest = Window.partitionBy("lang").orderBy("key")
-    # Keys are ranked without their texts, which are then looked up for the SAMPLE_TEXTS keys at most.
-    keys = known.select("lang", "key").distinct().withColumn("at", F.row_number().over(lowest))
+    # Keys are ranked without their texts, which are then looked up for the SAMPLE_TEXTS keys at most. First within
+    # slices of a language, so that a frequent one has SLICES * share keys at most in the task that ranks it.
+    slice_of = F.pmod("key", F.lit(SLICES))
+    at = lambda *group: F.row_number().over(Window.partitionBy("lang", *group).orderBy("key"))
+    keys = known.where(F.col("lang").isin(*languages)).select("lang", "key").distinct().withColumn("slice", slice_of)
+    keys = keys.withColumn("at", at("slice")).where(F.col("at") <= share).withColumn("at", at())
     chosen = known.join(F.broadcast(keys.where(F.col("at") <= share)), ["lang", "key"], "left_semi")
     fits = F.pmod(F.xxhash64("key"), F.lit(5)) > 0
     schema = "lang string, fits boolean, at array<int>, found array<int>"

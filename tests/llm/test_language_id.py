@@ -59,3 +59,25 @@ def test_long_texts_are_counted_whole(monkeypatch):
     assert (counts(text, letter_table()) == whole).all()
     n = len(language_id._runs(text, letter_table()))
     assert whole.sum() == n + (n - 1) + (n - 2)
+
+
+def _three_languages(spark):
+    rng = random.Random(16)
+    rows = [(i, text_in(rng, lang, 20), lang) for i in range(120) for lang in ["aa" if i % 10 < 6 else "bb" if i % 10 < 9 else "cc"]]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+
+
+def test_slices_of_a_frequent_language_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_TEXTS", 30)
+    docs, models = _three_languages(spark), []
+    for slices in (1, 64):
+        monkeypatch.setattr(language_id, "SLICES", slices)
+        models.append(learn(docs))
+    assert (models[0].weights == models[1].weights).all() and models[0].temperature == models[1].temperature
+
+
+def test_of_too_many_languages_the_frequent_are_learnt(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_TEXTS", 2)
+    assert learn(_three_languages(spark)).languages == ("aa", "bb")
+    even = _three_languages(spark).where("doc_id % 10 in (0, 7, 9)")
+    assert learn(even).languages == ("aa", "bb")
