@@ -60,22 +60,45 @@ def _is_type(kind: Column, value: Column, name: str) -> Column:
     return known[name]
 
 
-def _member(value: Column, name: str) -> Column:
-    if "'" in name or "\\" in name:
-        raise ValueError(f"field name {name} has a quote or backslash")
-    return F.try_variant_get(value, f"$['{name}']", "variant")
+class _Steps:
+    """Columns that many rules read, by how many others come before them: each is computed once a record, where an
+    expression that rules repeat would be computed for each of them."""
 
+    def __init__(self) -> None:
+        self.levels: list[dict[str, Column]] = []
 
-def _broken(schema: dict, value: Column, path: str) -> list[Column]:
+    def keep(self, level: int, column: Column) -> Column:
+        while len(self.levels) <= level:
+            self.levels.append({})
+        name = f"_step_{level}_{len(self.levels[level])}"
+        self.levels[level][name] = column
+        return F.col(name)
+
+    def added_to(self, rows: DataFrame) -> DataFrame:
+        for columns in self.levels:
+            rows = rows.withColumns(columns) if columns else rows
+        return rows
+
+    def names(self) -> list[str]:
+        return [name for columns in self.levels for name in columns]
+
+
+def _broken(schema: dict, value: Column, path: str, keep=lambda level, column: column, level: int = 0) -> list[Column]:
     """Arrays of the rules that a value which is there breaks, as `path/keyword`.
 
     A rule about one type holds for values of other types. Keywords that are not known are an error, so that no rule
-    is passed over.
+    is passed over. `keep` makes a column of what several rules read; inside a list there are no columns.
     """
-    kind = F.schema_of_variant(value)
+    kind = keep(level, F.schema_of_variant(value))
     text = F.when(kind == "STRING", F.try_variant_get(value, "$", "string"))
     items = F.when(kind.startswith("ARRAY"), F.try_variant_get(value, "$", "array<variant>"))
-    members = F.when(kind.startswith("OBJECT"), F.try_variant_get(value, "$", "map<string,variant>"))
+    if {"required", "properties", "additionalProperties"} & schema.keys():
+        members = F.when(kind.startswith("OBJECT"), F.try_variant_get(value, "$", "map<string,variant>"))
+        members = keep(level + 1, members)
+    if {"enum", "pattern", "format"} & schema.keys():
+        text = keep(level + 1, text)
+    if {"minItems", "items"} <= schema.keys():
+        items = keep(level + 1, items)
     out = []
 
     def rule(keyword: str, holds: Column) -> None:
@@ -110,8 +133,8 @@ def _broken(schema: dict, value: Column, path: str) -> list[Column]:
             out.append(F.array_compact(F.array(*absent)) if absent else _none()[0])
         elif keyword == "properties":
             for name, inner in wanted.items():
-                member = F.when(members.isNotNull(), _member(value, name))
-                found = F.concat(*_none(), *_broken(inner, member, f"{path}/{name}"))
+                member = keep(level + 2, F.try_element_at(members, F.lit(name)))
+                found = F.concat(*_none(), *_broken(inner, member, f"{path}/{name}", keep, level + 3))
                 out.append(F.when(member.isNotNull(), found).otherwise(_none()[0]))
         elif keyword == "additionalProperties" and wanted is False:
             more = F.array_except(F.map_keys(members), F.array(*[F.lit(n) for n in schema.get("properties", {})]).cast("array<string>"))
@@ -135,9 +158,9 @@ def check_schema(records: DataFrame, schema: dict | None = None, record: str = "
     field, breaks the rule `not a record`. Records are parsed once; all rules are expressions over the parsed value.
     """
     schema = metadata_schema() if schema is None else schema
-    parsed = records.withColumn("_value", F.try_parse_json(F.col(record)))
-    value = F.col("_value")
-    found = F.array_sort(F.array_distinct(F.concat(*_none(), *_broken(schema, value, ""))))
+    steps = _Steps()
+    value = steps.keep(0, F.try_parse_json(F.col(record)))
+    found = F.array_sort(F.array_distinct(F.concat(*_none(), *_broken(schema, value, "", steps.keep, 1))))
     told = F.when(value.isNull(), F.array(F.lit(NO_RECORD))).otherwise(found)
-    checked = parsed.withColumn("violations", told).drop("_value")
+    checked = steps.added_to(records).withColumn("violations", told).drop(*steps.names())
     return checked.withColumn("is_valid", F.size("violations") == 0)

@@ -324,7 +324,9 @@ def _records(spark, sf_dir):
         "processing_date": F.lit("2026-03-01"),
         "colour": F.when(key % 7 == 0, "green"),
     }
-    return tables.table(spark, sf_dir, "customer").select(
+    # A record costs far more than its customer's row in a file, so that a small file is spread over all cores.
+    keys = tables.table(spark, sf_dir, "customer").select(key).repartition(spark.sparkContext.defaultParallelism, key)
+    return keys.select(
         key, F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("record")
     )
 
