@@ -6,10 +6,15 @@ from collections import defaultdict
 import pytest
 from helpers import as_set, unified
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from stocktide.fixed_values import LONG, LONG_EARLY, WIDE, WIDE_SPECIALTY
 from stocktide.operators import joins, star
 from stocktide.plans import publish, queries
+from stocktide.plans.harmonise import unify_attributes
 from stocktide.plans.warehouse import build_warehouse
+from stocktide.schemas import PARTITIONS, RAW
+from workload import tables
 
 
 def plan(df, kind="simple"):
@@ -159,3 +164,27 @@ def test_rows_without_a_key_are_spread(spark):
     keyed = joins.lookup_join(left, right.hint("merge"), "k")
     assert keyed.where("v is null").count() == 10000
     assert "coalesce(k" in plan(keyed, "extended")
+
+
+def test_publications_are_written_by_the_tasks_that_have_their_rows(spark, tmp_path):
+    rows = spark.range(40).repartition(4).select(
+        F.lit("ipdc_hospital").alias("dataset"), F.lit("2001").alias("year_key"), F.col("id").cast("string").alias("Total")
+    )
+    tables.write_publication(rows, str(tmp_path))
+    assert len(list(tmp_path.glob("dataset=ipdc_hospital/year_key=2001/published=*/*.csv"))) == 4
+
+
+def test_lines_are_read_in_small_tasks_only_while_they_are_published(spark, monkeypatch, tmp_path):
+    name, seen = "spark.sql.files.maxPartitionBytes", []
+    before = spark.conf.get(name)
+    monkeypatch.setattr(tables, "published", lambda lines: dict.fromkeys((WIDE, WIDE_SPECIALTY, LONG, LONG_EARLY), lines))
+    monkeypatch.setattr(tables, "write_publication", lambda rows, landing: seen.append(spark.conf.get(name)))
+    tables.write_all_publications(spark.createDataFrame([], "dataset string, year_key string"), str(tmp_path))
+    assert set(seen) == {"8m"} and spark.conf.get(name) == before
+
+
+def test_attributes_are_moved_once(spark):
+    long = spark.createDataFrame([], StructType([*RAW[LONG].fields, *PARTITIONS]))
+    wide = spark.createDataFrame([], StructType([*RAW[WIDE].fields, *PARTITIONS]))
+    shown = plan(unify_attributes({WIDE: wide, LONG: long}), "extended").split("== Optimized Logical Plan ==")[1]
+    assert shown.split("== Physical Plan ==")[0].count("Aggregate [") == 1
