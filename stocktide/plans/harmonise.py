@@ -54,11 +54,11 @@ def _named(parts: list[DataFrame], aliases) -> DataFrame:
 def unify_attributes(raw_tables: dict[str, DataFrame], aliases=HOSPITAL_ALIASES) -> DataFrame:
     """The distinct ATTRIBUTES of `unify`, from published rows as they are: a row is not copied for each band.
 
-    Rows are made distinct before names are looked up and dates parsed, which leaves a row per snapshot and
-    entity for that.
+    Rows are made distinct once, when names are looked up and dates parsed, which are lookups in each task: most
+    published rows are an entity and snapshot of their own, so that a shuffle before would move all of them twice.
     """
     before = [c for c in ATTRIBUTES if c not in ("archive_date_parsed", "is_suppressed_bucket")]
-    parts = [ATTRIBUTES_OF[family](raw).select("archive_date", *before).distinct() for family, raw in raw_tables.items()]
+    parts = [ATTRIBUTES_OF[family](raw).select("archive_date", *before) for family, raw in raw_tables.items()]
     return _named(parts, aliases).select(*ATTRIBUTES).distinct()
 
 

@@ -118,9 +118,9 @@ def write_fact(fact: DataFrame, build: Build) -> int | None:
 
 
 def write_attributes(attributes: DataFrame, build: Build) -> None:
+    """Partitioned like the facts; the tasks that made them distinct write them, without another shuffle."""
     (
-        attributes.hint("rebalance", "list_type", "source_year_key")
-        .write.mode("overwrite")
+        attributes.write.mode("overwrite")
         .partitionBy("list_type", "source_year_key")
         .parquet(f"{build.warehouse}/{ATTRIBUTE_ROWS}/build={build.name}")
     )
