@@ -262,3 +262,10 @@ def test_a_build_that_fails_leaves_the_last_one_in_place(spark, tmp_path, monkey
     assert star.fact.count() > 0
     monkeypatch.undo()
     assert build_warehouse(fewer, at).dim_hospital.where("hospital_name = 'A'").count() == 0
+
+
+def test_fact_rows_joins_the_lines_once(spark, sf_dir):
+    """Its dimensions and facts read the joined rows as they were written, not the tables again."""
+    from workload import on_star
+
+    assert not [path for path in on_star.fact_rows(spark, sf_dir).inputFiles() if "lineitem" in path]

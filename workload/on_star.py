@@ -125,7 +125,7 @@ def _fact_sums(fact):
 @query(with_unified(_FACT_SUMS))
 def fact_rows(spark, sf_dir):
     """Names and dates replaced by ids; rows of buckets keep the id of a real hospital."""
-    rows = tables.unified(spark, sf_dir)
+    rows = stores.kept(spark, tables.unified(spark, sf_dir))
     dims = build_dimensions(rows, new_build(new_folder(spark, "dimensions")))
     return _fact_sums(star.build_fact(rows, *dims))
 
