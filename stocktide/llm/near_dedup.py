@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocktide.llm.graph import components
+from stocktide.llm.graph import labels_of, stars
 from stocktide.llm.tables import scratch, written
 from stocktide.llm.text import mix, not_space, shingle_hashes, slices, trimmed, word_hashes
 
@@ -144,31 +144,32 @@ class _Search:
     def confirmed(self, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
         """The pairs (a, b) whose full sets are similar enough. `sets` are theirs, if at hand. Sets that are no
         larger than a sketch are compared as such."""
-        both = lambda frame: frame.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        sketches = written(self.sketches_of(both(pairs)), "compared")
-        one = sketches.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-        two = sketches.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-        union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, SKETCH)
-        shared = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
-        whole = F.greatest("na", "nb") <= SKETCH
-        known = F.size(F.array_intersect("sa", "sb"))
-        alike = 100 * known >= self.percent * (F.col("na") + F.col("nb") - known)
-        compared = written(
-            pairs.join(one, "a").join(two, "b")
-            .where(_long_enough(self.percent, "na", "nb"))
-            .where(F.when(whole, alike).otherwise(2 * shared >= F.size(union)))
-            .select("a", "b", "na", "nb", whole.alias("sure")),
-            "likely",
-        )
-        sure, likely = compared.where("sure").select("a", "b"), compared.where("not sure").drop("sure")
-        if sets is None:
-            sets = self.sets_of(both(likely))
-        first = sets.select(F.col("node").alias("a"), F.col("elements").alias("ea"))
-        second = sets.select(F.col("node").alias("b"), F.col("elements").alias("eb"))
-        common = F.size(F.array_intersect("ea", "eb"))
-        similar = 100 * common >= self.percent * (F.col("na") + F.col("nb") - common)
-        found = likely.join(first, "a").join(second, "b").where(similar).select("a", "b")
-        return written(found.union(sure).distinct(), "links")
+        with scratch(pairs.sparkSession) as used:
+            both = lambda frame: frame.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            sketches = written(self.sketches_of(both(pairs)), "compared")
+            one = sketches.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+            two = sketches.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+            union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, SKETCH)
+            shared = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
+            whole = F.greatest("na", "nb") <= SKETCH
+            known = F.size(F.array_intersect("sa", "sb"))
+            alike = 100 * known >= self.percent * (F.col("na") + F.col("nb") - known)
+            compared = written(
+                pairs.join(one, "a").join(two, "b")
+                .where(_long_enough(self.percent, "na", "nb"))
+                .where(F.when(whole, alike).otherwise(2 * shared >= F.size(union)))
+                .select("a", "b", "na", "nb", whole.alias("sure")),
+                "likely",
+            )
+            sure, likely = compared.where("sure").select("a", "b"), compared.where("not sure").drop("sure")
+            if sets is None:
+                sets = self.sets_of(both(likely))
+            first = sets.select(F.col("node").alias("a"), F.col("elements").alias("ea"))
+            second = sets.select(F.col("node").alias("b"), F.col("elements").alias("eb"))
+            common = F.size(F.array_intersect("ea", "eb"))
+            similar = 100 * common >= self.percent * (F.col("na") + F.col("nb") - common)
+            found = likely.join(first, "a").join(second, "b").where(similar).select("a", "b")
+            return used.keep(written(found.union(sure).distinct(), "links"))
 
 
 def _pairs(left: str = "left_node", right: str = "right_node") -> list[Column]:
@@ -250,38 +251,63 @@ def _by_rarest(search: _Search, sets: DataFrame, labels: DataFrame) -> DataFrame
     return met.where(_long_enough(p, "na", "nb")).select(*_pairs("a", "b")).distinct()
 
 
-def _links(search: _Search) -> DataFrame:
-    sizes = search.rows.where("node is not null").select(
-        "node", F.explode(F.slice("sketch", 1, KEYS)).alias("value")
-    )
-    entries = written(sizes.distinct(), "entries")
-    lists = written(entries.join(_shared_values(entries), "value"), "lists")
-    short = lists.where(F.col("df") <= SHORT_LIST).select("value", "node")
-    long = lists.where(F.col("df") > SHORT_LIST).select("value", "node")
-    degree = long.groupBy("node").agg(F.count("*").alias("degree"))
-    long = written(long.join(degree, "node"), "long_lists")
-    left = short.withColumnRenamed("node", "left_node")
-    right = short.withColumnRenamed("node", "right_node")
-    near = left.join(right, "value").where("left_node < right_node").select(*_pairs())
-    tested = written(near.union(_to_pivots(long, F.col("degree"))).distinct(), "pairs")
-    links = search.confirmed(tested)
-    labels = components(links)
-    # Second pivots, among nodes that share their whole sketch with the most others: in a group of near copies
-    # those with the fewest edits, which most of the others are near to.
-    open_lists = written(_open_lists(long.select("value", "node"), labels), "open")
-    sketches = search.sketches_of(open_lists.select("node").distinct())
-    sketched = written(
-        sketches.select("node", F.size("sketch").alias("n"), F.explode("sketch").alias("value")), "whole_sketches"
-    )
-    weight = sketched.join(_shared_values(sketched), "value").groupBy("node").agg(F.sum("df").alias("weight"))
-    pairs = _to_pivots(open_lists.join(weight, "node"), F.col("weight"))
-    pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-    tested = tested.union(pairs)
-    links = links.union(search.confirmed(pairs))
-    labels = components(links)
-    sets = search.sets_of(_still_open(sketched, labels))
-    rest = _by_rarest(search, sets, labels).join(tested, ["a", "b"], "left_anti")
-    return links.union(search.confirmed(written(rest, "pairs"), sets))
+def _first_pairs(search: _Search) -> tuple[DataFrame, DataFrame]:
+    """(pairs of the short lists and pivots of the long ones, the entries of the long lists)."""
+    with scratch(search.rows.sparkSession) as used:
+        sizes = search.rows.where("node is not null").select(
+            "node", F.explode(F.slice("sketch", 1, KEYS)).alias("value")
+        )
+        entries = written(sizes.distinct(), "entries")
+        lists = written(entries.join(_shared_values(entries), "value"), "lists")
+        short = lists.where(F.col("df") <= SHORT_LIST).select("value", "node")
+        long = lists.where(F.col("df") > SHORT_LIST).select("value", "node")
+        degree = long.groupBy("node").agg(F.count("*").alias("degree"))
+        long = used.keep(written(long.join(degree, "node"), "long_lists"))
+        left = short.withColumnRenamed("node", "left_node")
+        right = short.withColumnRenamed("node", "right_node")
+        near = left.join(right, "value").where("left_node < right_node").select(*_pairs())
+        return used.keep(written(near.union(_to_pivots(long, F.col("degree"))).distinct(), "pairs")), long
+
+
+def _second_pairs(
+    search: _Search, long: DataFrame, labels: DataFrame, tested: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """(pairs with second pivots, entries (node, n, value) of the sketches that the open lists hold).
+
+    Second pivots are among nodes that share their whole sketch with the most others: in a group of near copies
+    those with the fewest edits, which most of the others are near to.
+    """
+    with scratch(search.rows.sparkSession) as used:
+        open_lists = written(_open_lists(long.select("value", "node"), labels), "open")
+        sketches = search.sketches_of(open_lists.select("node").distinct())
+        entries = sketches.select("node", F.size("sketch").alias("n"), F.explode("sketch").alias("value"))
+        sketched = used.keep(written(entries, "whole_sketches"))
+        weight = sketched.join(_shared_values(sketched), "value").groupBy("node").agg(F.sum("df").alias("weight"))
+        pairs = _to_pivots(open_lists.join(weight, "node"), F.col("weight"))
+        return used.keep(written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")), sketched
+
+
+def _last_links(search: _Search, sketched: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
+    """The links that neither short lists nor pivots can have shown."""
+    with scratch(search.rows.sparkSession) as used:
+        with scratch(search.rows.sparkSession) as inner:
+            sets = inner.keep(search.sets_of(_still_open(sketched, labels)))
+        with scratch(search.rows.sparkSession) as inner:
+            rest = _by_rarest(search, sets, labels).join(tested, ["a", "b"], "left_anti")
+            rest = inner.keep(written(rest, "pairs"))
+        return used.keep(search.confirmed(rest, sets))
+
+
+def _components(search: _Search) -> DataFrame:
+    """(node, root) of the nodes that are linked. Links join the stars of those found before them."""
+    as_links = lambda edges: edges.select(F.col("u").alias("a"), F.col("v").alias("b"))
+    with scratch(search.rows.sparkSession) as used:
+        tested, long = _first_pairs(search)
+        found = stars(search.confirmed(tested))
+        pairs, sketched = _second_pairs(search, long, labels_of(found), tested)
+        found = stars(as_links(found).union(search.confirmed(pairs)))
+        links = _last_links(search, sketched, labels_of(found), tested.union(pairs))
+        return labels_of(used.keep(stars(as_links(found).union(links))))
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
@@ -300,7 +326,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     """
     with scratch(docs.sparkSession) as used:
         search = _Search(docs, shingle_words, percent)
-        labels = components(_links(search))
+        labels = _components(search)
         members = labels.join(search.nodes, "node").select("node", "root", "first_id")
         least = members.groupBy("root").agg(F.min("first_id").alias("component_id"))
         linked = members.join(least, "root").select("node", F.col("component_id").alias("linked_id"))

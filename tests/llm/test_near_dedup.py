@@ -1,10 +1,13 @@
+import os
 import random
 from collections import defaultdict
 
 from frames import awkward, documents, prose, splits
 
+from stocktide.llm import tables
 from stocktide.llm.graph import components
 from stocktide.llm.near_dedup import near_duplicates
+from stocktide.shared_dir import new_folder, shared_dir
 
 
 def shingles(text, size):
@@ -72,3 +75,33 @@ def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(20)] + [(100, i) for i in range(101, 140)] + [(7, 7), (None, 3), (200, 201)]
     found = dict(map(tuple, components(spark.createDataFrame(links, "a bigint, b bigint")).collect()))
     assert found == {i: 0 for i in range(21)} | {i: 100 for i in range(100, 140)} | {200: 200, 201: 200}
+
+
+def _tables_at_once(spark, monkeypatch, run):
+    """The most tables and checkpoints that lie in the shared folder when another table is begun, and how many are begun."""
+    top, counts = shared_dir(spark).removeprefix("file:"), []
+
+    def counted(session, name):
+        counts.append(sum("-" in name or name.startswith("rdd") for _, names, _ in os.walk(top) for name in names))
+        return new_folder(session, name)
+
+    monkeypatch.setattr(tables, "new_folder", counted)
+    new_folder(spark, "none")
+    run()
+    return max(counts) - counts[0], len(counts)
+
+
+def test_tables_go_once_they_are_superseded(spark, monkeypatch):
+    rng = random.Random(3)
+    base = prose(rng, 150)
+    rows = [(i, edited(rng, base, i % 12)) for i in range(60)] + [(100 + i, prose(rng, 50)) for i in range(20)]
+    most, begun = _tables_at_once(spark, monkeypatch, lambda: near_duplicates(documents(spark, rows), 4, 80).collect())
+    assert begun > 25 and most <= 16
+
+
+def test_components_of_one_star_take_one_step(spark, monkeypatch):
+    links = spark.createDataFrame([(0, i) for i in range(1, 30)], "a bigint, b bigint")
+    found = []
+    _, begun = _tables_at_once(spark, monkeypatch, lambda: found.extend(components(links).collect()))
+    assert sorted(map(tuple, found)) == [(i, 0) for i in range(30)]
+    assert begun == 1
