@@ -89,6 +89,24 @@ def first_per_key(
     return known.groupBy(key).agg(first).select(key, *[F.col(f"_first.{v}") for v in values])
 
 
+def by_entity(attributes: DataFrame) -> DataFrame:
+    """Distinct ATTRIBUTES, those of a row's hospital and those of its specialty in rows of their own.
+
+    No dimension looks at a hospital together with a specialty. Their pairs are nearly as many as the published rows;
+    apart, they are a row per entity and snapshot, which partial sums find before the shuffle.
+    """
+    hospital, specialty = F.lit(True), F.lit(False)
+    sides = (
+        F.when(F.col("specialty_name").isNull(), F.array(hospital))
+        .when(F.col("hospital_name").isNull(), F.array(specialty))
+        .otherwise(F.array(hospital, specialty))
+    )
+    split = attributes.withColumn("_hospital", F.explode(sides))
+    of_hospital = {c: F.when(F.col("_hospital"), F.col(c)) for c in ATTRIBUTES if c.startswith("hospital_")}
+    of_specialty = {c: F.when(~F.col("_hospital"), F.col(c)) for c in ATTRIBUTES if c.startswith("specialty_")}
+    return split.withColumns(of_hospital | of_specialty).select(*ATTRIBUTES).distinct()
+
+
 def distinct_dates(unified: DataFrame) -> DataFrame:
     day = F.col("archive_date_parsed").alias("archive_date")
     return unified.where("archive_date_parsed is not null").select(day).distinct()

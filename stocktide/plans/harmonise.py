@@ -17,7 +17,7 @@ from ..operators.reshape import (
     wide_specialty_to_long,
     wide_to_long,
 )
-from ..operators.star import ATTRIBUTES
+from ..operators.star import ATTRIBUTES, by_entity
 from ..sources.raw_store import families_present, read_raw
 
 NORMALISERS = {
@@ -51,15 +51,25 @@ def _named(parts: list[DataFrame], aliases) -> DataFrame:
     return flagged.withColumn("archive_date_parsed", parse_archive_date(F.col("archive_date")))
 
 
+def attribute_rows(raw_tables: dict[str, DataFrame], aliases=HOSPITAL_ALIASES) -> DataFrame:
+    """The ATTRIBUTES of `unify`, from published rows as they are: a row is not copied for each band."""
+    before = [c for c in ATTRIBUTES if c not in ("archive_date_parsed", "is_suppressed_bucket")]
+    parts = [ATTRIBUTES_OF[family](raw).select("archive_date", *before) for family, raw in raw_tables.items()]
+    return _named(parts, aliases).select(*ATTRIBUTES)
+
+
 def unify_attributes(raw_tables: dict[str, DataFrame], aliases=HOSPITAL_ALIASES) -> DataFrame:
-    """The distinct ATTRIBUTES of `unify`, from published rows as they are: a row is not copied for each band.
+    """The distinct ATTRIBUTES of `unify`.
 
     Rows are made distinct once, when names are looked up and dates parsed, which are lookups in each task: most
     published rows are an entity and snapshot of their own, so that a shuffle before would move all of them twice.
     """
-    before = [c for c in ATTRIBUTES if c not in ("archive_date_parsed", "is_suppressed_bucket")]
-    parts = [ATTRIBUTES_OF[family](raw).select("archive_date", *before) for family, raw in raw_tables.items()]
-    return _named(parts, aliases).select(*ATTRIBUTES).distinct()
+    return attribute_rows(raw_tables, aliases).distinct()
+
+
+def unify_entities(raw_tables: dict[str, DataFrame], aliases=HOSPITAL_ALIASES) -> DataFrame:
+    """`by_entity` of the ATTRIBUTES of `unify`."""
+    return by_entity(attribute_rows(raw_tables, aliases))
 
 
 def store_tables(spark: SparkSession, raw: str) -> dict[str, DataFrame]:

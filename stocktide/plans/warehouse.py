@@ -18,6 +18,7 @@ from ..operators.star import (
     build_dim_hospital,
     build_dim_specialty,
     build_fact,
+    by_entity,
     stable_ids,
 )
 from ..shared_dir import fixed
@@ -41,7 +42,7 @@ from ..sources.warehouse_store import (
     write_fact,
     write_registry,
 )
-from .harmonise import store_tables, unify, unify_attributes
+from .harmonise import store_tables, unify, unify_entities
 
 DIMENSIONS = {
     "dim_date": build_dim_date,
@@ -59,7 +60,7 @@ def _side_by_side(write, items) -> None:
 
 
 def build_dimensions(attributes: DataFrame, build: Build, before: Build | None = None) -> list[DataFrame]:
-    """Write the dimensions of distinct ATTRIBUTES, a row per snapshot and entity, and read them back.
+    """Write the dimensions of ATTRIBUTES `by_entity`, and read them back.
 
     Ids are dense and in the order of names; after a build `before` they are its ids, and the next ones for new names.
     """
@@ -94,12 +95,12 @@ def build_warehouse(
 
     The fact joins the written dimensions, whose file sizes tell Spark whether to broadcast them. Each
     build has folders of its own: readers, and a build that fails, never see new names with old ids.
-    `attributes` are the distinct ATTRIBUTES of `unified`, if there is a cheaper way to them than its rows. `sources`
+    `attributes` are the ATTRIBUTES of `unified`, `by_entity`, if there is a cheaper way to them than its rows. `sources`
     says what each (list type, year) was made from, {(list type, year): text}, for `update` to go by.
     """
     spark, build = unified.sparkSession, new_build(warehouse)
     if attributes is None:
-        attributes = unified.select(*ATTRIBUTES).distinct()
+        attributes = by_entity(unified.select(*ATTRIBUTES))
     made = sources or {(None, None): None}
     build = replace(build, parts=tuple(Part(*key, source, build.name, build.name) for key, source in made.items()))
     write_attributes(attributes, build)
@@ -130,7 +131,7 @@ def rebuild(spark: SparkSession, raw: str, warehouse: str, aliases=HOSPITAL_ALIA
     """Raw store -> warehouse, in two reads of the store: its attributes, then its counts."""
     sources = sources_of(spark, raw, aliases)
     tables = store_tables(spark, raw)
-    return build_warehouse(unify(tables, aliases), warehouse, unify_attributes(tables, aliases), sources)
+    return build_warehouse(unify(tables, aliases), warehouse, unify_entities(tables, aliases), sources)
 
 
 def _of(keys, list_type, year):
@@ -160,7 +161,7 @@ def update(spark: SparkSession, raw: str, warehouse: str, aliases=HOSPITAL_ALIAS
         return {family: rows.where(mine) for family, rows in tables.items()}
 
     if changed:
-        write_attributes(unify_attributes(raw_of(changed), aliases), build)
+        write_attributes(unify_entities(raw_of(changed), aliases), build)
     parts = {key: Part(*key, sources[key], build.name, build.name) for key in changed} | kept
     build = replace(build, parts=tuple(parts.values()), has_registry=True)
     attributes = read_parts(spark, build, ATTRIBUTE_ROWS)

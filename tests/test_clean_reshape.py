@@ -1,3 +1,4 @@
+import re
 from datetime import date
 
 import pytest
@@ -5,6 +6,7 @@ from helpers import as_set, unified
 from pyspark.sql import functions as F
 
 from stocktide.fixed_values import WIDE_BANDS
+from stocktide.functions.cells import parse_count
 from stocktide.operators import clean, joins, reshape
 
 WIDE_HEADER = ["ArchiveDate", "Adult_Child", "HospitalName", *WIDE_BANDS, "Total", "dataset", "year_key"]
@@ -149,3 +151,11 @@ def test_register_keeps_the_first_entry_whatever_the_order(spark):
         frame = spark.createDataFrame(rows, register.schema)
         assert as_set(joins.append_missing(register, frame)) == want
         assert as_set(joins.conflicting_entries(frame)) == {("a", 3)}
+
+
+def test_code_that_reads_counts_is_short_enough_to_be_compiled(spark, capsys):
+    """The JVM never compiles a method of more than 8,000 bytes."""
+    cells = spark.range(3).select(F.col("id").cast("string").alias("cell"))
+    cells.select(parse_count(F.col("cell")).alias("n")).explain(mode="codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 4000

@@ -269,3 +269,23 @@ def test_fact_rows_joins_the_lines_once(spark, sf_dir):
     from workload import on_star
 
     assert not [path for path in on_star.fact_rows(spark, sf_dir).inputFiles() if "lineitem" in path]
+
+
+def test_attributes_do_not_pair_hospitals_with_specialties(spark):
+    """A row per entity and snapshot, where there was one for each pair; the dimensions stay the same."""
+    from stocktide.operators import star
+
+    pairs = [
+        (date(2000, 1, 9), f"h{h}", f"g{h}", f"{h}", f"s{s}", f"{s}", "op", "2000", h == 0 and s == 0)
+        for h in range(20) for s in range(20)
+    ]
+    pairs += [(date(2000, 4, 9), None, None, None, "s1", "9", "op", "2000", False), (None, "h1", "g", "1", None, None, "ipdc", "1999", False)]
+    kinds = "archive_date_parsed date, " + ", ".join(f"{c} string" for c in star.ATTRIBUTES[1:-1]) + ", is_suppressed_bucket boolean"
+    rows = spark.createDataFrame(pairs, kinds)
+    apart = star.by_entity(rows)
+    assert apart.columns == list(star.ATTRIBUTES) and apart.count() == 20 + 20 + 2 + 2
+    for build in (star.build_dim_date, star.build_dim_hospital, star.build_dim_specialty):
+        assert sorted(map(tuple, build(apart).collect())) == sorted(map(tuple, build(rows).collect()))
+        if build is not star.build_dim_date:
+            both = [sorted(map(tuple, build(r, skip_nulls=True).collect())) for r in (apart, rows)]
+            assert both[0] == both[1]
